@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: A word is a run of code points other than blank, tab, line feed, vertical tab, form feed, return.
 #: On UTF-8 bytes that is exactly what ``bytes.split()`` gives.
@@ -64,14 +68,43 @@ def pieces(total_bytes: int, each: int, least: int) -> int:
     return max(least, -(-total_bytes // each))
 
 
-def column_bytes(batch_sizes: Iterator[int], limit: int) -> Iterator[tuple[int, int]]:
-    """Cut a sequence of sizes into runs [i, j) of at most ``limit`` each, single large items alone."""
-    start, held, at = 0, 0, 0
-    for at, size in enumerate(batch_sizes):
-        if held and held + size > limit:
+def map_texts(docs: DataFrame, text: str, work: Callable[[list[str | None]], dict], added: str, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of the documents as they are, then the columns ``added`` (DDL) that ``work``
+    computes from a list of texts. ``work`` may return ``__row``, the text that each result is of,
+    else results go with texts one to one. Kept columns named like added ones are replaced. Texts
+    come in slices of about SLICE_CHARS, so memory follows the longest text, not the batch."""
+    extra = StructType.fromDDL(added)
+    keep = [c for c in keep if c not in extra.names]
+    fields = to_arrow_schema(extra)
+    source = docs.select(*keep, F.col(text).alias("__text"))
+    n = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(n)), 0).to_numpy()
+            for i, j in slices(lengths, SLICE_CHARS):
+                part = batch.slice(i, j - i)
+                out = work(part.column(n).to_pylist())
+                own = part.columns[:n]
+                if "__row" in out:
+                    rows = pa.array(out["__row"], pa.int64())
+                    own = [c.take(rows) for c in own]
+                new = [pa.array(out[f.name], f.type, from_pandas=True) for f in fields]
+                yield pa.RecordBatch.from_arrays([*own, *new], names=[*keep, *fields.names])
+
+    return source.mapInArrow(run, StructType([*(docs.schema[c] for c in keep), *extra.fields]))
+
+
+SLICE_CHARS = 4_000_000
+
+
+def slices(sizes, limit: int) -> Iterator[tuple[int, int]]:
+    """Cut a sequence of sizes into runs [i, j) of at most ``limit`` each; a larger item stands alone."""
+    start, held = 0, 0
+    for at, size in enumerate(sizes):
+        if at > start and held + size > limit:
             yield start, at
             start, held = at, 0
-        held += size
-        at += 1
-    if at > start:
-        yield start, at
+        held += int(size)
+    if len(sizes) > start:
+        yield start, len(sizes)

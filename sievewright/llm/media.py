@@ -12,15 +12,12 @@ from __future__ import annotations
 import hashlib
 import io
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import utf8
+from .common import map_texts, utf8
 
 SIDE, UNIT, FILL = 16, 576, 255
 
@@ -162,21 +159,17 @@ def npy_tile(plane: np.ndarray, side: int = SIDE) -> bytes:
 def media_features(pictures: DataFrame, media: str = "media", side: int = SIDE) -> DataFrame:
     """Add height, width, tile (NPY bytes), dhash (16 hex digits) to rows that hold pictures;
     columns of those names are replaced. A picture that does not decode gets nulls."""
-    rest = pictures.drop("height", "width", "tile", "dhash")
-    schema = StructType([*rest.schema.fields, StructField("height", LongType()), StructField("width", LongType()), StructField("tile", BinaryType()), StructField("dhash", StringType())])
+    def work(stored: list[bytes | None]) -> dict:
+        rows = []
+        for data in stored:
+            try:
+                plane = grey(decode(data))
+                rows.append((plane.shape[0], plane.shape[1], npy_tile(plane, side), difference_hash(plane)))
+            except (ValueError, IndexError, TypeError, OverflowError, ZeroDivisionError):
+                rows.append((None, None, None, None))
+        return {name: [r[i] for r in rows] for i, name in enumerate(("height", "width", "tile", "dhash"))}
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for data in frame[media]:
-                try:
-                    plane = grey(decode(bytes(data)))
-                    rows.append((plane.shape[0], plane.shape[1], npy_tile(plane, side), difference_hash(plane)))
-                except (ValueError, IndexError, TypeError, OverflowError):
-                    rows.append((None, None, None, None))
-            yield frame.assign(**{k: pd.Series([r[i] for r in rows], frame.index, dtype=object) for i, k in enumerate(("height", "width", "tile", "dhash"))})
-
-    return rest.mapInPandas(work, schema)
+    return map_texts(pictures, media, work, "height long, width long, tile binary, dhash string", pictures.columns)
 
 
 def text_pictures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -184,35 +177,30 @@ def text_pictures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the grey samples, 24 to a row. Texts with an even checksum become Netpbm, the others BMP, so
     that equal texts have equal pictures. Gives id, n_bytes, media."""
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            sizes, stored = [], []
-            for text in frame["text"]:
-                raw = utf8(text)
-                full = raw + bytes([FILL]) * (max(1, -(-len(raw) // UNIT)) * UNIT - len(raw))
-                samples = np.frombuffer(full, np.uint8).reshape(-1, 24)
-                sizes.append(len(raw))
-                stored.append((encode_bmp if zlib.crc32(raw) & 1 else encode_pgm)(samples))
-            yield pd.DataFrame({"id": frame["id"], "n_bytes": sizes, "media": stored})
+    def work(texts: list[str | None]) -> dict:
+        sizes, stored = [], []
+        for text in texts:
+            raw = utf8(text)
+            full = raw + bytes([FILL]) * (max(1, -(-len(raw) // UNIT)) * UNIT - len(raw))
+            samples = np.frombuffer(full, np.uint8).reshape(-1, 24)
+            sizes.append(len(raw))
+            stored.append((encode_bmp if zlib.crc32(raw) & 1 else encode_pgm)(samples))
+        return {"n_bytes": sizes, "media": stored}
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(work, f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
+    return map_texts(docs, text_col, work, "n_bytes long, media binary", [id_col])
 
 
 def payload_digests(pictures: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Decode stored pictures back to their payload and digest both; needs media and dhash, tile."""
-    kind = pictures.schema[id_col].dataType.simpleString()
-
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for data, tile in zip(frame["media"], frame["tile"], strict=True):
-                data = bytes(data)
-                payload = decode(data).tobytes()
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), hashlib.sha256(bytes(tile)).hexdigest()))
-            out = pd.DataFrame(rows, columns=["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "tile_sha256"])
-            yield pd.concat([frame[["id", "n_bytes"]].reset_index(drop=True), out, frame[["feature"]].reset_index(drop=True)], axis=1)
-
-    schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, tile_sha256 string, feature string"
-    rows = pictures.select(F.col(id_col).alias("id"), "n_bytes", "media", "tile", F.col("dhash").alias("feature"))
-    return rows.mapInPandas(work, schema).withColumnRenamed("id", id_col)
+    """Decode stored pictures back to their payload and digest both; needs n_bytes, media, tile, dhash."""
+    added = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string"
+
+    def work(stored: list[bytes]) -> dict:
+        rows = []
+        for data in stored:
+            payload = decode(data).tobytes()
+            rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest()))
+        return {f.split()[0]: [r[i] for r in rows] for i, f in enumerate(added.split(", "))}
+
+    return map_texts(pictures, "media", work, added, [id_col, "n_bytes", "tile", "dhash"]).select(
+        id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.col("dhash").alias("feature"), F.sha2("tile", 256).alias("tile_sha256")
+    )

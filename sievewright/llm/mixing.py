@@ -77,11 +77,15 @@ def assign(
     weights: tuple[float, ...] = WEIGHTS,
     schedule_of: Callable[[int], tuple[float, float]] = default_schedule,
     seed: int = 17,
+    size: Column | None = None,
+    tie: Column | None = None,
 ) -> DataFrame:
-    """The documents with size, source_size, target, taken, positions (one per taking)."""
+    """The documents with size, source_size, target, taken, positions (one per taking). ``size``
+    and ``tie`` (default: words of the text, hash of the text) may come from columns instead."""
     spark = docs.sparkSession
+    named = docs.withColumn("__size", words_count(text_col) if size is None else size).withColumn("__tie", F.xxhash64(text_col) if tie is None else tie)
     own = docs.drop("size", "source_size", "target", "taken", "positions")
-    sized = own.withColumn("size", words_count(text_col)).withColumn("__h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    sized = named.drop("size", "source_size", "target", "taken", "positions").withColumnRenamed("__size", "size").withColumn("__h", F.xxhash64(F.col(id_col), F.lit(seed)))
     light = sized.select(F.col(source_col).alias("source"), "size")
     found = light.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     sizes = {r["source"]: int(r["size"]) for r in found}
@@ -98,7 +102,7 @@ def assign(
     base = sums.select("s", "b", F.coalesce(before, F.lit(0)).alias("base")).join(known, F.col("s").eqNullSafe(F.col("__s"))).drop("__s")
     base = base.select(*[F.col(c).alias(f"__{c}") for c in base.columns])
     joined = placed.join(base, F.col(source_col).eqNullSafe(F.col("__s")) & (F.col("__cut") == F.col("__b")), "left")
-    inside = F.sum("size").over(Window.partitionBy(source_col, "__cut").orderBy("__h", id_col, F.xxhash64(text_col)).rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.sum("size").over(Window.partitionBy(source_col, "__cut").orderBy("__h", id_col, "__tie").rowsBetween(Window.unboundedPreceding, -1))
     at = joined.withColumn("__c", F.col("__base") + F.coalesce(inside, F.lit(0)) + F.col("size") / 2)
     # The whole epochs 0 and 1 at most, as the target never exceeds ``limit`` times the source.
     epochs = F.sequence(F.lit(0), F.lit(max(0, -int(-limit // 1) - 1)))

@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licences, media, mixing
-from .common import table
+from . import chat, licences, media, mixing, neardup, packing, quality
+from .common import stored, table, words_count
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", *quality.BASE_STATS, "base_failed", "kept", "score")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components_of(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +31,8 @@ def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    got = mixing.assign(docs)
+    light = stored(docs.select("doc_id", "source", words_count("text").alias("words"), F.xxhash64("text").alias("digest")), "sizes")
+    got = mixing.assign(light, size=F.col("words"), tie=F.col("digest"))
     first = F.try_element_at("positions", F.lit(1))
     return got.select("doc_id", "size", "source_size", "target", "taken", first.alias("position")).repartitionByRange(F.col("position").asc_nulls_last(), "doc_id").sortWithinPartitions(F.col("position").asc_nulls_last(), "doc_id")
 
@@ -57,7 +72,17 @@ SELECT conv_id, count(*) AS n_turns,
 FROM l GROUP BY conv_id
 """
 
+def tokenizer_path() -> str:
+    """The public vocabulary that the packing contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_packing": op2_packing,
+    "op3_near_duplicates": op3_near_duplicates,
     "op7_licences": op7_licences,
     "op8_mixing": op8_mixing,
     "op9_media": op9_media,
