@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licences, media, mixing, neardup, packing, quality
+from . import chat, licences, media, mixing, neardup, packing, quality, repeats
 from .common import stored, table, words_count
 
 
@@ -25,6 +25,11 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components_of(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_near_duplicates": op3_near_duplicates,
+    "op6_repeats": op6_repeats,
     "op7_licences": op7_licences,
     "op8_mixing": op8_mixing,
     "op9_media": op9_media,
