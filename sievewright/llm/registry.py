@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licences, media, mixing, neardup, packing, quality, repeats
-from .common import stored, table, words_count
+from . import chat, langid, licences, media, mixing, neardup, packing, quality, repeats
+from .common import crc_fold, stored, table, words_count
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,12 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components_of(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_fold(F.col("doc_id"), 3) == 1)
+    model = langid.train(docs, ~F.col("held_out"))
+    return langid.identify(docs, model, keep=["doc_id", "held_out"])
+
+
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_language": op4_language,
     "op6_repeats": op6_repeats,
     "op7_licences": op7_licences,
     "op8_mixing": op8_mixing,

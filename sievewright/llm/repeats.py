@@ -28,15 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
-import pyarrow.ipc
-import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
+from .blocks import LAST, blocks, by_bucket, pack_rows, unpack_rows
 from .common import slices, stored, utf8
 from .deep_shallow import sort_windows
 from .shingles import mix
@@ -45,55 +42,6 @@ LENGTH, GRAM = 50, 16
 BLOCK = 2_000_000
 #: Anchors that one bucket holds on average; windows that one sort takes at once.
 BUCKET_ANCHORS, SORT_WINDOWS = 1_000_000, 400_000
-LAST = (1 << 63) - 1
-
-_IPC = pa.ipc.IpcWriteOptions(compression="zstd")
-
-
-def _pack(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=_IPC) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _unpack(data: bytes) -> pa.RecordBatch:
-    return pa.ipc.open_stream(data).read_next_batch()
-
-
-def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per block: block, n_bytes, ids, keys (hash of each text, null below LENGTH bytes),
-    data (the rows with all their columns)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            nonlocal number
-            one = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            texts = [utf8(t) for t in one.column(text_col).to_pylist()]
-            keys = [xxhash.xxh3_128_digest(t) if len(t) >= LENGTH else None for t in texts]
-            ids = one.column(id_col).cast(pa.int64()).fill_null(LAST)
-            row = {"block": [number], "n_bytes": [sum(map(len, texts))], "ids": [ids.to_pylist()], "keys": [keys], "data": [_pack(one)]}
-            number += 1
-            return pa.RecordBatch.from_pydict(row, schema=schema)
-
-        for batch in batches:
-            lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_col)), 0).to_numpy()
-            for i, j in slices(lengths, BLOCK):
-                n = int(lengths[i:j].sum())
-                if held and size + n > BLOCK:
-                    yield out()
-                    held, size = [], 0
-                held.append(batch.slice(i, j - i))
-                size += n
-        if sum(map(len, held)):
-            yield out()
-
-    schema = pa.schema([("block", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.binary())), ("data", pa.binary())])
-    return docs.mapInArrow(run, "block long, n_bytes long, ids array<long>, keys array<binary>, data binary")
 
 
 class Piece:
@@ -163,7 +111,7 @@ def _sent_anchors(table: DataFrame, text_col: str, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, ids, data in zip(*(batch.column(c).to_pylist() for c in ("block", "ids", "data")), strict=True):
-                for piece in pieces_of(_unpack(data), ids, text_col, set()):
+                for piece in pieces_of(unpack_rows(data), ids, text_col, set()):
                     hashes = np.unique(piece.hash[piece.anchors()[0]])
                     bucket = _spread(hashes, buckets)
                     order = np.argsort(bucket, kind="stable")
@@ -182,26 +130,6 @@ def _low40(data: list[bytes]) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _by_bucket(rows: DataFrame, settle, schema: str) -> DataFrame:
-    """Rows of one bucket together, as a list of record batches, in a task that has the bucket."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            bucket = batch.column("bucket").to_numpy()
-            first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if bucket.size else []
-            for i, j in zip(first, [*first[1:], len(bucket)], strict=True):
-                part = batch.slice(i, j - i)
-                if held and held[0].column("bucket")[0] != part.column("bucket")[0]:
-                    yield from settle(pa.Table.from_batches(held))
-                    held = []
-                held.append(part)
-        if held:
-            yield from settle(pa.Table.from_batches(held))
-
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
-
-
 def _shared_anchors(sent: DataFrame) -> DataFrame:
     """(bucket, block, data): the anchors of a block that another piece has too."""
 
@@ -221,7 +149,7 @@ def _shared_anchors(sent: DataFrame) -> DataFrame:
         block = rows.column("block").to_numpy()[found]
         yield pa.RecordBatch.from_arrays([pa.array(rows.column("bucket").to_numpy()[found]), pa.array(block), pa.array(parts, pa.binary())], names=["bucket", "block", "data"])
 
-    return _by_bucket(sent, settle, "bucket long, block long, data binary")
+    return by_bucket(sent, settle, "bucket long, block long, data binary")
 
 
 def _candidates(piece: Piece, shared: np.ndarray, buckets: int) -> np.ndarray:
@@ -285,7 +213,7 @@ def _sent_segments(known: DataFrame, text_col: str, buckets: int) -> DataFrame:
                 low = _low40([s["data"] for s in shared])
                 of = np.repeat(np.array([s["bucket"] for s in shared], np.uint64), [len(s["data"]) // 5 for s in shared])
                 keys = np.sort(low | (of << np.uint64(40)))
-                for piece in pieces_of(_unpack(data), ids, text_col, set(copies or [])):
+                for piece in pieces_of(unpack_rows(data), ids, text_col, set(copies or [])):
                     marks, segments = _settle_piece(piece, _candidates(piece, keys, buckets))
                     rows: list[tuple[int, bytes | None, bytes | None]] = []
                     if len(marks):
@@ -296,7 +224,7 @@ def _sent_segments(known: DataFrame, text_col: str, buckets: int) -> DataFrame:
                         found, starts = np.unique(bucket[order], return_index=True)
                         ordered = segments.take(pa.array(order))
                         for b, i, j in zip(found, starts, [*starts[1:], len(order)], strict=True):
-                            rows.append((b, _pack(ordered.slice(i, j - i)), None))
+                            rows.append((b, pack_rows(ordered.slice(i, j - i)), None))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r[0] for r in rows], pa.int64()), pa.array([block] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
                         names=["bucket", "block", "data", "marks"],
@@ -352,7 +280,7 @@ def _marks(sent: DataFrame) -> DataFrame:
             if marks is not None:
                 out.append((block, marks))
             if data is not None:
-                parts.append(_unpack(data))
+                parts.append(unpack_rows(data))
                 owner.append(np.full(parts[-1].num_rows, block))
         if parts:
             table = pa.Table.from_batches(parts)
@@ -372,7 +300,7 @@ def _marks(sent: DataFrame) -> DataFrame:
                 out += [(int(n), m.tobytes()) for n, m in zip(names, np.split(found[by], starts[1:]), strict=True)] if names.size else []
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["block", "marks"])
 
-    return _by_bucket(sent, settle, "block long, marks binary")
+    return by_bucket(sent, settle, "block long, marks binary")
 
 
 def spans(marks: np.ndarray) -> np.ndarray:
@@ -389,7 +317,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows with n_bytes, n_removed, n_spans, spans (array of [start, end)), kept_bytes."""
     names = ["n_bytes", "n_removed", "n_spans", "spans", "kept_bytes"]
     own = docs.drop(*names)
-    table = stored(blocks(own, id_col, text_col), "blocks", "uncompressed")
+    table = stored(blocks(own, id_col, text_col, BLOCK, LENGTH), "blocks", "uncompressed")
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(12, -(-total // (BUCKET_ANCHORS * 19)))
 
@@ -407,7 +335,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, found, gone in zip(*(batch.column(c).to_pylist() for c in ("data", "marks", "copies")), strict=True):
-                one, gone = _unpack(data), set(gone or [])
+                one, gone = unpack_rows(data), set(gone or [])
                 marks = np.frombuffer(b"".join(found or []), np.int64).reshape(-1, 3)
                 marks = marks[np.argsort(marks[:, 0], kind="stable")]
                 begin = np.searchsorted(marks[:, 0], np.arange(one.num_rows + 1))
