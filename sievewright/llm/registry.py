@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, licences, media, mixing, neardup, packing, quality, repeats
+from . import chat, langid, licences, lm, media, mixing, neardup, packing, quality, repeats
 from .common import crc_fold, stored, table, words_count
 
 
@@ -31,6 +31,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, keep=["doc_id", "held_out"])
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 5) == 1)
+
+
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_language": op4_language,
+    "op5_lm": op5_lm,
     "op6_repeats": op6_repeats,
     "op7_licences": op7_licences,
     "op8_mixing": op8_mixing,
