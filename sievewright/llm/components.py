@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 31)))).first()
-    return tuple(row)
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: every node hangs on one smaller node, which hangs on none."""
+    inner = edges.join(edges.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
+    if not inner.isEmpty():
+        return False
+    return edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
 
 
 def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows (node, component): every node of a link with the smallest node it can reach, except
     nodes that are their own smallest. Each round hooks all neighbours of a node to the smallest
-    one; rounds end when a round changes no edge. Tables between rounds lie in the shared folder."""
+    one, until the edges are stars. Tables between rounds lie in the shared folder."""
     edges = stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
-    mark = _mark(edges)
-    while mark[0]:
+    while not _settled(edges):
         # every node to larger neighbours' smallest one; then every node to its smallest one
         both = edges.union(edges.select(F.col("v"), F.col("u")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -28,8 +30,4 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         hooked = large.join(lowest, "u")
         small = hooked.select(F.col("v").alias("u"), F.col("m").alias("v")).union(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = stored(small, "edges")
-        now = _mark(edges)
-        if now == mark:
-            break
-        mark = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -7,8 +7,10 @@ the child. Documents of equal similarity thus stay together with probability nea
 level. A node of at most ``small`` documents is compared exhaustively on signatures; larger nodes
 are first compared with one of their members and then branch again, down to ``depth`` levels.
 What still lies in a large node at the last level is compared exactly with every member that is
-not yet in its component, in blocks. Candidates are pairs whose signatures agree well (5 standard
-deviations below the threshold); every link is confirmed on the full sets.
+not yet in its component, in blocks. Candidates are pairs whose signatures agree well (4.5 standard
+deviations below the threshold, so one pair in 10^5 at the threshold itself is overlooked); every
+link is confirmed on the full sets. A token is a byte: unequal tokens agree once in 256 times, which
+only adds candidates.
 
 Only one document of each distinct set enters the trees. Confirmation ships each text about once:
 first one candidate link per document, then only the candidates that would still join two
@@ -26,6 +28,7 @@ empty table gives no rows; other columns are ignored or, in ``drop_near_duplicat
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -38,7 +41,7 @@ from .common import map_texts, stored
 from .components import connected
 from .shingles import mix, set_keys, shingle_sets, signatures, similar
 
-COORDINATES, TREES, DEPTH, SMALL, PERCENT, WORDS = 64, 12, 4, 32, 80, 5
+COORDINATES, TREES, DEPTH, SMALL, PERCENT, WORDS = 128, 12, 4, 32, 80, 5
 _ONE = np.uint64(1)
 
 
@@ -69,7 +72,7 @@ def branches(node: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _sigs(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
 def _descend(rows: DataFrame, trees: int | None) -> DataFrame:
@@ -94,7 +97,7 @@ def _descend(rows: DataFrame, trees: int | None) -> DataFrame:
 def _agreeing(percent: int) -> int:
     """Least number of agreeing coordinates of a candidate."""
     p = percent / 100
-    return max(1, int(np.floor(COORDINATES * p - 5 * np.sqrt(COORDINATES * p * (1 - p)))))
+    return max(1, int(np.floor(COORDINATES * p - 4.5 * np.sqrt(COORDINATES * p * (1 - p)))))
 
 
 def _small_nodes(rows: DataFrame, percent: int, kind) -> DataFrame:
@@ -189,26 +192,27 @@ def candidates(reps: DataFrame, percent: int = PERCENT, trees: int = TREES, dept
     """Distinct candidate pairs (a < b) of (rep, sig) rows, and the (node, rep) rows that are still
     in large nodes at the last level (None if there are none)."""
     kind = reps.schema["rep"].dataType
-    found: DataFrame | None = None
+    kind = reps.schema["rep"].dataType
+    tiny, stars, rest = [], [], None
     rows = _descend(reps, trees)
-    rest = None
     for level in range(1, depth + 1):
-        counts = rows.groupBy("node").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("node", "rep")).alias("other")).where("n > 1")
+        # one centre for all nodes that hold it, so that a group meets few centres in all trees
+        counts = rows.groupBy("node").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep")).alias("other")).where("n > 1")
         shared = stored(rows.join(counts, "node").select("node", "rep", "n", "other"), "nodes")
         large = shared.where(F.col("n") > small)
-        tiny = shared.where(F.col("n") <= small).select("node", "rep").join(reps, "rep")
-        some = _small_nodes(tiny.select("node", "rep", "sig"), percent, kind)
-        others = reps.select(F.col("rep").alias("other"), F.col("sig").alias("other_sig"))
-        stars = large.where("rep <> other").select("rep", "other").distinct().join(reps, "rep").join(others, "other")
-        some = some.union(_similar_signatures(stars, percent, kind))
-        found = some if found is None else found.union(some)
+        tiny.append(shared.where(F.col("n") <= small).select("node", "rep"))
+        stars.append(large.where("rep <> other").select("rep", "other"))
         if large.isEmpty():
             break
         if level == depth:
             rest = large.select("node", "rep")
         else:
             rows = _descend(large.select("node", "rep").join(reps, "rep").select("node", "rep", "sig"), None)
-    return stored(found.distinct(), "candidates"), rest
+    small_rows, star_rows = (reduce(DataFrame.union, x) for x in (tiny, stars))
+    found = _small_nodes(small_rows.join(reps, "rep").select("node", "rep", "sig"), percent, kind)
+    others = reps.select(F.col("rep").alias("other"), F.col("sig").alias("other_sig"))
+    starred = _similar_signatures(star_rows.distinct().join(reps, "rep").join(others, "other"), percent, kind)
+    return stored(found.union(starred).distinct(), "candidates"), rest
 
 
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> DataFrame:

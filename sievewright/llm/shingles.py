@@ -52,20 +52,22 @@ def set_keys(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
 
 
 def factors(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
-    base = mix(np.arange(1, 2 * coordinates + 1, dtype=np.uint64) * _P)
-    return base[:coordinates] | np.uint64(1), base[coordinates:]
+    base = (mix(np.arange(1, 2 * coordinates + 1, dtype=np.uint64) * _P) >> np.uint64(32)).astype(np.uint32)
+    return base[:coordinates] | np.uint32(1), base[coordinates:]
 
 
 def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
-    """Minwise tokens, one row of 32-bit numbers per set (an empty set has the largest)."""
+    """Minwise tokens, one row of bytes per set: under each of the ``coordinates`` hash orders the
+    set's first element, hashed to a byte. An empty set has zeros."""
     sizes = np.array([s.size for s in sets])
     full = np.flatnonzero(sizes)
-    out = np.full((len(sets), coordinates), 0xFFFFFFFF, np.uint32)
+    out = np.zeros((len(sets), coordinates), np.uint8)
     if full.size:
-        joined = np.concatenate([sets[i] for i in full])
+        joined = (np.concatenate([sets[i] for i in full]) >> np.uint64(32)).astype(np.uint32)
         starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
         for c, (a, b) in enumerate(zip(*factors(coordinates), strict=True)):
-            out[full, c] = np.minimum.reduceat((joined * a + b) >> np.uint64(32), starts)
+            least = np.minimum.reduceat(joined * a + b, starts)
+            out[full, c] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
     return out
 
 
