@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = "op10_chat"
+from .plans import relation_plans, select_plans, text_plans
+
+_PLANS = (text_plans, select_plans, relation_plans)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for p in _PLANS for k, v in p.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: v for p in _PLANS for k, v in p.ORACLE_SQL.items()}
+FLAGSHIP = "judged_inventory"
