@@ -174,18 +174,22 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
 
 def _rest(rows: DataFrame, reps: DataFrame, components: DataFrame, percent: int, kind, block: int = 64, chunk: int = 4096) -> DataFrame:
     """Candidates in large nodes of the last level: every member outside a node's largest
-    component against every member of another component, in blocks by chunks."""
+    component against the members of the node's other components. A member meets a component once,
+    however many nodes they share; members come in blocks, components in chunks."""
     inside = rows.join(components.withColumnRenamed("node", "rep"), "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"))
     sizes = inside.groupBy("node", "component").agg(F.count("*").alias("n"))
-    tops = sizes.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("others")).where("others > 0")
-    known = inside.join(tops, "node").join(reps, "rep")
-    blocks, chunks = F.ceil(F.col("others") / block).cast("int"), F.ceil(F.col("all") / chunk).cast("int")
-    spread = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), n).cast("int")
+    tops = sizes.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    open_ = inside.join(tops, "node")
+    outside = open_.where("component <> top").select("node", "rep", F.col("component").alias("own"))
+    meets = outside.join(sizes.select("node", "component"), "node").where("own <> component").select("rep", "component").distinct()
+    members = open_.select("component", F.col("rep").alias("other")).distinct()
+    spans = members.groupBy("component").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks")).join(meets.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "component")
+    spread = lambda key, n, salt: F.pmod(F.xxhash64(key, F.lit(salt)), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    one = known.where(F.col("component") != F.col("top")).select("node", spread(blocks, 1).alias("block"), every(chunks).alias("chunk"), "rep", "component", "sig")
-    two = known.select("node", spread(chunks, 2).alias("chunk"), every(blocks).alias("block"), F.col("rep").alias("other"), F.col("component").alias("other_component"), F.col("sig").alias("other_sig"))
-    joined = two.join(one, ["node", "block", "chunk"]).where(F.col("component") != F.col("other_component"))
-    return _similar_signatures(joined, percent, kind).distinct()
+    one = meets.join(spans, "component").select("component", "rep", spread("rep", F.col("blocks"), 1).alias("block"), every(F.col("chunks")).alias("chunk")).join(reps, "rep")
+    two = members.join(spans, "component").select("component", "other", spread("other", F.col("chunks"), 2).alias("chunk"), every(F.col("blocks")).alias("block"))
+    two = two.join(reps.select(F.col("rep").alias("other"), F.col("sig").alias("other_sig")), "other")
+    return _similar_signatures(two.join(one, ["component", "block", "chunk"]), percent, kind).distinct()
 
 
 def candidates(reps: DataFrame, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> tuple[DataFrame, DataFrame | None]:
