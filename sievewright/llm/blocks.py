@@ -20,7 +20,7 @@ from .common import slices, utf8
 
 #: What a null id counts as: larger than all.
 LAST = (1 << 63) - 1
-_IPC = pa.ipc.IpcWriteOptions(compression="zstd")
+_IPC = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
 
 
 def pack_rows(batch: pa.RecordBatch) -> bytes:
@@ -69,7 +69,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block: int, least: int =
     return docs.mapInArrow(run, "block long, n_bytes long, ids array<long>, keys array<binary>, data binary")
 
 
-def by_bucket(rows: DataFrame, settle: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def by_bucket(rows: DataFrame, settle: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, buckets: int) -> DataFrame:
     """Rows of one bucket together, as a list of record batches, in a task that has the bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,4 +86,4 @@ def by_bucket(rows: DataFrame, settle: Callable[[pa.Table], Iterator[pa.RecordBa
         if held:
             yield from settle(pa.Table.from_batches(held))
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)

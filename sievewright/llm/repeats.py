@@ -130,7 +130,7 @@ def _low40(data: list[bytes]) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _shared_anchors(sent: DataFrame) -> DataFrame:
+def _shared_anchors(sent: DataFrame, buckets: int) -> DataFrame:
     """(bucket, block, data): the anchors of a block that another piece has too."""
 
     def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -149,7 +149,7 @@ def _shared_anchors(sent: DataFrame) -> DataFrame:
         block = rows.column("block").to_numpy()[found]
         yield pa.RecordBatch.from_arrays([pa.array(rows.column("bucket").to_numpy()[found]), pa.array(block), pa.array(parts, pa.binary())], names=["bucket", "block", "data"])
 
-    return by_bucket(sent, settle, "bucket long, block long, data binary")
+    return by_bucket(sent, settle, "bucket long, block long, data binary", buckets)
 
 
 def _candidates(piece: Piece, shared: np.ndarray, buckets: int) -> np.ndarray:
@@ -270,7 +270,7 @@ def _coded(texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code, np.unique(code, return_index=True)[1]
 
 
-def _marks(sent: DataFrame) -> DataFrame:
+def _marks(sent: DataFrame, buckets: int) -> DataFrame:
     """(block, marks): int64 triples (row, start, end)."""
 
     def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -300,7 +300,7 @@ def _marks(sent: DataFrame) -> DataFrame:
                 out += [(int(n), m.tobytes()) for n, m in zip(names, np.split(found[by], starts[1:]), strict=True)] if names.size else []
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["block", "marks"])
 
-    return by_bucket(sent, settle, "block long, marks binary")
+    return by_bucket(sent, settle, "block long, marks binary", buckets)
 
 
 def spans(marks: np.ndarray) -> np.ndarray:
@@ -324,9 +324,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = table.select("block", F.posexplode(F.arrays_zip("ids", "keys")).alias("row", "x")).select("block", "row", F.col("x.ids").alias("id"), F.col("x.keys").alias("key")).where("key IS NOT NULL")
     smallest = rows.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     copies = rows.join(smallest.select("key", "least"), "key").where("id > least").groupBy("block").agg(F.collect_list("row").alias("copies"))
-    shared = _shared_anchors(_sent_anchors(table, text_col, buckets)).groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias("shared"))
+    shared = _shared_anchors(_sent_anchors(table, text_col, buckets), buckets).groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias("shared"))
     known = table.select("block", "ids", "data").join(shared, "block", "left").join(copies, "block", "left")
-    marks = _marks(_sent_segments(known, text_col, buckets)).groupBy("block").agg(F.collect_list("marks").alias("marks"))
+    marks = _marks(_sent_segments(known, text_col, buckets), buckets).groupBy("block").agg(F.collect_list("marks").alias("marks"))
     final = table.select("block", "data").join(marks, "block", "left").join(copies, "block", "left")
 
     schema = StructType([*own.schema.fields, *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept_bytes binary").fields])
