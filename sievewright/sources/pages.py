@@ -48,7 +48,7 @@ class _Page(HTMLParser):
             self.parts.append("\n")
         if tag == "title":
             self.in_title = False
-        if tag in ("td", "th"):
+        if tag in ("td", "th", "tr", "table"):
             self.cell = False
 
     def handle_data(self, data: str) -> None:
