@@ -259,4 +259,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     gone = marked.where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
     left = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
     empty = F.col(id_col).isNull() | ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return left.where(empty).unionByName(left.where(~empty).dropDuplicates([id_col]))
+    # rows without words stay apart by a number of their own; the others meet where the join left them
+    return left.withColumn("__own", F.when(empty, F.monotonically_increasing_id())).dropDuplicates([id_col, "__own"]).drop("__own")
