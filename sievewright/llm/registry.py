@@ -95,6 +95,39 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Links of all pairs that share a shingle, then reachability by recursion.
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w
+), n AS (SELECT doc_id, len(s) AS n FROM s
+), u AS (SELECT doc_id, unnest(s) AS g FROM s
+), c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS z FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * z >= 80 * (x.n + y.n - z)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (SELECT a AS doc, a AS seen FROM e UNION SELECT r.doc, e.b FROM r JOIN e ON e.a = r.seen
+), m AS (SELECT doc, min(seen) AS low FROM r GROUP BY 1)
+SELECT doc_id, n AS n_shingles, coalesce(low, doc_id) AS component_id, coalesce(low, doc_id) = doc_id AS kept FROM n LEFT JOIN m ON doc = doc_id
+"""
+
+#: Every 50-byte window as hexadecimal text; every byte with the windows that reach it.
+OP6_SQL = r"""
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), p AS (SELECT doc_id, unnest(range(0, len(h) // 2 - 49)) AS i, h FROM h WHERE len(h) >= 100
+), w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w FROM p
+), f AS (SELECT w, min(doc_id) AS low FROM w GROUP BY 1 HAVING min(doc_id) < max(doc_id)
+), k AS (SELECT doc_id, i FROM w JOIN f USING (w) WHERE low < doc_id
+), b AS (SELECT doc_id, unnest(range(0, len(h) // 2)) AS i, h FROM h
+), t AS (SELECT b.doc_id, b.i, substr(h, 2 * b.i + 1, 2) AS x, k.i IS NOT NULL AS mark FROM b LEFT JOIN k ON k.doc_id = b.doc_id AND k.i = b.i
+), g AS (SELECT doc_id, i, x, max(mark) OVER (PARTITION BY doc_id ORDER BY i ROWS 49 PRECEDING) AS gone FROM t
+), o AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM g
+), a AS (SELECT doc_id, count_if(gone) AS n_removed, count_if(opens) AS n_spans, string_agg(x, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM o GROUP BY 1)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM h LEFT JOIN a USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -107,4 +140,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_media": op9_media,
     "op10_chat": op10_chat,
 }
-ORACLE_SQL: dict[str, str] = {"op10_chat": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": OP3_SQL, "op6_repeats": OP6_SQL, "op10_chat": OP10_SQL}
