@@ -25,18 +25,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import map_texts, stored
+from .common import map_texts, stored, utf8
 
 CAPACITY, END_ID = 2048, 1
 #: Pieces that one numbering task holds for a (length, salt) pair on average, at most.
 SALT_ROWS = 20_000
-#: Entries of a worker's word memory; it is emptied when full, so this bounds memory, not results.
-MEMORY = 400_000
+#: Entries of a worker's word memory (or one text's words, if more); emptied when full, so it bounds
+#: memory, not results.
+MEMORY = 800_000
 
 #: Letters whose lower case and composition are simple, then ASCII marks: such a word splits into
 #: two parts whatever surrounds it. Everything else takes the tokenizer's own way.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)\Z")
-_SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
 def _byte_letters() -> list[str]:
@@ -56,7 +56,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
@@ -76,21 +76,16 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        words = [w for w in _SPACE.split(text) if w]
+        words = utf8(text).split()
         memory = self.words
-        for w in set(words).difference(memory):
-            if len(memory) >= MEMORY:
-                memory.clear()
-                return self.encode_plain(words)
-            memory[w] = self._word(w)
+        fresh = set(words).difference(memory)
+        if len(memory) + len(fresh) > MEMORY:
+            memory.clear()
+            fresh = set(words)
+        for w in fresh:
+            memory[w] = self._word(w.decode())
         return b"".join(map(memory.__getitem__, words))
 
-    def encode_plain(self, words: list[str]) -> bytes:
-        own: dict[str, bytes] = {w: self._word(w) for w in set(words)}
-        return b"".join(map(own.__getitem__, words))
-
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
