@@ -85,7 +85,7 @@ def assign(
     spark = docs.sparkSession
     named = docs.withColumn("__size", words_count(text_col) if size is None else size).withColumn("__tie", F.xxhash64(text_col) if tie is None else tie)
     own = docs.drop("size", "source_size", "target", "taken", "positions")
-    sized = named.drop("size", "source_size", "target", "taken", "positions").withColumnRenamed("__size", "size").withColumn("__h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    sized = named.drop("size", "source_size", "target", "taken", "positions").withColumnRenamed("__size", "size").withColumn("__h", F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(f":{seed}")).cast("binary")))
     light = sized.select(F.col(source_col).alias("source"), "size")
     found = light.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     sizes = {r["source"]: int(r["size"]) for r in found}
@@ -95,7 +95,7 @@ def assign(
     facts = [(s, sizes[s], float(goal[s]), *map(float, schedule_of(i))) for i, s in enumerate(order)]
     known = spark.createDataFrame(facts, "__s string, source_size long, target double, begin double, end double")
     buckets = max(64, -(-rows_in // BUCKET_ROWS))
-    cut = F.floor((F.col("__h").cast("double") / F.lit(2.0**64) + 0.5) * buckets).cast("long")
+    cut = F.floor(F.conv(F.substring("__h", 1, 8), 16, 10).cast("double") / F.lit(2.0**32) * buckets).cast("long")
     placed = sized.withColumn("__cut", cut)
     sums = placed.groupBy(F.col(source_col).alias("s"), F.col("__cut").alias("b")).agg(F.sum("size").alias("held"))
     before = F.sum("held").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))

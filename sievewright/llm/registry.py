@@ -48,8 +48,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     light = stored(docs.select("doc_id", "source", words_count("text").alias("words"), F.xxhash64("text").alias("digest")), "sizes")
     got = mixing.assign(light, size=F.col("words"), tie=F.col("digest"))
-    first = F.try_element_at("positions", F.lit(1))
-    return got.select("doc_id", "size", "source_size", "target", "taken", first.alias("position")).repartitionByRange(F.col("position").asc_nulls_last(), "doc_id").sortWithinPartitions(F.col("position").asc_nulls_last(), "doc_id")
+    first = F.round(F.try_element_at("positions", F.lit(1)), 9)
+    return got.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", first.alias("position")).repartitionByRange(F.col("position").asc_nulls_last(), "doc_id").sortWithinPartitions(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +113,25 @@ WITH RECURSIVE w AS (
 SELECT doc_id, n AS n_shingles, coalesce(low, doc_id) AS component_id, coalesce(low, doc_id) = doc_id AS kept FROM n LEFT JOIN m ON doc = doc_id
 """
 
+#: The water level L at which targets min(2 * size, L * weight) share 150 % of all sizes, then tapes.
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])) AS size, md5(CAST(doc_id AS VARCHAR) || ':17') AS h FROM documents
+), s AS (SELECT source, sum(size) AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM d GROUP BY 1
+), w AS (SELECT *, [3.0, 1.0, 2.0][k % 3 + 1] AS w, [1.0, 0.5, 1.5][k % 3 + 1] AS b, [1.0, 1.5, 0.5][k % 3 + 1] AS e FROM s
+), r AS (
+  SELECT *, 2 * s / w AS r, (1.5 * sum(s) OVER () - coalesce(sum(2 * s) OVER (ORDER BY 2 * s / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (ORDER BY 2 * s / w, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
+), l AS (SELECT arg_min(level, r) AS height FROM r WHERE level <= r
+), t AS (SELECT source, CAST(s AS BIGINT) AS source_size, CAST(least(2 * s, height * w) AS DOUBLE) AS target, CAST(b AS DOUBLE) AS b, CAST(e AS DOUBLE) AS e FROM r, l
+), c AS (
+  SELECT doc_id, size, source_size, target, b, e, size / 2.0 + coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), p AS (SELECT *, CASE WHEN c > target THEN NULL WHEN target > 0 THEN c / target ELSE 0 END AS p FROM c)
+SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(size * ((c <= target)::INT + (c + source_size <= target)::INT) AS BIGINT) AS taken,
+  round(CASE WHEN b = e THEN p ELSE (sqrt(b * b + 2 * (e - b) * p * (b + e) / 2) - b) / (e - b) END, 9) AS position FROM p
+"""
+
 #: Every 50-byte window as hexadecimal text; every byte with the windows that reach it.
 OP6_SQL = r"""
 WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
@@ -140,4 +159,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_media": op9_media,
     "op10_chat": op10_chat,
 }
-ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": OP3_SQL, "op6_repeats": OP6_SQL, "op10_chat": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": OP3_SQL, "op6_repeats": OP6_SQL, "op8_mixing": OP8_SQL, "op10_chat": OP10_SQL}
