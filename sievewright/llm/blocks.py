@@ -16,7 +16,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import slices, utf8
+from .common import slices, small_batches, utf8
 
 #: What a null id counts as: larger than all.
 LAST = (1 << 63) - 1
@@ -65,6 +65,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block: int, least: int =
         if sum(map(len, held)):
             yield out()
 
+    small_batches(docs.sparkSession)
     schema = pa.schema([("block", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.binary())), ("data", pa.binary())])
     return docs.mapInArrow(run, "block long, n_bytes long, ids array<long>, keys array<binary>, data binary")
 

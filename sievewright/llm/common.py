@@ -68,11 +68,19 @@ def pieces(total_bytes: int, each: int, least: int) -> int:
     return max(least, -(-total_bytes // each))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold 16 MB at most (Spark's default is 64): a batch of long texts lies in
+    the JVM, in Python and as Python strings at once. Only the session's default is changed."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") in ("64m", "64MB", "67108864", "67108864b"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
 def map_texts(docs: DataFrame, text: str, work: Callable[[list[str | None]], dict], added: str, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of the documents as they are, then the columns ``added`` (DDL) that ``work``
     computes from a list of texts. ``work`` may return ``__row``, the text that each result is of,
     else results go with texts one to one. Kept columns named like added ones are replaced. Texts
     come in slices of about SLICE_CHARS, so memory follows the longest text, not the batch."""
+    small_batches(docs.sparkSession)
     extra = StructType.fromDDL(added)
     keep = [c for c in keep if c not in extra.names]
     fields = to_arrow_schema(extra)

@@ -17,13 +17,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import map_texts, stored, utf8
 
@@ -32,7 +30,7 @@ CAPACITY, END_ID = 2048, 1
 SALT_ROWS = 20_000
 #: Entries of a worker's word memory (or one text's words, if more); emptied when full, so it bounds
 #: memory, not results.
-MEMORY = 800_000
+MEMORY = 400_000
 
 #: Letters whose lower case and composition are simple, then ASCII marks: such a word splits into
 #: two parts whatever surrounds it. Everything else takes the tokenizer's own way.
@@ -155,30 +153,31 @@ def histogram_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> li
     return [p for some in gaps.values() for p in some]
 
 
-def placement(patterns: Iterable[tuple[tuple[int, ...], int]], capacity: int = CAPACITY) -> tuple[np.ndarray, ...]:
-    """Where the r-th piece of a length goes. Pieces are numbered through all lengths, lengths
-    ascending: arrays of the first number of each run, its first pack, its offset; and for each
-    length the number of its first piece."""
-    runs: list[tuple[int, int, int, int]] = []
+def placement(patterns: Iterable[tuple[tuple[int, ...], int]]) -> list[tuple[int, list[int], list[int], list[int]]]:
+    """Where the r-th piece of a length goes, r from 0: for each length the ascending first numbers
+    of its runs, their first packs and their offsets. At most a row per length."""
+    runs: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
     first_pack = 0
     for pattern, packs in patterns:
         offset = 0
         for length in pattern:
-            runs.append((length, packs, first_pack, offset))
+            runs[length].append((packs, first_pack, offset))
             offset += length
         first_pack += packs
-    runs.sort()
-    table = np.array(runs, np.int64).reshape(-1, 4)
-    begins = np.concatenate([[0], np.cumsum(table[:, 1])[:-1]]) if len(table) else np.zeros(0, np.int64)
-    of_length = np.zeros(capacity + 2, np.int64)
-    np.add.at(of_length, table[:, 0] + 1, table[:, 1])
-    return begins.astype(np.int64), table[:, 2].copy(), table[:, 3].copy(), np.cumsum(of_length)
+    out = []
+    for length, some in sorted(runs.items()):
+        begins = [0]
+        for packs, _, _ in some[:-1]:
+            begins.append(begins[-1] + packs)
+        out.append((length, begins, [x[1] for x in some], [x[2] for x in some]))
+    return out
 
 
 def pack(pieces: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """Add sequence_id and offset to stored pieces (columns id, start, length and any others)."""
+    """Add sequence_id and offset to stored pieces (columns id, start, length and any others). The
+    table of places has at most ``capacity`` rows, whatever the corpus, and is broadcast."""
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    begins, packs, offsets, of_length = placement(histogram_packing(histogram, capacity), capacity)
+    places = pieces.sparkSession.createDataFrame(placement(histogram_packing(histogram, capacity)), "length long, __begins array<long>, __packs array<long>, __offsets array<long>")
     salts = max(16, -(-max(histogram.values(), default=0) // SALT_ROWS))
     salted = pieces.withColumn("__salt", F.pmod(F.xxhash64(id_col, "start"), F.lit(salts)))
     counts = salted.groupBy("length", "__salt").agg(F.count("*").alias("n"))
@@ -186,18 +185,10 @@ def pack(pieces: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY) ->
     bases = counts.select("length", "__salt", F.coalesce(before, F.lit(0)).alias("__base"))
     inside = F.row_number().over(Window.partitionBy("length", "__salt").orderBy(id_col, "start"))
     ranked = salted.join(bases, ["length", "__salt"]).withColumn("__rank", F.col("__base") + inside - 1)
-    columns = pieces.columns
-    schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = (batch.column(k).to_numpy() for k in ("length", "__rank"))
-            number = of_length[length] + rank
-            run = np.searchsorted(begins, number, side="right") - 1
-            new = [pa.array(packs[run] + number - begins[run]), pa.array(offsets[run])]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], names=[*columns, "sequence_id", "offset"])
-
-    return ranked.select(*columns, "__rank").mapInArrow(work, schema)
+    run = F.size(F.filter("__begins", lambda b: b <= F.col("__rank")))
+    at = lambda name: F.element_at(name, F.col("__run"))
+    placed = ranked.join(F.broadcast(places), "length").withColumn("__run", run)
+    return placed.select(*pieces.columns, (at("__packs") + F.col("__rank") - at("__begins")).alias("sequence_id"), at("__offsets").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
