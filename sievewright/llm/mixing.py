@@ -92,17 +92,19 @@ def assign(
     rows_in = sum(r["n"] for r in found)
     goal = targets(sizes, share, limit, weights)
     order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
-    facts = [(s, sizes[s], float(goal[s]), *map(float, schedule_of(i))) for i, s in enumerate(order)]
+    # one key that is never null, so that join and window below share one dealing of the documents
+    key = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit(""))
+    facts = [("" if s is None else f"={s}", sizes[s], float(goal[s]), *map(float, schedule_of(i))) for i, s in enumerate(order)]
     known = spark.createDataFrame(facts, "__s string, source_size long, target double, begin double, end double")
     buckets = max(64, -(-rows_in // BUCKET_ROWS))
     cut = F.floor(F.conv(F.substring("__h", 1, 8), 16, 10).cast("double") / F.lit(2.0**32) * buckets).cast("long")
-    placed = sized.withColumn("__cut", cut)
-    sums = placed.groupBy(F.col(source_col).alias("s"), F.col("__cut").alias("b")).agg(F.sum("size").alias("held"))
+    placed = sized.withColumn("__cut", cut).withColumn("__key", key(F.col(source_col)))
+    sums = placed.groupBy(F.col("__key").alias("s"), F.col("__cut").alias("b")).agg(F.sum("size").alias("held"))
     before = F.sum("held").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
-    base = sums.select("s", "b", F.coalesce(before, F.lit(0)).alias("base")).join(known, F.col("s").eqNullSafe(F.col("__s"))).drop("__s")
+    base = sums.select("s", "b", F.coalesce(before, F.lit(0)).alias("base")).join(known, F.col("s") == F.col("__s")).drop("__s")
     base = base.select(*[F.col(c).alias(f"__{c}") for c in base.columns])
-    joined = placed.join(base, F.col(source_col).eqNullSafe(F.col("__s")) & (F.col("__cut") == F.col("__b")), "left")
-    inside = F.sum("size").over(Window.partitionBy(source_col, "__cut").orderBy("__h", id_col, "__tie").rowsBetween(Window.unboundedPreceding, -1))
+    joined = placed.join(base, (F.col("__key") == F.col("__s")) & (F.col("__cut") == F.col("__b")))
+    inside = F.sum("size").over(Window.partitionBy("__key", "__cut").orderBy("__h", id_col, "__tie").rowsBetween(Window.unboundedPreceding, -1))
     at = joined.withColumn("__c", F.col("__base") + F.coalesce(inside, F.lit(0)) + F.col("size") / 2)
     # The whole epochs 0 and 1 at most, as the target never exceeds ``limit`` times the source.
     epochs = F.sequence(F.lit(0), F.lit(max(0, -int(-limit // 1) - 1)))
