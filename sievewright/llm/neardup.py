@@ -6,8 +6,8 @@ names the coordinates (1/similarity = 1.25 of them on average), the document's t
 the child. Documents of equal similarity thus stay together with probability near one per tree
 level. A node of at most ``small`` documents is compared exhaustively on signatures; larger nodes
 are first compared with one of their members and then branch again, down to ``depth`` levels.
-What still lies in a large node at the last level is compared exactly with every member that is
-not yet in its component, in blocks. Candidates are pairs whose signatures agree well (4.5 standard
+What still lies in a large node at the last level is compared, in blocks, with every member of the
+nodes that hang together with it, except inside their largest component. Candidates are pairs whose signatures agree well (4.5 standard
 deviations below the threshold, so one pair in 10^5 at the threshold itself is overlooked); every
 link is confirmed on the full sets. A token is a byte: unequal tokens agree once in 256 times, which
 only adds candidates.
@@ -33,8 +33,9 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import map_texts, stored
@@ -42,6 +43,8 @@ from .components import connected
 from .shingles import mix, set_keys, shingle_sets, signatures, similar
 
 COORDINATES, TREES, DEPTH, SMALL, PERCENT, WORDS = 128, 12, 4, 32, 80, 5
+#: Members and text bytes that a block of the last level holds on average.
+BLOCK_ROWS, BLOCK_BYTES = 256, 4_000_000
 _ONE = np.uint64(1)
 
 
@@ -172,30 +175,72 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def _rest(rows: DataFrame, reps: DataFrame, components: DataFrame, percent: int, kind, block: int = 64, chunk: int = 4096) -> DataFrame:
-    """Candidates in large nodes of the last level: every member outside a node's largest
-    component against the members of the node's other components. A member meets a component once,
-    however many nodes they share; members come in blocks, components in chunks."""
-    inside = rows.join(components.withColumnRenamed("node", "rep"), "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"))
-    sizes = inside.groupBy("node", "component").agg(F.count("*").alias("n"))
-    tops = sizes.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    open_ = inside.join(tops, "node")
-    outside = open_.where("component <> top").select("node", "rep", F.col("component").alias("own"))
-    meets = outside.join(sizes.select("node", "component"), "node").where("own <> component").select("rep", "component").distinct()
-    members = open_.select("component", F.col("rep").alias("other")).distinct()
-    spans = members.groupBy("component").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks")).join(meets.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "component")
-    spread = lambda key, n, salt: F.pmod(F.xxhash64(key, F.lit(salt)), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    one = meets.join(spans, "component").select("component", "rep", spread("rep", F.col("blocks"), 1).alias("block"), every(F.col("chunks")).alias("chunk")).join(reps, "rep")
-    two = members.join(spans, "component").select("component", "other", spread("other", F.col("chunks"), 2).alias("chunk"), every(F.col("blocks")).alias("block"))
-    two = two.join(reps.select(F.col("rep").alias("other"), F.col("sig").alias("other_sig")), "other")
-    return _similar_signatures(two.join(one, ["component", "block", "chunk"]), percent, kind).distinct()
+def _rest(rows: DataFrame, reps: DataFrame, texts: DataFrame, components: DataFrame, words: int, percent: int, kind) -> DataFrame:
+    """Links between components in large nodes of the last level, from (rep, other) rows: a member
+    and its node's centre. Nodes that share members form a cluster. All members outside a cluster's
+    largest component meet all members, in pairs of blocks of bounded size; a pair of blocks compares
+    full sets where signatures agree and gives only the links that join two of its components, so
+    never more than it has members."""
+    need = _agreeing(percent)
+    named = lambda table, as_: table.select(F.col("node").alias("rep"), F.col("component").alias(as_))
+    found = connected(rows.select(F.col("rep").alias("a"), F.col("other").alias("b")))
+    members = rows.select("rep").distinct().join(named(found, "cluster"), "rep", "left").join(named(components, "component"), "rep", "left")
+    members = members.select("rep", F.coalesce("cluster", "rep").alias("cluster"), F.coalesce("component", "rep").alias("component"))
+    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    tops = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    open_ = members.join(tops, "cluster").select("rep", "cluster", "component", (F.col("component") != F.col("top")).alias("outside"))
+    whole = stored(open_.join(reps, "rep").join(texts.withColumnRenamed("id", "rep"), "rep"), "clusters")
+
+    def blocks(which: Column) -> Column:
+        size = F.coalesce(F.octet_length("text"), F.lit(0))
+        return F.greatest(F.ceil(F.sum(which.cast("int")) / BLOCK_ROWS), F.ceil(F.sum(F.when(which, size).otherwise(0)) / BLOCK_BYTES)).cast("long")
+
+    spans = whole.groupBy("cluster").agg(blocks(F.col("outside")).alias("outs"), blocks(~F.col("outside")).alias("tops"))
+    own = F.when(F.col("outside"), F.pmod(F.xxhash64("rep"), F.col("outs"))).otherwise(F.col("outs") + F.pmod(F.xxhash64("rep"), F.col("tops")))
+    others = F.when(F.col("outside"), F.col("outs") + F.col("tops")).otherwise(F.col("outs"))
+    dealt = whole.join(spans, "cluster").withColumn("own", own).withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), others - 1)))
+    pairs = dealt.select("cluster", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"), "own", "rep", "component", "sig", "text")
+
+    def join(table: pa.Table) -> pa.Table:
+        rep, own = table.column("rep").to_numpy(), table.column("own").to_numpy()
+        sig = _sigs(table.column("sig"))
+        code = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+        parent = list(range(len(rep)))
+        sets: dict[int, np.ndarray] = {}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        def full(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_sets([table.column("text")[i].as_py()], words)[0]
+            return sets[i]
+
+        low, high = own.min(), own.max()
+        right = np.flatnonzero(own == high)
+        links = []
+        for i in np.flatnonzero(own == low).tolist():
+            met = right[right > i] if low == high else right
+            agree = (sig[met] == sig[i]).sum(axis=1)
+            agree[code[met] == code[i]] = 0
+            for j in met[np.argsort(-agree, kind="stable")[: int((agree >= need).sum())]].tolist():
+                x, y = root(code[i]), root(code[j])
+                if x != y and similar(full(i), full(j), percent):
+                    parent[x] = y
+                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())}).cast(out_schema)
+
+    schema = StructType([StructField("a", kind), StructField("b", kind)])
+    out_schema = to_arrow_schema(schema)
+    return pairs.groupBy("cluster", "low", "high").applyInArrow(join, schema)
 
 
 def candidates(reps: DataFrame, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> tuple[DataFrame, DataFrame | None]:
-    """Distinct candidate pairs (a < b) of (rep, sig) rows, and the (node, rep) rows that are still
-    in large nodes at the last level (None if there are none)."""
-    kind = reps.schema["rep"].dataType
+    """Distinct candidate pairs (a < b) of (rep, sig) rows, and (rep, other) rows, a member and its
+    node's centre, of the large nodes of the last level (None if there are none)."""
     kind = reps.schema["rep"].dataType
     tiny, stars, rest = [], [], None
     rows = _descend(reps, trees)
@@ -209,7 +254,7 @@ def candidates(reps: DataFrame, percent: int = PERCENT, trees: int = TREES, dept
         if large.isEmpty():
             break
         if level == depth:
-            rest = large.select("node", "rep")
+            rest = large.select("rep", "other")
         else:
             rows = _descend(large.select("node", "rep").join(reps, "rep").select("node", "rep", "sig"), None)
     small_rows, star_rows = (reduce(DataFrame.union, x) for x in (tiny, stars))
@@ -242,7 +287,7 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = stored(links.union(_confirmed(apart(pairs), texts, words, percent)), "links")
     found = connected(links)
     if rest is not None:
-        more = stored(_confirmed(_rest(rest, reps, found, percent, kind), texts, words, percent), "links")
+        more = stored(_rest(rest, reps, texts, found, words, percent, kind), "links")
         if not more.isEmpty():
             found = connected(links.union(more))
     named = groups.select("k1", "k2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("smallest"))

@@ -233,6 +233,25 @@ def test_chain_of_near_copies_is_one_component(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {d: c for d, (_, c) in want.items()}
 
 
+def test_hot_group_of_uneven_copies_equals_brute_force(spark, monkeypatch):
+    """One text with none to a third of its words changed, and a second such group: candidates
+    abound, links are few, and the last level needs several blocks."""
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 40)
+    rng = random.Random(4)
+    texts = []
+    for _ in range(2):
+        base = sentence(rng, 90).split()
+        for k in range(110):
+            w = list(base)
+            for i in rng.sample(range(len(w)), k % 30):
+                w[i] = f"new{rng.randrange(50)}"
+            texts.append(" ".join(w))
+    rows = [(i, t, "en", "s", None) for i, t in enumerate(texts)]
+    got = neardup.components_of(spark.createDataFrame(rows, SCHEMA), words=4, small=8, depth=3).collect()
+    want = brute_components(dict(enumerate(texts)), 4, 80)
+    assert {r["doc_id"]: r["component_id"] for r in got} == {d: c for d, (_, c) in want.items()}
+
+
 def test_near_duplicates_edge_cases(spark, docs, none):
     assert neardup.components_of(none).count() == 0
     assert neardup.drop_near_duplicates(none).count() == 0
