@@ -350,6 +350,15 @@ def test_lm_factors_sum_to_one():
     assert np.exp(lm._log_softmax(lm.inner_logits(model, inner, np.zeros(inner.size, int)))).sum(axis=1) == pytest.approx(1, rel=1e-4)
 
 
+def test_lm_skip_feature_over_classes():
+    kinds, words = np.arange(6) % lm.CLASSES, lm.Words(["a b c d e"])
+    other = kinds.copy()
+    other[words.token[0]] = lm.CLASSES - 1  # the third word before the fourth
+    rows, changed = lm.contexts(words, kinds)[0], lm.contexts(words, other)[0]
+    assert rows.shape[1] == lm.FEATURES == 5 and lm.TAIL == 32 and lm.STEP == 4096
+    assert np.flatnonzero(rows[3] != changed[3]).tolist() == [4]
+
+
 def test_lm_edge_cases(spark, docs, rows, none):
     got = lm.score(docs, F.lit(False)).collect()
     assert len(got) == len(rows) and all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
