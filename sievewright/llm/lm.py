@@ -9,16 +9,22 @@ Model. The HEAD most frequent words (a fixed number) form classes of GROUP words
 word, known or not, belongs to one of TAIL classes by its last two bytes. log P(word | context) =
 log P(class | context) + log P(word | class, context). The class softmax has hashed features of
 the context: previous word, word before it (skip), both (bigram), the classes of the two previous
-words, and of the second and third (skip). Inside a head class a softmax over its words has the
-previous word as feature; inside a tail class the word's share is (c + 0.5) / (N + 0.5 * (V + 1))
-with the class's own counts. Offsets are the logarithms of the unigram shares, so that zero
-weights are the unigram model.
+words, and of the second and third (skip). Inside every class a softmax over all its words,
+however many, has one weight for each (previous word, word) that the training text holds; none is
+shared or dropped. Its base is, in a head class, a softmax with hashed rows of the previous word,
+and in a tail class the word's share (c + 0.5) / (N + 0.5 * (V + 1)) with the class's own counts.
+Offsets are the logarithms of the unigram shares, so that zero weights are the unigram model.
 
 Training. In each of ROUNDS rounds every task takes its part of the round's training documents
 (each document is in one round, all documents are used), makes adaptive gradient steps on a copy
 of the weights, and sends the change of each weight row with the number of times the row was
 used. Changes are averaged by row with those numbers in a Spark shuffle; the weights, a fixed number
-of rows, go to the next round.
+of rows, go to the next round. The weights of word pairs are as many as the pairs and are sharded by
+(previous word, class): blocks send the counts of their pairs and the base probabilities there, a
+bucket fits each (previous word, class) on the counts of the whole corpus by gradient steps with a
+Gaussian prior, and every block gets the probabilities of its own pairs. A pair without a weight
+counts 1 in the sum of its softmax, so that sum needs only the pairs seen: it is exact at any class
+size.
 
 Defined results: a null or empty text is its end token alone; rows that share an id are in the
 same fold and each counts; without training tokens N and V are 0 and both scores are those of the
@@ -49,6 +55,9 @@ CLASSES = HEAD // GROUP + TAIL
 ROWS, INNER_ROWS = 1 << 13, 1 << 9
 FEATURES, ROUNDS, RATE, STEP = 5, 3, 0.3, 4096
 END = b"\n"  # no word holds a line feed
+#: Distinct word pairs that one bucket holds on average, all blocks together.
+BUCKET_PAIRS = 1_000_000
+PRIOR, FIT_STEPS = 2.0, 30
 START_HASH = np.uint64(0x51ED270B0A1B2C3D)
 
 
@@ -189,22 +198,114 @@ def inner_logits(model: Model, rows: np.ndarray, classes: np.ndarray) -> np.ndar
     return model.inner.reshape(INNER_ROWS, -1, GROUP)[rows, classes] + model.head_log.reshape(-1, GROUP)[classes]
 
 
-def token_logs(model: Model, words: Words, counts: np.ndarray) -> np.ndarray:
-    """log10 P of every token; counts are those of the distinct words."""
-    classes, slot = model.places(words)
-    tails = np.log((counts + 0.5) / (model.class_n[classes] + 0.5 * (model.class_v[classes] + 1)))
-    rows, inner = contexts(words, classes)
+class Pairs:
+    """The distinct (previous word, word) of a block, ascending by (previous word, class)."""
+
+    def __init__(self, model: Model, words: Words) -> None:
+        begins = np.cumsum(words.lengths) - words.lengths
+        size = words.hash.size
+        before = np.concatenate([[size], words.token[:-1]])
+        before[begins] = size
+        own, first, code = np.unique(before * (size + 1) + words.token, return_index=True, return_inverse=True)
+        self.word = own % (size + 1)
+        self.classes, self.slot = model.places(words)
+        last = np.concatenate([words.hash, [START_HASH]])[own // (size + 1)]
+        context = mix(mix(last ^ np.uint64(7)) + self.classes[self.word].astype(np.uint64))
+        order = np.lexsort((self.word, context))
+        place = np.empty(order.size, np.int64)
+        place[order] = np.arange(order.size)
+        self.word, self.context, self.first = self.word[order], context[order], first[order]
+        self.token = place[code]
+
+    def base(self, model: Model, words: Words, counts: np.ndarray) -> np.ndarray:
+        """log P of each pair's word inside its class, before the weights of pairs."""
+        kind, place = self.classes[self.word], self.slot[self.word]
+        out = np.log((counts[self.word] + 0.5) / (model.class_n[kind] + 0.5 * (model.class_v[kind] + 1)))
+        inner = contexts(words, self.classes)[1][self.first]
+        head = np.flatnonzero(place >= 0)
+        for i in range(0, head.size, STEP * 4):
+            h = head[i : i + STEP * 4]
+            out[h] = _log_softmax(inner_logits(model, inner[h], kind[h]))[np.arange(h.size), place[h] % GROUP]
+        return out.astype(np.float32)
+
+
+def fit_pairs(group: np.ndarray, n: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """log P of words inside their classes with fitted weights; group numbers ascend from 0.
+
+    The most likely weights under a Gaussian prior of variance PRIOR, by damped Newton steps on the
+    diagonal; a word without training count keeps weight 0."""
+    seen = n > 0
+    g, u = group[seen], np.exp(base[seen].astype(np.float64))
+    count, groups = n[seen].astype(np.float64), int(group[-1]) + 1 if group.size else 0
+    total = np.bincount(g, count, groups)[g]
+    weights = np.zeros(count.size)
+    norm = np.ones(groups)
+    for _ in range(FIT_STEPS):
+        expected = total * u * np.exp(weights) / norm[g]
+        weights += np.clip((count - expected - weights / PRIOR) / (expected + 1 / PRIOR), -1, 1)
+        norm = np.maximum(1 - np.bincount(g, u, groups), 0) + np.bincount(g, u * np.exp(weights), groups)
+    out = base.astype(np.float64) - np.log(norm)[group]
+    out[seen] += weights
+    return out
+
+
+def _sent_pairs(table: DataFrame, model: Model, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "data", "counts")), strict=True):
+                one = unpack_rows(data)
+                words = Words(one.column("text").to_pylist())
+                pairs = Pairs(model, words)
+                learn = ~np.repeat(np.array(one.column("held_out").to_pylist(), bool), words.lengths)
+                n = np.bincount(pairs.token[learn], minlength=pairs.word.size).astype(np.uint32)
+                sign = (mix(words.hash) >> np.uint64(32)).astype(np.uint32)[pairs.word]
+                base = pairs.base(model, words, _joined(counts))
+                packed = pa.RecordBatch.from_arrays([pa.array(pairs.context), pa.array(sign), pa.array(n), pa.array(base)], names=["context", "sign", "n", "base"])
+                for c, i, j in _cuts(_bucket_of(pairs.context, buckets)):
+                    yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([block], pa.int64()), pa.array([pack_rows(packed.slice(i, j - i))], pa.binary())], names=["bucket", "block", "data"])
+
+    return table.mapInArrow(run, "bucket long, block long, data binary")
+
+
+def _fitted(sent: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, block, data): for each block log P inside the class of its pairs in that bucket."""
+
+    def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        parts = [unpack_rows(d) for d in rows.column("data").to_pylist()]
+        ends = np.cumsum([p.num_rows for p in parts])
+        context, sign, n, base = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("context", "sign", "n", "base"))
+        order = np.lexsort((sign, context))
+        context, sign = context[order], sign[order]
+        other = np.concatenate([[True], context[1:] != context[:-1]])
+        new = other | np.concatenate([[True], sign[1:] != sign[:-1]])
+        begins = np.flatnonzero(new)
+        logs = fit_pairs((np.cumsum(other) - 1)[begins], np.add.reduceat(n[order].astype(np.int64), begins), base[order][begins])
+        back = np.empty(order.size, np.float32)
+        back[order] = logs[np.cumsum(new) - 1]
+        for block, i, j in zip(rows.column("block").to_pylist(), [0, *ends[:-1]], ends, strict=True):
+            yield pa.RecordBatch.from_arrays([rows.column("bucket")[:1].combine_chunks(), pa.array([block], pa.int64()), pa.array([pack_rows(pa.RecordBatch.from_arrays([pa.array(back[i:j])], names=["n"]))], pa.binary())], names=["bucket", "block", "data"])
+
+    return by_bucket(sent, settle, "bucket long, block long, data binary", buckets)
+
+
+def _by_block(parts: DataFrame, name: str) -> DataFrame:
+    return parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias(name))
+
+
+def _joined(parts: list) -> np.ndarray:
+    """What came back to a block, in the order of its words or pairs."""
+    return np.concatenate([unpack_rows(p["data"]).column("n").to_numpy() for p in sorted(parts, key=lambda p: p["bucket"])])
+
+
+def token_logs(model: Model, words: Words, inside: np.ndarray) -> np.ndarray:
+    """log10 P of every token; ``inside`` is log P of each token inside its class."""
+    classes, _ = model.places(words)
+    rows, _ = contexts(words, classes)
     out = np.empty(words.token.size)
     for i in range(0, out.size, STEP * 4):
-        token = words.token[i : i + STEP * 4]
-        kind, place = classes[token], slot[token]
-        logs = _log_softmax(outer_logits(model, rows[i : i + STEP * 4]))[np.arange(token.size), kind].astype(np.float64)
-        inside = tails[token]
-        h = np.flatnonzero(place >= 0)
-        if h.size:
-            inside[h] = _log_softmax(inner_logits(model, inner[i : i + STEP * 4][h], kind[h]))[np.arange(h.size), place[h] % GROUP]
-        out[i : i + STEP * 4] = logs + inside
-    return out / np.log(10)
+        kind = classes[words.token[i : i + STEP * 4]]
+        out[i : i + STEP * 4] = _log_softmax(outer_logits(model, rows[i : i + STEP * 4]))[np.arange(kind.size), kind]
+    return (out + inside) / np.log(10)
 
 
 def _add_rows(weights: np.ndarray, past: np.ndarray, used: np.ndarray, rows: list[np.ndarray], gradient: np.ndarray) -> None:
@@ -339,25 +440,28 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     model = _initial(counted)
     for number in range(rounds):
         _round(table, model, number)
-    back = counted.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias("counts"))
+    texts = table.select("block", "data").join(_by_block(counted.where("block IS NOT NULL"), "counts"), "block")
+    shards = max(12, -(-total // (BUCKET_PAIRS * 9)))
+    pairs_back = _by_block(_fitted(_sent_pairs(texts, model, shards), shards), "pairs")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unknown = model.tokens + 0.5 * (model.distinct + 1)
         for batch in batches:
-            for data, counts in zip(batch.column("data").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            for data, counts, logs in zip(*(batch.column(c).to_pylist() for c in ("data", "counts", "pairs")), strict=True):
                 one = unpack_rows(data)
                 words = Words(one.column("text").to_pylist())
-                n = np.concatenate([unpack_rows(c["data"]).column("n").to_numpy() for c in sorted(counts, key=lambda c: c["bucket"])])
+                n = _joined(counts)
+                inside = _joined(logs)[Pairs(model, words).token].astype(np.float64)
                 begins = np.cumsum(words.lengths) - words.lengths
                 own = n[words.token]
                 known = np.add.reduceat((own > 0).astype(np.int64), begins)
                 base = np.add.reduceat(np.log10((own + 0.5) / unknown), begins)
-                scores = np.add.reduceat(token_logs(model, words, n), begins)
+                scores = np.add.reduceat(token_logs(model, words, inside), begins)
                 yield pa.RecordBatch.from_arrays(
                     [one.column("id"), one.column("held_out"), pa.array(words.lengths), pa.array(known), pa.array(np.full(known.size, model.tokens)), pa.array(base), pa.array(scores)],
                     names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return table.select("block", "data").join(back, "block").select("data", "counts").mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return texts.join(pairs_back, "block").select("data", "counts", "pairs").mapInArrow(run, schema).withColumnRenamed("id", id_col)

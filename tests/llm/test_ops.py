@@ -359,6 +359,29 @@ def test_lm_skip_feature_over_classes():
     assert np.flatnonzero(rows[3] != changed[3]).tolist() == [4]
 
 
+def test_lm_pairs_sum_to_one_and_follow_counts():
+    group, n = np.array([0, 0, 0, 1, 1]), np.array([8, 1, 0, 0, 0])
+    base = np.log([0.1, 0.3, 0.6, 0.5, 0.5]).astype(np.float32)
+    got = np.exp(lm.fit_pairs(group, n, base))
+    assert np.bincount(group, got) == pytest.approx(1, rel=1e-5)
+    assert got[0] > 0.5 and got[3:] == pytest.approx(0.5)
+    weights = np.log(got[:2] / np.exp(base[:2]) * np.exp(base[2]) / got[2])
+    assert weights / lm.PRIOR == pytest.approx(n[:2] - 9 * got[:2], abs=1e-3)
+
+
+def test_lm_previous_word_raises_one_tail_word_over_another(spark):
+    twins: dict[int, list[str]] = {}
+    for i in range(2000):
+        twins.setdefault(lm.tail_class(f"w{i:04d}".encode()), []).append(f"w{i:04d}")
+    left, right = twins[lm.tail_class(b"w1000")][:2]
+    common = " ".join(f"c{i} c{i} c{i}" for i in range(lm.HEAD))
+    train = [common] * 30 + [f"x {left}", f"y {right}"] * 20
+    held = [f"x {left}", f"x {right}"]
+    rows = [(i, t, False) for i, t in enumerate(train)] + [(1000 + i, t, True) for i, t in enumerate(held)]
+    got = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string, out boolean"), F.col("out")).collect()}
+    assert got[1000] > got[1001] + 1
+
+
 def test_lm_edge_cases(spark, docs, rows, none):
     got = lm.score(docs, F.lit(False)).collect()
     assert len(got) == len(rows) and all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
