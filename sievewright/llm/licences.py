@@ -16,6 +16,7 @@ are ignored. The score is 1 - 1/2^k of the evidence: a valid tag expression coun
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -67,46 +68,63 @@ def identifier(token: str) -> str | None:
     return None
 
 
-def to_postfix(expression: str) -> list[str]:
-    """Shunting-yard: ``with`` binds before ``and``, ``and`` before ``or``. ValueError if malformed."""
+def start_postfix(tokens: Iterable[str]) -> tuple[list[str], int]:
+    """Shunting-yard over the longest start that is a whole expression, and its number of tokens:
+    ``with`` binds before ``and``, ``and`` before ``or``. One pass, up to the first token that fits
+    no longer expression."""
     out: list[str] = []
     held: list[str] = []
     operand = False
-    for token in _SPLIT.findall(expression):
+    opened = used = kept = 0
+    rest: list[str] = []
+    for n, token in enumerate(tokens, 1):
         op = token.lower()
         if op in _RANK:
             if not operand:
-                raise ValueError("operator without a left side")
+                break
             while held and held[-1] != "(" and _RANK[held[-1]] >= _RANK[op]:
                 out.append(held.pop())
             held.append(op)
             operand = False
         elif token == "(":
             if operand:
-                raise ValueError("no operator before (")
+                break
             held.append(token)
+            opened += 1
         elif token == ")":
-            if not operand:
-                raise ValueError("nothing before )")
-            while held and held[-1] != "(":
+            if not operand or not opened:
+                break
+            while held[-1] != "(":
                 out.append(held.pop())
-            if not held:
-                raise ValueError("no ( for )")
             held.pop()
+            opened -= 1
         else:
             if operand:
-                raise ValueError("two names in a row")
+                break
             out.append(token)
             operand = True
-    if not operand or "(" in held:
-        raise ValueError("the expression ends early")
-    return out + held[::-1]
+        if operand and not opened:
+            used, kept, rest = n, len(out), held[::-1]
+    return out[:kept] + rest, used
+
+
+def to_postfix(expression: str) -> list[str]:
+    """The whole expression in postfix form. ValueError if malformed."""
+    tokens = _SPLIT.findall(expression)
+    postfix, used = start_postfix(tokens)
+    if not used or used < len(tokens):
+        raise ValueError(f"no expression after token {used}")
+    return postfix
 
 
 def evaluate(expression: str) -> list[frozenset[str]]:
     """The choices that an expression leaves, each the labels that hold together: ``or`` joins
     choices, ``and`` combines them, ``with`` keeps its left side. Choices without a known label
     go; more than 64 choices are merged into one. ValueError if malformed."""
+    return _choices(to_postfix(expression))
+
+
+def _choices(postfix: list[str]) -> list[frozenset[str]]:
     stack: list[list[frozenset[str]] | str] = []
 
     def value(x: list[frozenset[str]] | str) -> list[frozenset[str]]:
@@ -115,7 +133,7 @@ def evaluate(expression: str) -> list[frozenset[str]]:
             return [frozenset([label] if label else [])]
         return x
 
-    for token in to_postfix(expression):
+    for token in postfix:
         if token not in _RANK:
             stack.append(token)
             continue
@@ -129,15 +147,11 @@ def evaluate(expression: str) -> list[frozenset[str]]:
     return [x for x in value(stack.pop()) if x]
 
 
-def tag_labels(line: str) -> set[str]:
+def tag_labels(text: str, begin: int = 0, end: int | None = None) -> set[str]:
     """Labels of the expression at the start of a tag's line: the longest start that parses."""
-    tokens = _SPLIT.findall(line)[:40]
-    for n in range(len(tokens), 0, -1):
-        try:
-            return set().union(*evaluate(" ".join(tokens[:n])))
-        except ValueError:
-            continue
-    return set()
+    found = _SPLIT.finditer(text, begin, len(text) if end is None else end)
+    postfix, used = start_postfix(m[0] for m in found)
+    return set().union(*_choices(postfix)) if used else set()
 
 
 @lru_cache(maxsize=1)
@@ -179,9 +193,12 @@ def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str,
             extra.add(NOTICES[phrase])
             weight += 1
     lowered = raw.translate(_LOWER).decode("latin-1")
+    stop = -1
     for end, _ in tags.iter(lowered):
-        stop = lowered.find("\n", end)
-        found = tag_labels(lowered[end + 1 : stop if stop >= 0 else len(lowered)][:2000])
+        if stop < end:
+            stop = lowered.find("\n", end)
+            stop = stop if stop >= 0 else len(lowered)
+        found = tag_labels(lowered, end + 1, stop)
         if found:
             extra |= found
             weight += 3

@@ -497,6 +497,27 @@ def test_licence_tags():
     assert row[5] == "bsd,gpl,isc,mit" and row[1] == 0
 
 
+@pytest.mark.parametrize("form", ["{}", "({})"])
+def test_licence_tags_of_any_length(form):
+    names = ["MIT"] * 58 + ["ISC", "BSD-3-Clause"]
+    row = licences.scan_text("SPDX-License-Identifier: " + form.format(" AND ".join(names)) + " */ rest")
+    assert row[5] == "bsd,isc,mit" and row[6] == 1 - 0.5**3
+    far = licences.scan_text("SPDX-License-Identifier: " + form.format(f"MIT OR{' ' * 3000}ISC OR x{'y' * 3000} OR Zlib"))
+    assert far[5] == "isc,mit,zlib"
+
+
+@pytest.mark.parametrize("line", ["MIT AND", "MIT OR (ISC", "(MIT", "MIT ) ISC", "MIT ISC", "AND MIT", "", "MIT OR (ISC AND Zlib) WITH", "(MIT) (ISC)", "MIT WITH a OR ISC AND (Zlib OR"])
+def test_licence_tags_equal_the_longest_start_that_parses(line):
+    tokens, want = licences._SPLIT.findall(line), set()
+    for n in range(len(tokens), 0, -1):
+        try:
+            want = set().union(*licences.evaluate(" ".join(tokens[:n])))
+            break
+        except ValueError:
+            pass
+    assert licences.tag_labels(line) == want
+
+
 # --- mixing
 
 
