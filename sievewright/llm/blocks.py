@@ -13,10 +13,11 @@ import pyarrow as pa
 import pyarrow.compute
 import pyarrow.ipc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import slices, small_batches, utf8
+from .common import slices, small_batches, tidy, utf8
 
 #: What a null id counts as: larger than all.
 LAST = (1 << 63) - 1
@@ -34,40 +35,55 @@ def unpack_rows(data: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(data).read_next_batch()
 
 
+def pack_numbers(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, compressed by byte planes: the first bytes of all numbers, then the second."""
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(a.size, a.itemsize).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(planes))
+
+
+def unpack_numbers(data: bytes, *kinds: type) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    widths = [np.dtype(k).itemsize for k in kinds]
+    n = raw.size // sum(widths)
+    ends = np.cumsum(widths) * n
+    return [np.ascontiguousarray(raw[e - w * n : e].reshape(w, n).T).view(k).reshape(n) for e, w, k in zip(ends, widths, kinds, strict=True)]
+
+
+def gathered(batches: Iterator[pa.RecordBatch], text_col: str, block: int) -> Iterator[pa.RecordBatch]:
+    """Batches whose texts have about ``block`` bytes together; a longer text stands alone."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    joined = lambda: pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    for batch in batches:
+        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_col)), 0).to_numpy()
+        for i, j in slices(lengths, block):
+            n = int(lengths[i:j].sum())
+            if held and size + n > block:
+                yield joined()
+                held, size = [], 0
+            held.append(batch.slice(i, j - i))
+            size += n
+    if sum(map(len, held)):
+        yield joined()
+
+
 def blocks(docs: DataFrame, id_col: str, text_col: str, block: int, least: int = 0) -> DataFrame:
     """One row per block: block, n_bytes, ids, keys (hash of each text, null below ``least`` bytes),
     data (the rows with all their columns)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            nonlocal number
-            one = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        for one in gathered(batches, text_col, block):
             texts = [utf8(t) for t in one.column(text_col).to_pylist()]
             keys = [xxhash.xxh3_128_digest(t) if len(t) >= least else None for t in texts]
             ids = one.column(id_col).cast(pa.int64()).fill_null(LAST)
             row = {"block": [number], "n_bytes": [sum(map(len, texts))], "ids": [ids.to_pylist()], "keys": [keys], "data": [pack_rows(one)]}
+            yield pa.RecordBatch.from_pydict(row, schema=schema)
             number += 1
-            return pa.RecordBatch.from_pydict(row, schema=schema)
-
-        for batch in batches:
-            lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_col)), 0).to_numpy()
-            for i, j in slices(lengths, block):
-                n = int(lengths[i:j].sum())
-                if held and size + n > block:
-                    yield out()
-                    held, size = [], 0
-                held.append(batch.slice(i, j - i))
-                size += n
-        if sum(map(len, held)):
-            yield out()
 
     small_batches(docs.sparkSession)
     schema = pa.schema([("block", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.binary())), ("data", pa.binary())])
-    return docs.mapInArrow(run, "block long, n_bytes long, ids array<long>, keys array<binary>, data binary")
+    return docs.mapInArrow(tidy(run), "block long, n_bytes long, ids array<long>, keys array<binary>, data binary")
 
 
 def by_bucket(rows: DataFrame, settle: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, buckets: int) -> DataFrame:
@@ -87,4 +103,4 @@ def by_bucket(rows: DataFrame, settle: Callable[[pa.Table], Iterator[pa.RecordBa
         if held:
             yield from settle(pa.Table.from_batches(held))
 
-    return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -75,6 +77,21 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` over the batches of a partition; afterwards freed memory goes back to the system, as
+    workers are used again by later stages and would hold what an earlier one needed."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries do so themselves
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def map_texts(docs: DataFrame, text: str, work: Callable[[list[str | None]], dict], added: str, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of the documents as they are, then the columns ``added`` (DDL) that ``work``
     computes from a list of texts. ``work`` may return ``__row``, the text that each result is of,
@@ -100,7 +117,7 @@ def map_texts(docs: DataFrame, text: str, work: Callable[[list[str | None]], dic
                 new = [pa.array(out[f.name], f.type, from_pandas=True) for f in fields]
                 yield pa.RecordBatch.from_arrays([*own, *new], names=[*keep, *fields.names])
 
-    return source.mapInArrow(run, StructType([*(docs.schema[c] for c in keep), *extra.fields]))
+    return source.mapInArrow(tidy(run), StructType([*(docs.schema[c] for c in keep), *extra.fields]))
 
 
 SLICE_CHARS = 4_000_000

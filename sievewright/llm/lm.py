@@ -1,9 +1,10 @@
 """LM scoring: a hashed maximum-entropy model with n-gram and skip features and a class-factored
 softmax, trained by distributed gradient updates and scored in numpy batches.
 
-Counting. Texts lie in block rows. A block sends the hashes of its distinct words with their
-training counts to hash buckets; a bucket adds them up and sends every block the totals of its own
-words. So counts cover the whole corpus, and no vocabulary is collected or broadcast.
+Counting. Texts become block rows of word numbers, tokenized once; a row holds the hashes of its
+distinct words. A block sends those hashes with their training counts to hash buckets; a bucket adds
+them up and sends every block the totals of its own words. So counts cover the whole corpus, and no
+vocabulary is collected or broadcast.
 
 Model. The HEAD most frequent words (a fixed number) form classes of GROUP words each; every other
 word, known or not, belongs to one of TAIL classes by its last two bytes. log P(word | context) =
@@ -18,17 +19,20 @@ Offsets are the logarithms of the unigram shares, so that zero weights are the u
 Training. In each of ROUNDS rounds every task takes its part of the round's training documents
 (each document is in one round, all documents are used), makes adaptive gradient steps on a copy
 of the weights, and sends the change of each weight row with the number of times the row was
-used. Changes are averaged by row with those numbers in a Spark shuffle; the weights, a fixed number
-of rows, go to the next round. The weights of word pairs are as many as the pairs and are sharded by
+used. Changes are averaged by row with those numbers in a Spark shuffle; the weights go to the next
+round. Their rows grow with the square root of the training tokens (``outer_rows``), up to MOST_ROWS,
+which bounds what a task holds. The weights of word pairs are as many as the pairs and are sharded by
 (previous word, class): blocks send the counts of their pairs and the base probabilities there, a
 bucket fits each (previous word, class) on the counts of the whole corpus by gradient steps with a
-Gaussian prior, and every block gets the probabilities of its own pairs. A pair without a weight
-counts 1 in the sum of its softmax, so that sum needs only the pairs seen: it is exact at any class
-size.
+Gaussian prior, and every block gets the gains of its own pairs. A pair without a weight counts 1 in
+the sum of its softmax, so that sum needs only the pairs seen, at any class size. Base probabilities
+travel in steps of 1/2048 and gains in steps of 1/1024 of a natural logarithm.
 
 Defined results: a null or empty text is its end token alone; rows that share an id are in the
-same fold and each counts; without training tokens N and V are 0 and both scores are those of the
-formulas with c = 0; an empty table gives no rows; other columns are ignored.
+same fold and each counts, also a null id, which stays null; ids may have any type; without training
+tokens N and V are 0 and both scores are those of the formulas with c = 0; an empty table gives no
+rows; other columns are ignored, whatever their names. A text longer than BLOCK is a block of its
+own, so memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -40,11 +44,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocks, by_bucket, pack_rows, unpack_rows
-from .common import stored, utf8
+from .blocks import by_bucket, gathered, pack_numbers, pack_rows, unpack_numbers, unpack_rows
+from .common import small_batches, stored, tidy, utf8
 from .shingles import mix
 
 BLOCK = 8_000_000
@@ -52,12 +57,14 @@ BLOCK = 8_000_000
 BUCKET_WORDS = 500_000
 HEAD, GROUP, TAIL = 512, 32, 32
 CLASSES = HEAD // GROUP + TAIL
-ROWS, INNER_ROWS = 1 << 13, 1 << 9
+ROWS, MOST_ROWS, INNER_ROWS = 1 << 13, 1 << 16, 1 << 9
+#: Training tokens up to which ROWS are enough; four times as many double them.
+ROW_TOKENS = 1 << 28
 FEATURES, ROUNDS, RATE, STEP = 5, 3, 0.3, 4096
 END = b"\n"  # no word holds a line feed
 #: Distinct word pairs that one bucket holds on average, all blocks together.
 BUCKET_PAIRS = 1_000_000
-PRIOR, FIT_STEPS = 2.0, 30
+PRIOR, FIT_STEPS, FIT_CLOSE = 2.0, 30, 1e-4
 START_HASH = np.uint64(0x51ED270B0A1B2C3D)
 
 
@@ -65,9 +72,20 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL
 
 
+def outer_rows(tokens: int) -> int:
+    """Hashed rows of the class softmax for a corpus: a power of two."""
+    doublings = max(0.0, np.log2(max(tokens, 1) / ROW_TOKENS) / 2)
+    return min(MOST_ROWS, ROWS << int(np.ceil(doublings)))
+
+
 class Words:
     """The tokens of texts as numbers of distinct words, ascending by hash."""
 
+    hash: np.ndarray
+    tail: np.ndarray
+    lengths: np.ndarray
+    token: np.ndarray
+
     def __init__(self, texts: list[str | None]) -> None:
         code: dict[bytes, int] = {END: 0}
         ids: list[np.ndarray] = []
@@ -87,6 +105,63 @@ class Words:
         self.lengths = np.array([x.size for x in ids], np.int64)
         self.token = place[np.concatenate(ids)] if ids else np.zeros(0, np.int64)
 
+    def packed(self, learn: np.ndarray) -> tuple[bytes, bytes]:
+        """Distinct words with their training counts, and tokens; frequent words have small numbers."""
+        order = np.argsort(-np.bincount(self.token, minlength=self.hash.size), kind="stable")
+        rank = np.empty(order.size, np.uint32)
+        rank[order] = np.arange(order.size)
+        counts = np.bincount(self.token[learn], minlength=self.hash.size).astype(np.uint32)
+        return pack_numbers(self.hash[order], counts[order], self.tail[order]), pack_numbers(rank[self.token])
+
+    @classmethod
+    def unpacked(cls, words: bytes, tokens: bytes, lengths: np.ndarray) -> "Words":
+        self = cls.__new__(cls)
+        hashes, _, tail = unpack_numbers(words, *WORD_TYPES)
+        order = np.argsort(hashes)
+        place = np.empty(order.size, np.int64)
+        place[order] = np.arange(order.size)
+        self.hash, self.tail, self.lengths = hashes[order], tail[order], lengths
+        self.token = place[unpack_numbers(tokens, np.uint32)[0]]
+        return self
+
+    def only(self, wanted: np.ndarray) -> "Words":
+        """The same words, with the tokens of the wanted texts."""
+        self.token, self.lengths = self.token[np.repeat(wanted, self.lengths)], self.lengths[wanted]
+        return self
+
+
+WORD_TYPES = (np.uint64, np.uint32, np.uint8)
+
+
+def coded(docs: DataFrame) -> DataFrame:
+    """Blocks of (id, text, held_out, round) rows: block, n_bytes, docs (id, held_out, round, length),
+    words and tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for one in gathered(batches, "text", BLOCK):
+            words = Words(one.column("text").to_pylist())
+            own = pa.RecordBatch.from_arrays([*(one.column(c) for c in ("id", "held_out", "round")), pa.array(words.lengths)], names=["id", "held_out", "round", "length"])
+            learn = ~np.repeat(np.array(one.column("held_out").to_pylist(), bool), words.lengths)
+            parts = words.packed(learn)
+            size = int(pa.compute.sum(pa.compute.binary_length(one.column("text"))).as_py() or 0)
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (number, size, pack_rows(own), *parts)], names=["block", "n_bytes", "docs", "words", "tokens"])
+            number += 1
+
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(tidy(run), "block long, n_bytes long, docs binary, words binary, tokens binary")
+
+
+def decoded(batch: pa.RecordBatch, *more: str) -> Iterator[tuple]:
+    """(document rows, Words, values of the columns ``more``) of each block row."""
+    for docs, words, tokens, *rest in zip(*(batch.column(c) for c in ("docs", "words", "tokens", *more)), strict=True):
+        one = unpack_rows(docs.as_py())
+        yield one, Words.unpacked(words.as_py(), tokens.as_py(), one.column("length").to_numpy()), *(x.as_py() for x in rest)
+
+
+def _learn(one: pa.RecordBatch) -> np.ndarray:
+    return ~np.array(one.column("held_out").to_pylist(), bool)
+
 
 def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Ascending with the hash, so that a block's words keep their order through the buckets."""
@@ -102,17 +177,15 @@ def _cuts(values: np.ndarray) -> list[tuple[int, int, int]]:
 def _sent_words(table: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                one = unpack_rows(data)
-                words = Words(one.column("text").to_pylist())
-                learn = ~np.repeat(np.array(one.column("held_out").to_pylist(), bool), words.lengths)
-                counts = np.bincount(words.token[learn], minlength=words.hash.size)
-                packed = pa.RecordBatch.from_arrays([pa.array(words.hash), pa.array(counts.astype(np.uint32)), pa.array(words.tail)], names=["hash", "n", "tail"])
-                cuts = _cuts(_bucket_of(words.hash, buckets))
-                parts = [pack_rows(packed.slice(i, j - i)) for _, i, j in cuts]
+            for block, data in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                columns = unpack_numbers(data, *WORD_TYPES)
+                order = np.argsort(columns[0])
+                hashes, counts, tail = (c[order] for c in columns)
+                cuts = _cuts(_bucket_of(hashes, buckets))
+                parts = [pack_numbers(hashes[i:j], counts[i:j], tail[i:j]) for _, i, j in cuts]
                 yield pa.RecordBatch.from_arrays([pa.array([c[0] for c in cuts], pa.int64()), pa.array([block] * len(cuts), pa.int64()), pa.array(parts, pa.binary())], names=["bucket", "block", "data"])
 
-    return table.select("block", "data").mapInArrow(run, "bucket long, block long, data binary")
+    return table.select("block", "words").mapInArrow(tidy(run), "bucket long, block long, data binary")
 
 
 def _counted(sent: DataFrame, buckets: int) -> DataFrame:
@@ -120,15 +193,15 @@ def _counted(sent: DataFrame, buckets: int) -> DataFrame:
     per bucket without a block, with hash, n and tail class of all its training words."""
 
     def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        parts = [unpack_rows(d) for d in rows.column("data").to_pylist()]
-        hashes, n, tail = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("hash", "n", "tail"))
+        parts = [unpack_numbers(d, *WORD_TYPES) for d in rows.column("data").to_pylist()]
+        ends = np.cumsum([p[0].size for p in parts])
+        hashes, n, tail = (np.concatenate(p) for p in zip(*parts, strict=True))
         own, first, code = np.unique(hashes, return_index=True, return_inverse=True)
         total = np.bincount(code, n, own.size).astype(np.int64)
         back = total[code]
-        ends = np.cumsum([p.num_rows for p in parts])
         known = total > 0
         whole = pa.RecordBatch.from_arrays([pa.array(own[known]), pa.array(total[known]), pa.array(tail[first][known])], names=["hash", "n", "tail"])
-        data = [pack_rows(pa.RecordBatch.from_arrays([pa.array(back[i:j])], names=["n"])) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+        data = [pack_numbers(back[i:j]) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
         bucket = rows.column("bucket")[0].as_py()
         yield pa.RecordBatch.from_arrays([pa.array([bucket] * (len(data) + 1), pa.int64()), pa.array([*rows.column("block").to_pylist(), None], pa.int64()), pa.array([*data, pack_rows(whole)], pa.binary())], names=["bucket", "block", "data"])
 
@@ -146,9 +219,13 @@ class Model:
     class_n: np.ndarray
     class_v: np.ndarray
     head_log: np.ndarray  # log share of each slot inside its class, -inf where there is none
-    outer: np.ndarray = field(default_factory=lambda: np.zeros((ROWS, CLASSES), np.float32))
+    outer: np.ndarray | None = None
     inner: np.ndarray = field(default_factory=lambda: np.zeros((INNER_ROWS, HEAD), np.float32))
 
+    def __post_init__(self) -> None:
+        if self.outer is None:
+            self.outer = np.zeros((outer_rows(self.tokens), CLASSES), np.float32)
+
     @property
     def class_log(self) -> np.ndarray:
         return np.log((self.class_n + 0.5) / (self.class_n + 0.5).sum()).astype(np.float32)
@@ -161,7 +238,7 @@ class Model:
         return np.where(slot >= 0, slot // GROUP, HEAD // GROUP + words.tail), slot
 
 
-def contexts(words: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def contexts(words: Words, classes: np.ndarray, count: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the outer weights (tokens x FEATURES) and of the inner ones."""
     begins = np.cumsum(words.lengths) - words.lengths
     inside = np.arange(words.token.size) - np.repeat(begins, words.lengths)
@@ -178,8 +255,15 @@ def contexts(words: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     k1, k2, k3 = (before(kind, k, np.uint64(CLASSES)) for k in (1, 2, 3))
     n = np.uint64(CLASSES + 1)
     keys = [h1, h2 ^ np.uint64(0xA5A5A5A5), mix(h1) + h2, k1 * n + k2 + np.uint64(7), k2 * n + k3 + np.uint64(70_007)]
-    rows = np.stack([(mix(k + np.uint64(i * int(START_HASH) % 2**64)) % np.uint64(ROWS)).astype(np.int32) for i, k in enumerate(keys)], axis=1)
-    return rows, (mix(h1 ^ np.uint64(99)) % np.uint64(INNER_ROWS)).astype(np.int32)
+    rows = np.stack([(mix(k + np.uint64(i * int(START_HASH) % 2**64)) % np.uint64(count)).astype(np.int32) for i, k in enumerate(keys)], axis=1)
+    return rows, inner_rows(words)
+
+
+def inner_rows(words: Words) -> np.ndarray:
+    """Rows of the inner weights: the previous word of each token, hashed."""
+    before = np.concatenate([[START_HASH], words.hash[words.token[:-1]]])
+    before[np.cumsum(words.lengths) - words.lengths] = START_HASH
+    return (mix(before[: words.token.size] ^ np.uint64(99)) % np.uint64(INNER_ROWS)).astype(np.int32)
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
@@ -221,7 +305,7 @@ class Pairs:
         """log P of each pair's word inside its class, before the weights of pairs."""
         kind, place = self.classes[self.word], self.slot[self.word]
         out = np.log((counts[self.word] + 0.5) / (model.class_n[kind] + 0.5 * (model.class_v[kind] + 1)))
-        inner = contexts(words, self.classes)[1][self.first]
+        inner = inner_rows(words)[self.first]
         head = np.flatnonzero(place >= 0)
         for i in range(0, head.size, STEP * 4):
             h = head[i : i + STEP * 4]
@@ -242,48 +326,58 @@ def fit_pairs(group: np.ndarray, n: np.ndarray, base: np.ndarray) -> np.ndarray:
     norm = np.ones(groups)
     for _ in range(FIT_STEPS):
         expected = total * u * np.exp(weights) / norm[g]
-        weights += np.clip((count - expected - weights / PRIOR) / (expected + 1 / PRIOR), -1, 1)
+        step = np.clip((count - expected - weights / PRIOR) / (expected + 1 / PRIOR), -1, 1)
+        if not step.size or np.abs(step).max() < FIT_CLOSE:
+            break
+        weights += step
         norm = np.maximum(1 - np.bincount(g, u, groups), 0) + np.bincount(g, u * np.exp(weights), groups)
     out = base.astype(np.float64) - np.log(norm)[group]
     out[seen] += weights
     return out
 
 
+PAIR_TYPES = (np.uint64, np.uint32, np.uint32, np.uint16)
+
+
 def _sent_pairs(table: DataFrame, model: Model, buckets: int) -> DataFrame:
+    """(bucket, block, data) of PAIR_TYPES: steps between contexts (their first 48 bits), word signs,
+    training counts and base probabilities."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, data, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "data", "counts")), strict=True):
-                one = unpack_rows(data)
-                words = Words(one.column("text").to_pylist())
+            for one, words, block, counts in decoded(batch, "block", "counts"):
                 pairs = Pairs(model, words)
-                learn = ~np.repeat(np.array(one.column("held_out").to_pylist(), bool), words.lengths)
-                n = np.bincount(pairs.token[learn], minlength=pairs.word.size).astype(np.uint32)
+                n = np.bincount(pairs.token[np.repeat(_learn(one), words.lengths)], minlength=pairs.word.size).astype(np.uint32)
                 sign = (mix(words.hash) >> np.uint64(32)).astype(np.uint32)[pairs.word]
-                base = pairs.base(model, words, _joined(counts))
-                packed = pa.RecordBatch.from_arrays([pa.array(pairs.context), pa.array(sign), pa.array(n), pa.array(base)], names=["context", "sign", "n", "base"])
+                base = np.clip(np.rint(pairs.base(model, words, _joined(counts, np.int64)) * -2048), 0, 65535).astype(np.uint16)
+                context = pairs.context >> np.uint64(16)
                 for c, i, j in _cuts(_bucket_of(pairs.context, buckets)):
-                    yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([block], pa.int64()), pa.array([pack_rows(packed.slice(i, j - i))], pa.binary())], names=["bucket", "block", "data"])
+                    data = pack_numbers(np.diff(context[i:j], prepend=np.uint64(0)), sign[i:j], n[i:j], base[i:j])
+                    yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([block], pa.int64()), pa.array([data], pa.binary())], names=["bucket", "block", "data"])
 
-    return table.mapInArrow(run, "bucket long, block long, data binary")
+    return table.mapInArrow(tidy(run), "bucket long, block long, data binary")
 
 
 def _fitted(sent: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, block, data): for each block log P inside the class of its pairs in that bucket."""
+    """(bucket, block, data): for each block what the weights add to log P of its pairs in that bucket."""
 
     def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        parts = [unpack_rows(d) for d in rows.column("data").to_pylist()]
-        ends = np.cumsum([p.num_rows for p in parts])
-        context, sign, n, base = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("context", "sign", "n", "base"))
+        parts = [unpack_numbers(d, *PAIR_TYPES) for d in rows.column("data").to_pylist()]
+        ends = np.cumsum([p[0].size for p in parts])
+        context = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+        sign, n, base = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        del parts
         order = np.lexsort((sign, context))
         context, sign = context[order], sign[order]
         other = np.concatenate([[True], context[1:] != context[:-1]])
         new = other | np.concatenate([[True], sign[1:] != sign[:-1]])
         begins = np.flatnonzero(new)
-        logs = fit_pairs((np.cumsum(other) - 1)[begins], np.add.reduceat(n[order].astype(np.int64), begins), base[order][begins])
-        back = np.empty(order.size, np.float32)
-        back[order] = logs[np.cumsum(new) - 1]
+        base = base[order][begins].astype(np.float64) / -2048
+        logs = fit_pairs((np.cumsum(other) - 1)[begins], np.add.reduceat(n[order].astype(np.int64), begins), base)
+        back = np.empty(order.size, np.int16)
+        back[order] = np.clip(np.rint((logs - base) * 1024), -32768, 32767)[np.cumsum(new) - 1]
         for block, i, j in zip(rows.column("block").to_pylist(), [0, *ends[:-1]], ends, strict=True):
-            yield pa.RecordBatch.from_arrays([rows.column("bucket")[:1].combine_chunks(), pa.array([block], pa.int64()), pa.array([pack_rows(pa.RecordBatch.from_arrays([pa.array(back[i:j])], names=["n"]))], pa.binary())], names=["bucket", "block", "data"])
+            yield pa.RecordBatch.from_arrays([rows.column("bucket")[:1].combine_chunks(), pa.array([block], pa.int64()), pa.array([pack_numbers(back[i:j])], pa.binary())], names=["bucket", "block", "data"])
 
     return by_bucket(sent, settle, "bucket long, block long, data binary", buckets)
 
@@ -292,15 +386,15 @@ def _by_block(parts: DataFrame, name: str) -> DataFrame:
     return parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias(name))
 
 
-def _joined(parts: list) -> np.ndarray:
+def _joined(parts: list, kind: type) -> np.ndarray:
     """What came back to a block, in the order of its words or pairs."""
-    return np.concatenate([unpack_rows(p["data"]).column("n").to_numpy() for p in sorted(parts, key=lambda p: p["bucket"])])
+    return np.concatenate([unpack_numbers(p["data"], kind)[0] for p in sorted(parts, key=lambda p: p["bucket"])])
 
 
 def token_logs(model: Model, words: Words, inside: np.ndarray) -> np.ndarray:
     """log10 P of every token; ``inside`` is log P of each token inside its class."""
     classes, _ = model.places(words)
-    rows, _ = contexts(words, classes)
+    rows, _ = contexts(words, classes, len(model.outer))
     out = np.empty(words.token.size)
     for i in range(0, out.size, STEP * 4):
         kind = classes[words.token[i : i + STEP * 4]]
@@ -310,34 +404,32 @@ def token_logs(model: Model, words: Words, inside: np.ndarray) -> np.ndarray:
 
 def _add_rows(weights: np.ndarray, past: np.ndarray, used: np.ndarray, rows: list[np.ndarray], gradient: np.ndarray) -> None:
     """One adaptive step on the rows of a batch, for each of its features; equal rows add up first."""
-    count, width = weights.shape
-    flat = gradient.astype(np.float64).ravel()
-    column = np.arange(width)
-    total = np.zeros(count * width)
-    for r in rows:
-        total += np.bincount((r[:, None] * width + column).ravel(), flat, count * width)
-        used += np.bincount(r, minlength=count)
-    total = total.reshape(count, width)
-    past += np.einsum("ij,ij->i", total, total).astype(np.float32)
-    weights -= (RATE * total / np.sqrt(past + 1e-6)[:, None]).astype(np.float32)
-
-
-def learn(model: Model, texts: Iterator[list[str | None]]) -> tuple[np.ndarray, np.ndarray]:
+    which = np.concatenate(rows).astype(np.uint16)  # MOST_ROWS fit, and 16 bits sort by radix
+    order = np.argsort(which, kind="stable")
+    ranked = which[order]
+    begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    own = ranked[begins]
+    total = np.add.reduceat(gradient[order % len(gradient)], begins, axis=0)
+    past[own] += np.einsum("ij,ij->i", total, total)
+    used[own] += np.diff(begins, append=ranked.size)
+    weights[own] -= RATE * total / np.sqrt(past[own] + 1e-6)[:, None]
+
+
+def learn(model: Model, texts: Iterator[Words]) -> tuple[np.ndarray, np.ndarray]:
     """Gradient steps on a copy of the weights; how often each row was used (outer, inner)."""
-    past, used = np.zeros(ROWS, np.float32), np.zeros(ROWS, np.int64)
+    past, used = np.zeros(len(model.outer), np.float32), np.zeros(len(model.outer), np.int64)
     flat = model.inner.reshape(-1, GROUP)
     inner_past = np.zeros(len(flat), np.float32)
     inner_used = np.zeros(len(flat), np.int64)
-    for some in texts:
-        words = Words(some)
+    for words in texts:
         classes, slot = model.places(words)
-        rows, inner = contexts(words, classes)
+        rows, inner = contexts(words, classes, len(model.outer))
         for i in range(0, words.token.size, STEP):
             token, r = words.token[i : i + STEP], rows[i : i + STEP]
             kind, place = classes[token], slot[token]
             g = np.exp(_log_softmax(outer_logits(model, r)))
             g[np.arange(token.size), kind] -= 1
-            _add_rows(model.outer, past, used, [r[:, k].astype(np.int64) for k in range(FEATURES)], g)
+            _add_rows(model.outer, past, used, list(r.T), g)
             h = np.flatnonzero(place >= 0)
             if h.size:
                 g = np.exp(_log_softmax(inner_logits(model, inner[i : i + STEP][h], kind[h])))
@@ -348,18 +440,17 @@ def learn(model: Model, texts: Iterator[list[str | None]]) -> tuple[np.ndarray,
 
 def _round(table: DataFrame, model: Model, number: int, slices: int = 16) -> None:
     """One round of training over the documents of that number; changes the model."""
-    width = ROWS // slices, INNER_ROWS * (HEAD // GROUP) // slices
+    width = len(model.outer) // slices, INNER_ROWS * (HEAD // GROUP) // slices
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = model.outer.copy(), model.inner.reshape(-1, GROUP).copy()
 
-        def texts() -> Iterator[list[str | None]]:
+        def texts() -> Iterator[Words]:
             for batch in batches:
-                for data in batch.column("data").to_pylist():
-                    one = unpack_rows(data)
-                    wanted = (np.array(one.column("round").to_pylist()) == number) & ~np.array(one.column("held_out").to_pylist(), bool)
+                for one, words in decoded(batch):
+                    wanted = (one.column("round").to_numpy() == number) & _learn(one)
                     if wanted.any():
-                        yield one.column("text").filter(pa.array(wanted)).to_pylist()
+                        yield words.only(wanted)
 
         used = learn(model, texts())
         after = model.outer, model.inner.reshape(-1, GROUP)
@@ -388,7 +479,7 @@ def _round(table: DataFrame, model: Model, number: int, slices: int = 16) -> Non
         mean = {p: (t / np.maximum(u, 1)[:, None]).astype(np.float32).tobytes() for p, (t, u) in sums.items()}
         yield pa.RecordBatch.from_arrays([pa.array(list(mean), pa.int64()), pa.array(list(mean.values()), pa.binary())], names=["part", "data"])
 
-    changes = table.select("data").mapInArrow(run, "part long, data binary").repartition("part").mapInArrow(add, "part long, data binary").collect()
+    changes = table.select("docs", "words", "tokens").mapInArrow(tidy(run), "part long, data binary").repartition("part").mapInArrow(tidy(add), "part long, data binary").collect()
     flat = model.inner.reshape(-1, GROUP)
     for r in changes:
         kind, s = divmod(r["part"], slices)
@@ -433,14 +524,14 @@ def _initial(counted: DataFrame) -> Model:
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out.alias("held_out"), F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(rounds)).alias("round"))
-    table = stored(blocks(named, "id", "text", BLOCK), "blocks", "uncompressed")
+    table = stored(coded(named), "blocks", "uncompressed")
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(12, -(-total // (BUCKET_WORDS * 24)))
     counted = stored(_counted(_sent_words(table, buckets), buckets), "counts", "uncompressed")
     model = _initial(counted)
     for number in range(rounds):
         _round(table, model, number)
-    texts = table.select("block", "data").join(_by_block(counted.where("block IS NOT NULL"), "counts"), "block")
+    texts = table.select("block", "docs", "words", "tokens").join(_by_block(counted.where("block IS NOT NULL"), "counts"), "block")
     shards = max(12, -(-total // (BUCKET_PAIRS * 9)))
     pairs_back = _by_block(_fitted(_sent_pairs(texts, model, shards), shards), "pairs")
     kind = docs.schema[id_col].dataType.simpleString()
@@ -448,11 +539,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unknown = model.tokens + 0.5 * (model.distinct + 1)
         for batch in batches:
-            for data, counts, logs in zip(*(batch.column(c).to_pylist() for c in ("data", "counts", "pairs")), strict=True):
-                one = unpack_rows(data)
-                words = Words(one.column("text").to_pylist())
-                n = _joined(counts)
-                inside = _joined(logs)[Pairs(model, words).token].astype(np.float64)
+            for one, words, counts, gains in decoded(batch, "counts", "pairs"):
+                n = _joined(counts, np.int64)
+                pairs = Pairs(model, words)
+                inside = (pairs.base(model, words, n) + _joined(gains, np.int16) / 1024)[pairs.token]
                 begins = np.cumsum(words.lengths) - words.lengths
                 own = n[words.token]
                 known = np.add.reduceat((own > 0).astype(np.int64), begins)
@@ -464,4 +554,4 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 )
 
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return texts.join(pairs_back, "block").select("data", "counts", "pairs").mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return texts.join(pairs_back, "block").select("docs", "words", "tokens", "counts", "pairs").mapInArrow(tidy(run), schema).withColumnRenamed("id", id_col)
