@@ -4,13 +4,17 @@ shunting-yard parser evaluates and/or/with expressions behind tags.
 Texts are searched whole. Phrases are sought in the text's words: A-Z lower-cased, a word is a run
 of ASCII digits, ASCII letters and all code points above 127; a phrase stands where its words
 stand consecutively. Tags (``SPDX-License-Identifier:``, ``License:``, ...) are sought in the raw
-text, ASCII case ignored; the rest of the tag's line is parsed as a licence expression and only
-known identifiers count.
+text, ASCII case ignored; the rest of the tag's line, however long, is parsed as a licence expression
+and only known identifiers count. ``labels`` has every label that a text names; ``choices`` tells what
+the expressions leave to choose: ``gpl|mit`` for ``MIT OR GPL-2.0``, ``gpl+mit`` for ``MIT AND
+GPL-2.0``, distinct expressions joined by ``;``; ``required`` has the labels that all choices of some
+expression hold.
 
 Defined results: null or empty text has no words, no places, null first_word and last_word, empty
-labels and score 0; repeated rows give repeated rows; an empty table gives no rows; other columns
-are ignored. The score is 1 - 1/2^k of the evidence: a valid tag expression counts 3, a base place
-2, another notice phrase 1, k capped at 16.
+labels, choices and required, and score 0; repeated rows give repeated rows; an empty table gives no
+rows; other columns are ignored, whatever their names; very long texts are searched whole. The score is
+1 - 1/2^k of the evidence: a tag expression counts 3 if some label is required, 2 if it leaves a choice
+between labels, a base place 2, another notice phrase 1, k capped at 16.
 """
 
 from __future__ import annotations
@@ -119,19 +123,26 @@ def to_postfix(expression: str) -> list[str]:
 
 def evaluate(expression: str) -> list[frozenset[str]]:
     """The choices that an expression leaves, each the labels that hold together: ``or`` joins
-    choices, ``and`` combines them, ``with`` keeps its left side. Choices without a known label
-    go; more than 64 choices are merged into one. ValueError if malformed."""
+    choices, ``and`` combines them, ``with`` keeps its left side. A choice that holds all of another
+    one and more is none, so there are never more choices than sets of labels, however long the
+    expression. Unknown identifiers have no label. ValueError if malformed."""
     return _choices(to_postfix(expression))
 
 
+UNKNOWN = "?"
+
+
+def _least(choices: Iterable[frozenset[str]]) -> list[frozenset[str]]:
+    """Distinct choices without those that hold another one, in their order."""
+    distinct = list(dict.fromkeys(choices))
+    return [x for x in distinct if not any(y < x for y in distinct)]
+
+
 def _choices(postfix: list[str]) -> list[frozenset[str]]:
     stack: list[list[frozenset[str]] | str] = []
 
     def value(x: list[frozenset[str]] | str) -> list[frozenset[str]]:
-        if isinstance(x, str):
-            label = identifier(x)
-            return [frozenset([label] if label else [])]
-        return x
+        return [frozenset([identifier(x) or UNKNOWN])] if isinstance(x, str) else x
 
     for token in postfix:
         if token not in _RANK:
@@ -142,16 +153,19 @@ def _choices(postfix: list[str]) -> list[frozenset[str]]:
             stack.append(value(left))
             continue
         a, b = value(left), value(right)
-        both = [*a, *b] if token == "or" else [x | y for x in a for y in b]
-        stack.append(list(dict.fromkeys(both)) if len(both) <= 64 else [frozenset().union(*both)])
-    return [x for x in value(stack.pop()) if x]
+        stack.append(_least([*a, *b] if token == "or" else (x | y for x in a for y in b)))
+    return _least(x - {UNKNOWN} for x in value(stack.pop()) if x - {UNKNOWN})
 
 
-def tag_labels(text: str, begin: int = 0, end: int | None = None) -> set[str]:
-    """Labels of the expression at the start of a tag's line: the longest start that parses."""
+def tag_choices(text: str, begin: int = 0, end: int | None = None) -> tuple[set[str], list[frozenset[str]]]:
+    """All labels, and the choices, of the expression at the start of a tag's line: the longest start
+    that parses."""
     found = _SPLIT.finditer(text, begin, len(text) if end is None else end)
     postfix, used = start_postfix(m[0] for m in found)
-    return set().union(*_choices(postfix)) if used else set()
+    if not used:
+        return set(), []
+    named = {label for x, before in zip(postfix, [*postfix[1:], ""], strict=True) if x not in _RANK and before != "with" and (label := identifier(x))}
+    return named, _choices(postfix)
 
 
 @lru_cache(maxsize=1)
@@ -169,7 +183,7 @@ def _automata() -> tuple[object, object]:
     return phrases, tags
 
 
-def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float]:
+def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float, str, str]:
     phrases, tags = _automata()
     raw = utf8(text)
     words = raw.translate(_WORDS).split()
@@ -194,24 +208,30 @@ def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str,
             weight += 1
     lowered = raw.translate(_LOWER).decode("latin-1")
     stop = -1
+    shown: set[str] = set()
+    required: set[str] = set()
     for end, _ in tags.iter(lowered):
         if stop < end:
             stop = lowered.find("\n", end)
             stop = stop if stop >= 0 else len(lowered)
-        found = tag_labels(lowered, end + 1, stop)
-        if found:
+        found, choices = tag_choices(lowered, end + 1, stop)
+        if choices:
             extra |= found
-            weight += 3
-    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | extra)), 1.0 - 0.5 ** min(weight, 16)
+            both = frozenset.intersection(*choices)
+            required |= both
+            shown.add("|".join(sorted("+".join(sorted(c)) for c in choices)))
+            weight += 3 if both else 2
+    labels = ",".join(sorted(base)), ",".join(sorted(base | extra))
+    return len(words), len(places), min(places, default=None), max(places, default=None), *labels, 1.0 - 0.5 ** min(weight, 16), ";".join(sorted(shown)), ",".join(sorted(required))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score, choices, required."""
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "choices", "required"]
 
     def work(texts: list[str | None]) -> dict:
         rows = [scan_text(x) for x in texts]
         return {name: [r[i] for r in rows] for i, name in enumerate(names)}
 
-    added = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+    added = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, choices string, required string"
     return map_texts(docs, text_col, work, added, [id_col])
