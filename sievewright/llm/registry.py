@@ -53,8 +53,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pictures = media.text_pictures(table(spark, sf_dir, "documents"))
-    return media.payload_digests(media.media_features(pictures))
+    return media.text_media(table(spark, sf_dir, "documents"), with_files=False).withColumnRenamed("dhash", "feature")
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
