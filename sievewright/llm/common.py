@@ -77,14 +77,16 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
-def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``work`` over the batches of a partition; afterwards freed memory goes back to the system, as
-    workers are used again by later stages and would hold what an earlier one needed."""
+def tidy(work: Callable[[Iterator], Iterator], after: Callable[[], None] | None = None) -> Callable[[Iterator], Iterator]:
+    """``work`` over the batches of a partition, then ``after``; afterwards freed memory goes back to
+    the system, as workers are used again by later stages and would hold what an earlier one needed."""
 
     def run(batches: Iterator) -> Iterator:
         try:
             yield from work(batches)
         finally:
+            if after:
+                after()
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):  # other C libraries do so themselves
                 ctypes.CDLL(None).malloc_trim(0)
@@ -92,11 +94,12 @@ def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
     return run
 
 
-def map_texts(docs: DataFrame, text: str, work: Callable[[list[str | None]], dict], added: str, keep: list[str]) -> DataFrame:
+def map_texts(docs: DataFrame, text: str, work: Callable[[list[str | None]], dict], added: str, keep: list[str], after: Callable[[], None] | None = None) -> DataFrame:
     """Columns ``keep`` of the documents as they are, then the columns ``added`` (DDL) that ``work``
     computes from a list of texts. ``work`` may return ``__row``, the text that each result is of,
     else results go with texts one to one. Kept columns named like added ones are replaced. Texts
-    come in slices of about SLICE_CHARS, so memory follows the longest text, not the batch."""
+    come in slices of about SLICE_CHARS, so memory follows the longest text, not the batch. ``after``
+    runs at the end of a partition."""
     small_batches(docs.sparkSession)
     extra = StructType.fromDDL(added)
     keep = [c for c in keep if c not in extra.names]
@@ -117,7 +120,7 @@ def map_texts(docs: DataFrame, text: str, work: Callable[[list[str | None]], dic
                 new = [pa.array(out[f.name], f.type, from_pandas=True) for f in fields]
                 yield pa.RecordBatch.from_arrays([*own, *new], names=[*keep, *fields.names])
 
-    return source.mapInArrow(tidy(run), StructType([*(docs.schema[c] for c in keep), *extra.fields]))
+    return source.mapInArrow(tidy(run, after), StructType([*(docs.schema[c] for c in keep), *extra.fields]))
 
 
 SLICE_CHARS = 4_000_000

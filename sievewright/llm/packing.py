@@ -8,8 +8,10 @@ numbered, and the number alone says which pattern, which pack and which offset a
 Numbering needs no window over one length: pieces of a length are spread over salts, salts are
 prefixed by their counts, and only the pieces of a (length, salt) pair are ordered in a task.
 
-Defined results: a null or empty text is its end token alone; repeated rows are packed again; a
-null id is kept as null; an empty table gives no rows; other columns are ignored.
+Defined results: a null or empty text is its end token alone; a very long text is tokenized whole and
+cut into as many pieces as it needs; repeated rows are packed again (rows that tie in id and start are
+interchangeable); a null id is kept as null, ids may have any type; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,9 +30,10 @@ from .common import map_texts, stored, utf8
 CAPACITY, END_ID = 2048, 1
 #: Pieces that one numbering task holds for a (length, salt) pair on average, at most.
 SALT_ROWS = 20_000
-#: Entries of a worker's word memory (or one text's words, if more); emptied when full, so it bounds
-#: memory, not results.
-MEMORY = 400_000
+#: Bytes of a worker's word memory, half for words and half for their parts, an entry counted as
+#: ENTRY_BYTES beside its own (or one text's words, if more). It is emptied when full and at the end of
+#: a partition, so it bounds memory, not results.
+MEMORY, ENTRY_BYTES = 48_000_000, 180
 
 #: Letters whose lower case and composition are simple, then ASCII marks: such a word splits into
 #: two parts whatever surrounds it. Everything else takes the tokenizer's own way.
@@ -56,14 +59,20 @@ class WordEncoder:
         self.letters = _byte_letters()
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.held = [0, 0]
+
+    def forget(self, which: int) -> None:
+        (self.words, self.parts)[which].clear()
+        self.held[which] = 0
 
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
             shown = "".join([self.letters[b] for b in part.encode()])
             found = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
-            if len(self.parts) >= MEMORY:
-                self.parts.clear()
+            self.held[1] += ENTRY_BYTES + len(part) + len(found)
+            if self.held[1] > MEMORY // 2:
+                self.forget(1)
             self.parts[part] = found
         return found
 
@@ -76,12 +85,11 @@ class WordEncoder:
     def encode(self, text: str | None) -> bytes:
         words = utf8(text).split()
         memory = self.words
-        fresh = set(words).difference(memory)
-        if len(memory) + len(fresh) > MEMORY:
-            memory.clear()
-            fresh = set(words)
-        for w in fresh:
-            memory[w] = self._word(w.decode())
+        if self.held[0] > MEMORY // 2:
+            self.forget(0)
+        for w in set(words).difference(memory):
+            memory[w] = ids = self._word(w.decode())
+            self.held[0] += ENTRY_BYTES + len(w) + len(ids)
         return b"".join(map(memory.__getitem__, words))
 
 
@@ -94,6 +102,12 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def forget_words() -> None:
+    for one in _ENCODERS.values():
+        one.forget(0)
+        one.forget(1)
+
+
 def cuts(tokens: int, capacity: int = CAPACITY) -> list[int]:
     """Piece lengths of a document of ``tokens``."""
     full, rest = divmod(tokens, capacity)
@@ -118,7 +132,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         return {name: [r[i] for r in rows] for i, name in enumerate(names)}
 
     added = "start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
-    return map_texts(docs, text_col, work, added, [id_col])
+    return map_texts(docs, text_col, work, added, [id_col], forget_words)
 
 
 def histogram_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
