@@ -18,8 +18,9 @@ Hash buckets hold packed rows (block x bucket, never more rows than hashes), the
 the input, and tasks work through pieces of bounded size, also of a single very long text.
 
 Defined results: null text is empty; texts shorter than LENGTH stay; rows that share an id never
-remove bytes of each other; a null id counts as larger than all; an empty table gives no rows;
-other columns are kept, those named as the results are replaced.
+remove bytes of each other; ids are integers (others raise TypeError), a null id counts as larger than
+all; an empty table gives no rows; other columns are kept, those named as the results are replaced. A
+text longer than BLOCK is a block of its own and is sorted in pieces that overlap by LENGTH - 1 bytes.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructType
 
 from .blocks import LAST, blocks, by_bucket, pack_rows, unpack_rows
-from .common import slices, stored, utf8
+from .common import slices, stored, tidy, utf8
 from .deep_shallow import sort_windows
 from .shingles import mix
 
@@ -42,6 +43,8 @@ LENGTH, GRAM = 50, 16
 BLOCK = 2_000_000
 #: Anchors that one bucket holds on average; windows that one sort takes at once.
 BUCKET_ANCHORS, SORT_WINDOWS = 1_000_000, 400_000
+#: Parts into which the copies of one text are dealt.
+COPY_SALTS = 32
 
 
 class Piece:
@@ -120,7 +123,7 @@ def _sent_anchors(table: DataFrame, text_col: str, buckets: int) -> DataFrame:
                     parts = [p.tobytes() for p in np.split(packed, starts[1:])] if found.size else []
                     yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([block] * len(parts), pa.int64()), pa.array(parts, pa.binary())], names=["bucket", "block", "data"])
 
-    return table.select("block", "ids", "data").mapInArrow(run, "bucket long, block long, data binary")
+    return table.select("block", "ids", "data").mapInArrow(tidy(run), "bucket long, block long, data binary")
 
 
 def _low40(data: list[bytes]) -> np.ndarray:
@@ -230,7 +233,7 @@ def _sent_segments(known: DataFrame, text_col: str, buckets: int) -> DataFrame:
                         names=["bucket", "block", "data", "marks"],
                     )
 
-    return known.mapInArrow(run, "bucket long, block long, data binary, marks binary")
+    return known.mapInArrow(tidy(run), "bucket long, block long, data binary, marks binary")
 
 
 def _settle_segments(anchor: np.ndarray, ids: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -313,9 +316,13 @@ def spans(marks: np.ndarray) -> np.ndarray:
     return np.stack([ordered[new, 0], reach[np.append(np.flatnonzero(new)[1:] - 1, len(ordered) - 1)]], axis=1)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows with n_bytes, n_removed, n_spans, spans (array of [start, end)), kept_bytes."""
-    names = ["n_bytes", "n_removed", "n_spans", "spans", "kept_bytes"]
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
+    """The rows with n_bytes, n_removed, n_spans, spans (array of [start, end)) and kept_bytes, or
+    kept_text: the kept bytes as text, without parts of characters whose other bytes went."""
+    kept = "kept_text" if as_text else "kept_bytes"
+    names = ["n_bytes", "n_removed", "n_spans", "spans", kept]
+    if docs.schema[id_col].dataType not in (ByteType(), ShortType(), IntegerType(), LongType()):
+        raise TypeError(f"{id_col} must be an integer")
     own = docs.drop(*names)
     table = stored(blocks(own, id_col, text_col, BLOCK, LENGTH), "blocks", "uncompressed")
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
@@ -323,13 +330,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     rows = table.select("block", F.posexplode(F.arrays_zip("ids", "keys")).alias("row", "x")).select("block", "row", F.col("x.ids").alias("id"), F.col("x.keys").alias("key")).where("key IS NOT NULL")
     smallest = rows.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    copies = rows.join(smallest.select("key", "least"), "key").where("id > least").groupBy("block").agg(F.collect_list("row").alias("copies"))
+    # a text that very many documents share meets its smallest id in COPY_SALTS places
+    salted = smallest.select("key", "least", F.explode(F.sequence(F.lit(0), F.lit(COPY_SALTS - 1))).alias("salt"))
+    met = rows.withColumn("salt", F.pmod(F.xxhash64("block", "row"), F.lit(COPY_SALTS)).cast("int")).join(salted, ["key", "salt"])
+    copies = met.where("id > least").groupBy("block").agg(F.collect_list("row").alias("copies"))
     shared = _shared_anchors(_sent_anchors(table, text_col, buckets), buckets).groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias("shared"))
     known = table.select("block", "ids", "data").join(shared, "block", "left").join(copies, "block", "left")
     marks = _marks(_sent_segments(known, text_col, buckets), buckets).groupBy("block").agg(F.collect_list("marks").alias("marks"))
     final = table.select("block", "data").join(marks, "block", "left").join(copies, "block", "left")
 
-    schema = StructType([*own.schema.fields, *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept_bytes binary").fields])
+    schema = StructType([*own.schema.fields, *StructType.fromDDL(f"n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, {kept} {'string' if as_text else 'binary'}").fields])
     out_schema = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,13 +357,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     if len(cut):
                         edges = [0, *cut.ravel().tolist(), len(raw)]
                         left = b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
-                    values = (len(raw), len(raw) - len(left), len(cut), [{"start": a, "end": b} for a, b in cut.tolist()], left)
+                    values = (len(raw), len(raw) - len(left), len(cut), [{"start": a, "end": b} for a, b in cut.tolist()], text_without(left) if as_text else left)
                     for name, value in zip(names, values, strict=True):
                         out[name].append(value)
                 new = [pa.array(out[f.name], f.type) for f in list(out_schema)[-len(names) :]]
                 yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(one.columns, out_schema)), *new], schema=out_schema)
 
-    return final.mapInArrow(run, schema)
+    return final.mapInArrow(tidy(run), schema)
 
 
 def text_without(raw: bytes) -> str:
