@@ -20,9 +20,11 @@ Recall: a pair at 0.8 shares a node in one tree with probability 0.84 at level 1
 0.58 at levels 2 to 4; 12 trees miss a pair that must be found at level 4 with probability 3e-5.
 
 Defined results: a text without words has an empty set and is linked with nothing; fewer words
-than a shingle are one shingle; repeated rows are copies; rows that share an id are one document;
-a null id takes part like any smallest id would not: it is its own component with a null id; an
-empty table gives no rows; other columns are ignored or, in ``drop_near_duplicates``, kept.
+than a shingle are one shingle; repeated rows are copies; rows that share an id are one document with
+several texts, linked by any of them. A row with a null id is linked with nothing, has a null
+component_id and is kept. An empty table gives no rows. Other columns, whatever their names, are
+ignored or, in ``drop_near_duplicates``, kept. Texts are read whole; one text is held at a time beside
+the set of its partner, so memory follows the longest text. Ids are integers.
 """
 
 from __future__ import annotations
@@ -36,9 +38,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import AtomicType, LongType, StructField, StructType
 
-from .common import map_texts, stored
+from .common import map_texts, stored, tidy
 from .components import connected
 from .shingles import mix, set_keys, shingle_sets, signatures, similar
 
@@ -56,7 +58,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFr
         ones, twos = set_keys(sets)
         return {"n_shingles": [s.size for s in sets], "k1": ones, "k2": twos, "sig": [row.tobytes() for row in signatures(sets, COORDINATES)]}
 
-    return map_texts(docs.withColumnRenamed(id_col, "id"), text_col, work, "n_shingles long, k1 long, k2 long, sig binary", ["id"])
+    return map_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", work, "n_shingles long, k1 long, k2 long, sig binary", ["id"])
 
 
 def branches(node: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +96,7 @@ def _descend(rows: DataFrame, trees: int | None) -> DataFrame:
                 row, child = branches(start, sig)
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), rep.take(pa.array(row))], names=["node", "rep"])
 
-    return rows.mapInArrow(run, StructType([StructField("node", LongType()), rows.schema["rep"]]))
+    return rows.mapInArrow(tidy(run), StructType([StructField("node", LongType()), rows.schema["rep"]]))
 
 
 def _agreeing(percent: int) -> int:
@@ -138,7 +140,7 @@ def _small_nodes(rows: DataFrame, percent: int, kind) -> DataFrame:
             yield pairs(*held)
 
     schema = StructType([StructField("a", kind), StructField("b", kind)])
-    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, schema)
+    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(tidy(run), schema)
 
 
 def _similar_signatures(rows: DataFrame, percent: int, kind) -> DataFrame:
@@ -152,7 +154,7 @@ def _similar_signatures(rows: DataFrame, percent: int, kind) -> DataFrame:
                 a, b = (batch.column(c).to_numpy()[fits] for c in ("rep", "other"))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return rows.select("rep", "sig", "other", "other_sig").mapInArrow(run, StructType([StructField("a", kind), StructField("b", kind)]))
+    return rows.select("rep", "sig", "other", "other_sig").mapInArrow(tidy(run), StructType([StructField("a", kind), StructField("b", kind)]))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -172,7 +174,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
                 keep.append(similar(own, shingle_sets([text_b.as_py()], words)[0], percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, pairs.select("a", "b").schema)
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), pairs.select("a", "b").schema)
 
 
 def _rest(rows: DataFrame, reps: DataFrame, texts: DataFrame, components: DataFrame, words: int, percent: int, kind) -> DataFrame:
@@ -299,10 +301,14 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents without those that have a smaller near duplicate; repeated rows count as
-    copies, of which one stays. Rows without words or id stay."""
+    copies, of which one stays: of several rows with one id that with the smallest hash. Rows without
+    words or id stay."""
     marked = components_of(docs, id_col, text_col, words, percent)
     gone = marked.where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
     left = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
     empty = F.col(id_col).isNull() | ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # rows without words stay apart by a number of their own; the others meet where the join left them
-    return left.withColumn("__own", F.when(empty, F.monotonically_increasing_id())).dropDuplicates([id_col, "__own"]).drop("__own")
+    own = left.withColumn("__own", F.when(empty, F.monotonically_increasing_id()))
+    plain = [f.name for f in docs.schema if isinstance(f.dataType, AtomicType)]
+    whole = own.groupBy(F.col(id_col).alias("__id"), "__own").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("__row"))
+    return whole.select("__row.*")
