@@ -523,7 +523,7 @@ def _initial(counted: DataFrame) -> Model:
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out.alias("held_out"), F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(rounds)).alias("round"))
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out.alias("held_out"), F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(max(rounds, 1))).alias("round"))
     table = stored(coded(named), "blocks", "uncompressed")
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(12, -(-total // (BUCKET_WORDS * 24)))
