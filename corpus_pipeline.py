@@ -2,8 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes to the shared
 folder as Parquet and reads again as the next stage's documents. All stages but the last return the
-columns of ``documents``. SQL can't express boosted trees, so ORACLE_SQL is None and each stage is
-tested against a brute-force version.
+columns of ``documents``; other columns of their input are ignored, also those named like an operator's
+own. SQL can't express boosted trees, so ORACLE_SQL is None and each stage is tested against a
+brute-force version.
+
+Every stage takes an empty table and returns none. Null and empty texts fail the base rule of the first
+stage; called alone, the later ones keep them (near duplicates, mixing: size 0; packing: one end token)
+or drop them (suffix-array dedup: no word left). Null ids stay null: the first two stages keep their
+rows, the third counts them as larger than all. Repeated rows are copies, of which near duplicates
+keeps one. Very long texts are read whole by every stage.
 """
 
 from __future__ import annotations
@@ -12,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.llm import mixing, neardup, packing, quality, repeats
-from sievewright.llm.common import map_texts, stored, table
+from sievewright.llm.common import stored, table
 from sievewright.llm.registry import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,8 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def suffix_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes that a smaller document has too are cut out; documents without a word
     left go."""
-    cut = repeats.remove_repeats(docs.select(COLUMNS)).drop("text").withColumnRenamed("kept_bytes", "raw")
-    whole = map_texts(cut, "raw", lambda raws: {"text": [repeats.text_without(r) for r in raws]}, "text string", ["doc_id", "lang", "source"])
+    whole = repeats.remove_repeats(docs.select(COLUMNS), as_text=True).drop("text").withColumnRenamed("kept_text", "text")
     return whole.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
