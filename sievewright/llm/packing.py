@@ -24,6 +24,7 @@ from collections.abc import Iterable
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from .common import map_texts, stored, utf8
 
@@ -31,9 +32,9 @@ CAPACITY, END_ID = 2048, 1
 #: Pieces that one numbering task holds for a (length, salt) pair on average, at most.
 SALT_ROWS = 20_000
 #: Bytes of a worker's word memory, half for words and half for their parts, an entry counted as
-#: ENTRY_BYTES beside its own (or one text's words, if more). It is emptied when full and at the end of
-#: a partition, so it bounds memory, not results.
-MEMORY, ENTRY_BYTES = 48_000_000, 180
+#: ENTRY_BYTES beside its own (or one text's words, if more). It is emptied when full, so it bounds
+#: memory, not results.
+MEMORY, ENTRY_BYTES = 112_000_000, 180
 
 #: Letters whose lower case and composition are simple, then ASCII marks: such a word splits into
 #: two parts whatever surrounds it. Everything else takes the tokenizer's own way.
@@ -102,12 +103,6 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def forget_words() -> None:
-    for one in _ENCODERS.values():
-        one.forget(0)
-        one.forget(1)
-
-
 def cuts(tokens: int, capacity: int = CAPACITY) -> list[int]:
     """Piece lengths of a document of ``tokens``."""
     full, rest = divmod(tokens, capacity)
@@ -132,7 +127,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         return {name: [r[i] for r in rows] for i, name in enumerate(names)}
 
     added = "start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
-    return map_texts(docs, text_col, work, added, [id_col], forget_words)
+    return map_texts(docs, text_col, work, added, [id_col])
 
 
 def histogram_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -188,22 +183,28 @@ def placement(patterns: Iterable[tuple[tuple[int, ...], int]]) -> list[tuple[int
 
 
 def pack(pieces: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """Add sequence_id and offset to stored pieces (columns id, start, length and any others). The
-    table of places has at most ``capacity`` rows, whatever the corpus, and is broadcast."""
+    """Add sequence_id and offset to stored pieces (columns id, start, length, a unique number
+    ``piece``, which goes, and any others). The table of places has at most ``capacity`` rows, whatever
+    the corpus, and is broadcast. Token ids stay out of numbering and meet their places once, unsorted:
+    the hash table of a task holds places only."""
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     places = pieces.sparkSession.createDataFrame(placement(histogram_packing(histogram, capacity)), "length long, __begins array<long>, __packs array<long>, __offsets array<long>")
     salts = max(16, -(-max(histogram.values(), default=0) // SALT_ROWS))
-    salted = pieces.withColumn("__salt", F.pmod(F.xxhash64(id_col, "start"), F.lit(salts)))
+    wide = [f.name for f in pieces.schema if isinstance(f.dataType, BinaryType)]
+    salted = pieces.drop(*wide).withColumn("__salt", F.pmod(F.xxhash64(id_col, "start"), F.lit(salts)))
     counts = salted.groupBy("length", "__salt").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1))
     bases = counts.select("length", "__salt", F.coalesce(before, F.lit(0)).alias("__base"))
-    inside = F.row_number().over(Window.partitionBy("length", "__salt").orderBy(id_col, "start"))
+    inside = F.row_number().over(Window.partitionBy("length", "__salt").orderBy(id_col, "start", "piece"))
     ranked = salted.join(bases, ["length", "__salt"]).withColumn("__rank", F.col("__base") + inside - 1)
     run = F.size(F.filter("__begins", lambda b: b <= F.col("__rank")))
     at = lambda name: F.element_at(name, F.col("__run"))
-    placed = ranked.join(F.broadcast(places), "length").withColumn("__run", run)
-    return placed.select(*pieces.columns, (at("__packs") + F.col("__rank") - at("__begins")).alias("sequence_id"), at("__offsets").alias("offset"))
+    found = ranked.join(F.broadcast(places), "length").withColumn("__run", run).withColumns({"sequence_id": at("__packs") + F.col("__rank") - at("__begins"), "offset": at("__offsets")})
+    if wide:
+        found = pieces.join(found.select("piece", "sequence_id", "offset").hint("shuffle_hash"), "piece")
+    return found.select(*[c for c in pieces.columns if c != "piece"], "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
-    return pack(stored(token_pieces(docs, tokenizer_path, id_col, text_col, capacity=capacity, with_ids=with_ids), "pieces"), id_col, capacity)
+    pieces = token_pieces(docs, tokenizer_path, id_col, text_col, capacity=capacity, with_ids=with_ids)
+    return pack(stored(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces"), id_col, capacity)
