@@ -25,8 +25,9 @@ which bounds what a task holds. The weights of word pairs are as many as the pai
 (previous word, class): blocks send the counts of their pairs and the base probabilities there, a
 bucket fits each (previous word, class) on the counts of the whole corpus by gradient steps with a
 Gaussian prior, and every block gets the gains of its own pairs. A pair without a weight counts 1 in
-the sum of its softmax, so that sum needs only the pairs seen, at any class size. Base probabilities
-travel in steps of 1/2048 and gains in steps of 1/1024 of a natural logarithm.
+the sum of its softmax, so that sum needs only the pairs seen, at any class the sum of its softmax, so that sum needs only the pairs seen, at any class size. Pairs travel as
+hashes (``context_bits`` of the context, SIGN_BITS of the word; two words of one context are taken for
+one with probability 2^-28) and logarithms in steps of 1/FINE.
 
 Defined results: a null or empty text is its end token alone; rows that share an id are in the
 same fold and each counts, also a null id, which stays null; ids may have any type; without training
@@ -65,6 +66,10 @@ END = b"\n"  # no word holds a line feed
 #: Distinct word pairs that one bucket holds on average, all blocks together.
 BUCKET_PAIRS = 1_000_000
 PRIOR, FIT_STEPS, FIT_CLOSE = 2.0, 30, 1e-4
+#: Bits of a word inside its context, steps of a natural logarithm, bits of a context beside its shard.
+SIGN_BITS, FINE, CONTEXT_BITS = 28, 512, 34
+#: Rows of a batch that share a weight row are added in so many passes, those beyond one sum each.
+PASSES = 48
 START_HASH = np.uint64(0x51ED270B0A1B2C3D)
 
 
@@ -190,7 +195,7 @@ def _sent_words(table: DataFrame, buckets: int) -> DataFrame:
 
 def _counted(sent: DataFrame, buckets: int) -> DataFrame:
     """(bucket, block, data): for each block the counts of its words in that bucket; and one row
-    per bucket without a block, with hash, n and tail class of all its training words."""
+    per bucket without a block: totals of its tail classes (hash null), then its most frequent words."""
 
     def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         parts = [unpack_numbers(d, *WORD_TYPES) for d in rows.column("data").to_pylist()]
@@ -200,7 +205,13 @@ def _counted(sent: DataFrame, buckets: int) -> DataFrame:
         total = np.bincount(code, n, own.size).astype(np.int64)
         back = total[code]
         known = total > 0
-        whole = pa.RecordBatch.from_arrays([pa.array(own[known]), pa.array(total[known]), pa.array(tail[first][known])], names=["hash", "n", "tail"])
+        kind, n, words = tail[first][known], total[known], own[known].view(np.int64)
+        top = np.argsort(-n, kind="stable")[:HEAD]
+        sums, sizes = np.bincount(kind, n, TAIL).astype(np.int64), np.bincount(kind, minlength=TAIL)
+        whole = pa.RecordBatch.from_arrays(
+            [pa.array([*range(TAIL), *kind[top].tolist()], pa.int64()), pa.array([*[None] * TAIL, *words[top].tolist()], pa.int64()), pa.array([*sums.tolist(), *n[top].tolist()], pa.int64()), pa.array([*sizes.tolist(), *[1] * top.size], pa.int64())],
+            names=["tail", "hash", "n", "v"],
+        )
         data = [pack_numbers(back[i:j]) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
         bucket = rows.column("bucket")[0].as_py()
         yield pa.RecordBatch.from_arrays([pa.array([bucket] * (len(data) + 1), pa.int64()), pa.array([*rows.column("block").to_pylist(), None], pa.int64()), pa.array([*data, pack_rows(whole)], pa.binary())], names=["bucket", "block", "data"])
@@ -266,20 +277,34 @@ def inner_rows(words: Words) -> np.ndarray:
     return (mix(before[: words.token.size] ^ np.uint64(99)) % np.uint64(INNER_ROWS)).astype(np.int32)
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of each row, which may overwrite it, and the logarithm of what they were divided by."""
+    top = z.max()
+    if top - z.min() >= 80:  # else no row can vanish below one largest value
+        top = z.max(axis=1, keepdims=True)
+    z -= top
+    np.exp(z, out=z)
+    total = z @ np.ones(z.shape[1], z.dtype)
+    z /= total[:, None]
+    return z, np.log(total) + np.squeeze(top, -1) if np.ndim(top) else np.log(total) + top
+
+
+def _chosen_log(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Logarithm of one share of each row."""
+    own = z[np.arange(len(z)), chosen]
+    return own - _softmax(z)[1]
 
 
 def outer_logits(model: Model, rows: np.ndarray) -> np.ndarray:
-    z = model.outer[rows[:, 0]]
-    for k in range(1, FEATURES):
-        z += model.outer[rows[:, k]]
-    return z + model.class_log
+    z = np.repeat(model.class_log[None, :], len(rows), axis=0)
+    for k in range(FEATURES):
+        z += model.outer.take(rows[:, k], axis=0, mode="clip")
+    return z
 
 
 def inner_logits(model: Model, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    return model.inner.reshape(INNER_ROWS, -1, GROUP)[rows, classes] + model.head_log.reshape(-1, GROUP)[classes]
+    at = rows.astype(np.int64) * (HEAD // GROUP) + classes
+    return model.inner.reshape(-1, GROUP).take(at, axis=0, mode="clip") + model.head_log.reshape(-1, GROUP).take(classes, axis=0, mode="clip")
 
 
 class Pairs:
@@ -307,9 +332,9 @@ class Pairs:
         out = np.log((counts[self.word] + 0.5) / (model.class_n[kind] + 0.5 * (model.class_v[kind] + 1)))
         inner = inner_rows(words)[self.first]
         head = np.flatnonzero(place >= 0)
-        for i in range(0, head.size, STEP * 4):
-            h = head[i : i + STEP * 4]
-            out[h] = _log_softmax(inner_logits(model, inner[h], kind[h]))[np.arange(h.size), place[h] % GROUP]
+        for i in range(0, head.size, STEP):
+            h = head[i : i + STEP]
+            out[h] = _chosen_log(inner_logits(model, inner[h], kind[h]), place[h] % GROUP)
         return out.astype(np.float32)
 
 
@@ -339,8 +364,13 @@ def fit_pairs(group: np.ndarray, n: np.ndarray, base: np.ndarray) -> np.ndarray:
 PAIR_TYPES = (np.uint64, np.uint32, np.uint32, np.uint16)
 
 
+def context_bits(buckets: int) -> int:
+    """Leading bits by which contexts are told apart: CONTEXT_BITS inside a shard."""
+    return min(64, CONTEXT_BITS + int(np.ceil(np.log2(buckets))))
+
+
 def _sent_pairs(table: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """(bucket, block, data) of PAIR_TYPES: steps between contexts (their first 48 bits), word signs,
+    """(bucket, block, data) of PAIR_TYPES: steps between contexts, word signs,
     training counts and base probabilities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,9 +378,9 @@ def _sent_pairs(table: DataFrame, model: Model, buckets: int) -> DataFrame:
             for one, words, block, counts in decoded(batch, "block", "counts"):
                 pairs = Pairs(model, words)
                 n = np.bincount(pairs.token[np.repeat(_learn(one), words.lengths)], minlength=pairs.word.size).astype(np.uint32)
-                sign = (mix(words.hash) >> np.uint64(32)).astype(np.uint32)[pairs.word]
-                base = np.clip(np.rint(pairs.base(model, words, _joined(counts, np.int64)) * -2048), 0, 65535).astype(np.uint16)
-                context = pairs.context >> np.uint64(16)
+                sign = (mix(words.hash) >> np.uint64(64 - SIGN_BITS)).astype(np.uint32)[pairs.word]
+                base = np.clip(np.rint(pairs.base(model, words, _joined(counts, np.int64)) * -FINE), 0, 65535).astype(np.uint16)
+                context = pairs.context >> np.uint64(64 - context_bits(buckets))
                 for c, i, j in _cuts(_bucket_of(pairs.context, buckets)):
                     data = pack_numbers(np.diff(context[i:j], prepend=np.uint64(0)), sign[i:j], n[i:j], base[i:j])
                     yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([block], pa.int64()), pa.array([data], pa.binary())], names=["bucket", "block", "data"])
@@ -372,10 +402,10 @@ def _fitted(sent: DataFrame, buckets: int) -> DataFrame:
         other = np.concatenate([[True], context[1:] != context[:-1]])
         new = other | np.concatenate([[True], sign[1:] != sign[:-1]])
         begins = np.flatnonzero(new)
-        base = base[order][begins].astype(np.float64) / -2048
+        base = base[order][begins].astype(np.float64) / -FINE
         logs = fit_pairs((np.cumsum(other) - 1)[begins], np.add.reduceat(n[order].astype(np.int64), begins), base)
         back = np.empty(order.size, np.int16)
-        back[order] = np.clip(np.rint((logs - base) * 1024), -32768, 32767)[np.cumsum(new) - 1]
+        back[order] = np.clip(np.rint((logs - base) * FINE), -32768, 32767)[np.cumsum(new) - 1]
         for block, i, j in zip(rows.column("block").to_pylist(), [0, *ends[:-1]], ends, strict=True):
             yield pa.RecordBatch.from_arrays([rows.column("bucket")[:1].combine_chunks(), pa.array([block], pa.int64()), pa.array([pack_numbers(back[i:j])], pa.binary())], names=["bucket", "block", "data"])
 
@@ -396,9 +426,8 @@ def token_logs(model: Model, words: Words, inside: np.ndarray) -> np.ndarray:
     classes, _ = model.places(words)
     rows, _ = contexts(words, classes, len(model.outer))
     out = np.empty(words.token.size)
-    for i in range(0, out.size, STEP * 4):
-        kind = classes[words.token[i : i + STEP * 4]]
-        out[i : i + STEP * 4] = _log_softmax(outer_logits(model, rows[i : i + STEP * 4]))[np.arange(kind.size), kind]
+    for i in range(0, out.size, STEP):
+        out[i : i + STEP] = _chosen_log(outer_logits(model, rows[i : i + STEP]), classes[words.token[i : i + STEP]])
     return (out + inside) / np.log(10)
 
 
@@ -408,10 +437,19 @@ def _add_rows(weights: np.ndarray, past: np.ndarray, used: np.ndarray, rows: lis
     order = np.argsort(which, kind="stable")
     ranked = which[order]
     begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    sizes = np.diff(begins, append=ranked.size)
+    by = np.argsort(-sizes, kind="stable")
+    begins, sizes, token = begins[by], sizes[by], order % len(gradient)
     own = ranked[begins]
-    total = np.add.reduceat(gradient[order % len(gradient)], begins, axis=0)
+    total = gradient.take(token[begins], axis=0)
+    longer = np.searchsorted(-sizes, -np.arange(1, PASSES + 1))  # weight rows used more than k times
+    for k in range(1, PASSES):
+        m = longer[k - 1]
+        total[:m] += gradient.take(token[begins[:m] + k], axis=0)
+    for i in range(longer[-1]):
+        total[i] += gradient.take(token[begins[i] + PASSES : begins[i] + sizes[i]], axis=0).sum(axis=0)
     past[own] += np.einsum("ij,ij->i", total, total)
-    used[own] += np.diff(begins, append=ranked.size)
+    used[own] += sizes
     weights[own] -= RATE * total / np.sqrt(past[own] + 1e-6)[:, None]
 
 
@@ -427,12 +465,12 @@ def learn(model: Model, texts: Iterator[Words]) -> tuple[np.ndarray, np.ndarray]
         for i in range(0, words.token.size, STEP):
             token, r = words.token[i : i + STEP], rows[i : i + STEP]
             kind, place = classes[token], slot[token]
-            g = np.exp(_log_softmax(outer_logits(model, r)))
+            g = _softmax(outer_logits(model, r))[0]
             g[np.arange(token.size), kind] -= 1
             _add_rows(model.outer, past, used, list(r.T), g)
             h = np.flatnonzero(place >= 0)
             if h.size:
-                g = np.exp(_log_softmax(inner_logits(model, inner[i : i + STEP][h], kind[h])))
+                g = _softmax(inner_logits(model, inner[i : i + STEP][h], kind[h]))[0]
                 g[np.arange(h.size), place[h] % GROUP] -= 1
                 _add_rows(flat, inner_past, inner_used, [inner[i : i + STEP][h].astype(np.int64) * (HEAD // GROUP) + kind[h]], g)
     return used, inner_used
@@ -492,13 +530,7 @@ def _initial(counted: DataFrame) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data in batch.column("data").to_pylist():
-                one = unpack_rows(data)
-                hashes, n, tail = (one.column(c).to_numpy() for c in ("hash", "n", "tail"))
-                for c in np.unique(tail):
-                    yield pa.RecordBatch.from_arrays([pa.array([int(c)], pa.int64()), pa.array([None], pa.int64()), pa.array([int(n[tail == c].sum())], pa.int64()), pa.array([int((tail == c).sum())], pa.int64())], names=["tail", "hash", "n", "v"])
-                top = np.argsort(-n, kind="stable")[:HEAD]
-                yield pa.RecordBatch.from_arrays([pa.array(tail[top].astype(np.int64)), pa.array(hashes[top].view(np.int64)), pa.array(n[top]), pa.array(np.ones(top.size, np.int64))], names=["tail", "hash", "n", "v"])
+            yield from (unpack_rows(data) for data in batch.column("data").to_pylist())
 
     rows = stored(counted.where("block IS NULL").select("data").mapInArrow(run, "tail long, hash long, n long, v long"), "classes")
     class_n, class_v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
@@ -542,7 +574,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             for one, words, counts, gains in decoded(batch, "counts", "pairs"):
                 n = _joined(counts, np.int64)
                 pairs = Pairs(model, words)
-                inside = (pairs.base(model, words, n) + _joined(gains, np.int16) / 1024)[pairs.token]
+                inside = (pairs.base(model, words, n) + _joined(gains, np.int16) / FINE)[pairs.token]
                 begins = np.cumsum(words.lengths) - words.lengths
                 own = n[words.token]
                 known = np.add.reduceat((own > 0).astype(np.int64), begins)

@@ -353,7 +353,19 @@ def test_lm_rows_grow_with_the_corpus():
     assert [lm.outer_rows(n) for n in (0, 10**6, 4 << 28, 5 << 28, 10**15)] == [1 << 13, 1 << 13, 1 << 14, 1 << 15, 1 << 16]
 
 
-def test_lm_gradient_steps_equal_a_plain_loop():
+@pytest.mark.parametrize("span", [1.0, 200.0])
+def test_lm_softmax_equals_the_formula(span):
+    z = np.random.default_rng(2).uniform(-span, span, (30, 7)).astype(np.float32)
+    want = np.exp(z.astype(float) - z.max(axis=1, keepdims=True))
+    want /= want.sum(axis=1, keepdims=True)
+    chosen = z.argmax(axis=1)
+    assert lm._chosen_log(z.copy(), chosen) == pytest.approx(np.log(want[np.arange(30), chosen]), abs=1e-4)
+    assert lm._softmax(z.copy())[0] == pytest.approx(want, abs=1e-5)
+
+
+@pytest.mark.parametrize("passes", [2, 48])
+def test_lm_gradient_steps_equal_a_plain_loop(monkeypatch, passes):
+    monkeypatch.setattr(lm, "PASSES", passes)
     rng = np.random.default_rng(5)
     gradient, rows = rng.normal(size=(40, 6)).astype(np.float32), [rng.integers(0, 9, 40) for _ in range(3)]
     weights, past, used = np.zeros((9, 6), np.float32), np.zeros(9, np.float32), np.zeros(9, np.int64)
@@ -402,8 +414,8 @@ def test_lm_factors_sum_to_one():
     model.outer += np.random.default_rng(0).normal(size=model.outer.shape).astype(np.float32)
     words = lm.Words(["a b c a b"])
     rows, inner = lm.contexts(words, model.places(words)[0])
-    assert np.exp(lm._log_softmax(lm.outer_logits(model, rows))).sum(axis=1) == pytest.approx(1, rel=1e-4)
-    assert np.exp(lm._log_softmax(lm.inner_logits(model, inner, np.zeros(inner.size, int)))).sum(axis=1) == pytest.approx(1, rel=1e-4)
+    assert lm._softmax(lm.outer_logits(model, rows))[0].sum(axis=1) == pytest.approx(1, rel=1e-4)
+    assert lm._softmax(lm.inner_logits(model, inner, np.zeros(inner.size, int)))[0].sum(axis=1) == pytest.approx(1, rel=1e-4)
 
 
 def test_lm_skip_feature_over_classes():
