@@ -250,31 +250,40 @@ class Model:
 
 
 def contexts(words: Words, classes: np.ndarray, count: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the outer weights (tokens x FEATURES) and of the inner ones."""
+    """Rows of the outer weights (tokens x FEATURES; ``count`` is a power of two) and of the inner ones.
+    What depends on one word or on classes is hashed once for each word or pair of classes."""
     begins = np.cumsum(words.lengths) - words.lengths
     inside = np.arange(words.token.size) - np.repeat(begins, words.lengths)
-    hashes = words.hash[words.token]
-    kind = classes[words.token].astype(np.uint64)
+    size, n = words.hash.size, CLASSES + 1
 
-    def before(values: np.ndarray, k: int, start: np.uint64) -> np.ndarray:
-        out = np.full(values.size, start, np.uint64)
+    def before(values: np.ndarray, k: int, start: int) -> np.ndarray:
+        out = np.full(values.size, start, np.int64)
         out[k:] = values[:-k]
         out[inside < k] = start
         return out
 
-    h1, h2 = before(hashes, 1, START_HASH), before(hashes, 2, START_HASH)
-    k1, k2, k3 = (before(kind, k, np.uint64(CLASSES)) for k in (1, 2, 3))
-    n = np.uint64(CLASSES + 1)
-    keys = [h1, h2 ^ np.uint64(0xA5A5A5A5), mix(h1) + h2, k1 * n + k2 + np.uint64(7), k2 * n + k3 + np.uint64(70_007)]
-    rows = np.stack([(mix(k + np.uint64(i * int(START_HASH) % 2**64)) % np.uint64(count)).astype(np.int32) for i, k in enumerate(keys)], axis=1)
+    def hashed(keys: np.ndarray, i: int) -> np.ndarray:
+        return (mix(keys + np.uint64(i * int(START_HASH) % 2**64)) & np.uint64(count - 1)).astype(np.int32)
+
+    word = np.append(words.hash, START_HASH)
+    pair = np.arange(n * n, dtype=np.uint64)
+    t1, t2 = before(words.token, 1, size), before(words.token, 2, size)
+    k1, k2, k3 = (before(classes[words.token], k, CLASSES) for k in (1, 2, 3))
+    rows = np.empty((words.token.size, FEATURES), np.int32)
+    rows[:, 0] = hashed(word, 0)[t1]
+    rows[:, 1] = hashed(word ^ np.uint64(0xA5A5A5A5), 1)[t2]
+    rows[:, 2] = hashed(mix(word)[t1] + word[t2], 2)
+    rows[:, 3] = hashed(pair + np.uint64(7), 3)[k1 * n + k2]
+    rows[:, 4] = hashed(pair + np.uint64(70_007), 4)[k2 * n + k3]
     return rows, inner_rows(words)
 
 
 def inner_rows(words: Words) -> np.ndarray:
     """Rows of the inner weights: the previous word of each token, hashed."""
-    before = np.concatenate([[START_HASH], words.hash[words.token[:-1]]])
-    before[np.cumsum(words.lengths) - words.lengths] = START_HASH
-    return (mix(before[: words.token.size] ^ np.uint64(99)) % np.uint64(INNER_ROWS)).astype(np.int32)
+    before = np.concatenate([[words.hash.size], words.token[:-1]])
+    before[np.cumsum(words.lengths) - words.lengths] = words.hash.size
+    rows = (mix(np.append(words.hash, START_HASH) ^ np.uint64(99)) % np.uint64(INNER_ROWS)).astype(np.int32)
+    return rows[before[: words.token.size]]
 
 
 def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -308,19 +317,26 @@ def inner_logits(model: Model, rows: np.ndarray, classes: np.ndarray) -> np.ndar
 
 
 class Pairs:
-    """The distinct (previous word, word) of a block, ascending by (previous word, class)."""
+    """The distinct (previous word, word) of a block, ascending by the hash of (previous word, class);
+    ``first`` has a token of each."""
 
     def __init__(self, model: Model, words: Words) -> None:
         begins = np.cumsum(words.lengths) - words.lengths
         size = words.hash.size
         before = np.concatenate([[size], words.token[:-1]])
         before[begins] = size
-        own, first, code = np.unique(before * (size + 1) + words.token, return_index=True, return_inverse=True)
+        key = before * (size + 1) + words.token
+        order = np.argsort(key)
+        ranked = key[order]
+        new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        code = np.empty(order.size, np.int64)
+        code[order] = np.cumsum(new) - 1
+        own, first = ranked[new], order[new]
         self.word = own % (size + 1)
         self.classes, self.slot = model.places(words)
         last = np.concatenate([words.hash, [START_HASH]])[own // (size + 1)]
         context = mix(mix(last ^ np.uint64(7)) + self.classes[self.word].astype(np.uint64))
-        order = np.lexsort((self.word, context))
+        order = np.argsort(context)
         place = np.empty(order.size, np.int64)
         place[order] = np.arange(order.size)
         self.word, self.context, self.first = self.word[order], context[order], first[order]
