@@ -93,3 +93,10 @@ def margin(scores: Column) -> Column:
     """Distance of the two largest scores; a single score's size."""
     s = F.sort_array(scores, asc=False)
     return F.when(F.size(s) > 1, s[0] - s[1]).otherwise(F.abs(s[0]))
+
+
+def utc_text(c: Column) -> Column:
+    """A timestamp in UTC as ISO 8601 with offset; microseconds only where there are some."""
+    seconds = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    micros = F.date_format(c, ".SSSSSS")
+    return F.concat(seconds, F.when(micros == ".000000", "").otherwise(micros), F.lit("+00:00"))
