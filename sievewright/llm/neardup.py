@@ -47,6 +47,8 @@ from .shingles import mix, set_keys, shingle_sets, signatures, similar
 COORDINATES, TREES, DEPTH, SMALL, PERCENT, WORDS = 128, 12, 4, 32, 80, 5
 #: Members and text bytes that a block of the last level holds on average.
 BLOCK_ROWS, BLOCK_BYTES = 256, 4_000_000
+#: Parts into which the members of one node are dealt.
+NODE_SALTS = 8
 _ONE = np.uint64(1)
 
 
@@ -249,7 +251,10 @@ def candidates(reps: DataFrame, percent: int = PERCENT, trees: int = TREES, dept
     for level in range(1, depth + 1):
         # one centre for all nodes that hold it, so that a group meets few centres in all trees
         counts = rows.groupBy("node").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep")).alias("other")).where("n > 1")
-        shared = stored(rows.join(counts, "node").select("node", "rep", "n", "other"), "nodes")
+        # members of a large node meet its size and centre in NODE_SALTS places
+        salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(NODE_SALTS - 1))))
+        met = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(NODE_SALTS)).cast("int"))
+        shared = stored(met.join(salted, ["node", "salt"]).select("node", "rep", "n", "other"), "nodes")
         large = shared.where(F.col("n") > small)
         tiny.append(shared.where(F.col("n") <= small).select("node", "rep"))
         stars.append(large.where("rep <> other").select("rep", "other"))
