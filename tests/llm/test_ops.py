@@ -262,6 +262,63 @@ def test_near_duplicates_edge_cases(spark, docs, none):
     assert {(r["doc_id"], r["component_id"]) for r in neardup.components_of(df).collect()} == {(None, None), (3, 3)}
 
 
+def test_near_duplicates_with_clashing_names(spark):
+    rng = random.Random(9)
+    one, two = sentence(rng, 80), sentence(rng, 80)
+    names = ["id", "text", "rep", "sig", "node", "a", "b", "k1", "n", "component", "__own", "n_shingles", "kept"]
+    rows = [(i, t, *["x"] * (len(names) - 1)) for i, t in [(1, one), (2, one), (3, two), (3, two), (3, two + " more"), (4, None), (4, None)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names if n != "text"))
+    got = {(r["doc_id"], r["component_id"]) for r in neardup.components_of(df).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3), (4, 4)}
+    left = neardup.drop_near_duplicates(df.drop("__own"))
+    assert left.columns == df.drop("__own").columns and sorted(r["doc_id"] for r in left.collect()) == [1, 3, 4, 4]
+    again = neardup.drop_near_duplicates(df.drop("__own").orderBy(F.desc("text"))).where("doc_id = 3").first()["text"]
+    assert again == left.where("doc_id = 3").first()["text"]
+
+
+def test_other_columns_never_clash(spark):
+    """Names that operators use inside, as columns of the caller."""
+    rng = random.Random(2)
+    names = ["id", "block", "data", "ids", "keys", "n_bytes", "round", "held_out", "length", "start", "piece", "label", "labels", "choices", "score", "media", "tile", "dhash", "n_words", "kept_text", "size", "words", "x"]
+    df = spark.createDataFrame([(i, sentence(rng, 60), "en", "s", *["z"] * len(names)) for i in range(4)], "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names))
+    assert lm.score(df, F.lit(False)).count() == 4
+    assert packing.pack_documents(df, registry.tokenizer_path()).count() >= 4
+    assert licences.scan(df).count() == media.text_media(df).count() == 4
+    assert quality.judge(df, None).select("id").distinct().collect() == [("z",)]
+    assert repeats.remove_repeats(df, as_text=True).select("kept_text", "block", "data").count() == 4
+    assert langid.identify(df.withColumn("held", F.lit(False)), langid.train(df, F.lit(True)), keep=["doc_id"]).count() == 4
+    assert mixing.assign(df).select("id", "x", "taken").count() == 4
+
+
+def test_ids_of_any_type(spark):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(f"d{i}", sentence(rng, 70)) for i in range(5)] + [(None, "x y z")], "doc_id string, text string")
+    assert {r["doc_id"] for r in lm.score(df, F.lit(False)).collect()} == {None, *(f"d{i}" for i in range(5))}
+    assert {r["doc_id"] for r in packing.pack_documents(df, registry.tokenizer_path()).collect()} == {None, *(f"d{i}" for i in range(5))}
+    with pytest.raises(TypeError):
+        repeats.remove_repeats(df)
+
+
+def test_texts_beyond_slices_and_blocks(spark, monkeypatch):
+    """One text larger than a slice of texts, a block of every kind and the capacity of a pack."""
+    rng = random.Random(8)
+    long = sentence(rng, 260_000)
+    assert len(long) > 1_500_000
+    monkeypatch.setattr("sievewright.llm.common.SLICE_CHARS", 500_000)
+    monkeypatch.setattr(lm, "BLOCK", 400_000)
+    monkeypatch.setattr(repeats, "BLOCK", 300_000)
+    rows = [(1, long), (2, long[400_000:700_000]), (3, "short one"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    stats = {r["doc_id"]: r["n_words"] for r in quality.judge(df, None).collect()}
+    assert stats == {1: 260_000, 2: len(rows[1][1].split()), 3: 2, 4: 0}
+    cut = {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in repeats.remove_repeats(df).collect()}
+    assert cut == {1: (len(long), 0), 2: (300_000, 300_000), 3: (9, 0), 4: (0, 0)}
+    assert {r["doc_id"]: r["n_tokens"] for r in lm.score(df, F.lit(False), rounds=1).collect()} == {d: len((t or "").split()) + 1 for d, t in rows}
+    assert {r["doc_id"]: r["n_words"] for r in licences.scan(df).collect()}[3] == 2
+    pieces = packing.pack_documents(df, registry.tokenizer_path(), with_ids=False).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all")).collect()
+    assert all(r["n"] == r["all"] for r in pieces) and len(pieces) == 4
+
+
 def test_connected_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(20)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(70)]

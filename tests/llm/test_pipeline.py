@@ -89,3 +89,20 @@ def test_labels_decide_in_the_quality_stage(spark, sf_small):
     judged = quality.judge(docs, forest).where("NOT base_failed").join(labels, "doc_id")
     good = judged.where("quality = 1")
     assert good.where("kept").count() >= 0.99 * good.count()
+
+
+def test_stages_ignore_clashing_and_other_columns(spark, docs, folder):
+    more = docs.withColumns({c: F.lit("x") for c in ("id", "kept", "score", "block", "n_removed", "kept_text", "size", "positions", "start", "length", "rep")})
+    for _, stage in cp.STAGES[:-1]:
+        assert stage(spark, more, folder).columns == cp.COLUMNS
+        assert stage(spark, more, folder).count() == stage(spark, docs, folder).count()
+
+
+def test_stages_keep_null_ids(spark, folder):
+    text = " ".join(f"w{i}" for i in range(70))
+    df = spark.createDataFrame([(None, text, "en", "s", None), (None, text, "en", "s", None), (5, text + " more", "en", None, None)], SCHEMA)
+    assert cp.quality_rules(spark, df, folder).count() == 3
+    assert cp.near_duplicates(spark, df, folder).count() == 3
+    assert {r["doc_id"] for r in cp.suffix_repeats(spark, df, folder).collect()} == {5}
+    assert cp.mixing_by_curriculum(spark, df, folder).count() >= 3
+    assert cp.sequence_packing(spark, df, folder).count() == 3
