@@ -61,9 +61,15 @@ def weighted_jaccard(queries: DataFrame, query_key: str, query_tokens: Column, i
     return both.select(query_key, item_key, "shared_tokens", (F.col("shared") / (F.col("q_sum") + F.col("i_sum") - F.col("shared"))).alias("score"))
 
 
-def cosine_top_k(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+def cosine_top_k(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, most: int | None = None) -> DataFrame:
     """The ``k`` nearest other rows of each query by cosine, ties by key. A stated query set goes
-    against all rows; every task keeps the best k of its rows before the shuffle."""
+    against all rows, block by block; every task keeps the best k of its rows before the shuffle.
+    ``most`` states how many queries there may be: more raise ValueError, and queries within it are
+    broadcast, so rows are not shuffled."""
+    if most is not None:
+        if queries.limit(most + 1).count() > most:
+            raise ValueError(f"more than {most} queries")
+        queries = F.broadcast(queries)
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
     norm = lambda v: F.sqrt(dot(v, v))
     q = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("__q"), norm(F.col(vector)).alias("__qn"))

@@ -131,3 +131,36 @@ def probe(rows: DataFrame, source: str, order: str, starts: int, taken: DataFram
 
     picked = lists.select(source, F.posexplode(F.aggregate("slots", F.array().cast("array<int>"), choose)).alias("slot", "i"))
     return able.join(picked.select(source, "i", F.col("slot").cast("long").alias("slot")), [source, "i"]).drop("i", "n")
+
+
+# Headings that open a section of a case, and the note for those that lack.
+CASE_HEADINGS = ("질의요지", "회답", "이유")
+MISSING_NOTE = " 경계 미검출"
+
+
+def case_sections(lines: DataFrame, case: str, order: list[str], text: str = "text") -> DataFrame:
+    """One row per case: title (lines after the first up to a heading), question, answer and reason
+    (lines after their heading up to the next), and notes on headings that lack. A case is a bounded
+    unit; its lines are joined by line feeds."""
+    w = Window.partitionBy(case).orderBy(*order)
+    head = F.when(F.col(text).isin(*CASE_HEADINGS), F.col(text))
+    under = F.last(head, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    marked = lines.withColumn("__n", F.row_number().over(w)).withColumn("__head", head).withColumn("__under", under)
+    joined = lambda test: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(test & F.col("__head").isNull(), F.struct("__n", text)))), lambda x: x[text]), "\n")
+    notes = [F.when(F.count_if(F.col("__head") == h) == 0, F.lit(f"{h}{MISSING_NOTE}")) for h in CASE_HEADINGS]
+    return marked.groupBy(case).agg(
+        joined(F.col("__under").isNull() & (F.col("__n") > 1)).alias("title"),
+        *[joined(F.col("__under") == h).alias(name) for h, name in zip(CASE_HEADINGS, ("question", "answer", "reason"), strict=True)],
+        F.concat_ws("; ", *notes).alias("notes"),
+    )
+
+
+def with_markers(lines: DataFrame, markers: DataFrame, place: list[str], text: str = "text", marker: str = "marker") -> DataFrame:
+    """Lines and, at their own places, marker lines; ``is_marker`` tells them apart."""
+    added = markers.select(*place, F.col(marker).alias(text), F.lit(True).alias("is_marker"))
+    return lines.withColumn("is_marker", F.lit(False)).unionByName(added, allowMissingColumns=True)
+
+
+def is_footnote(x0: Column, y0: Column, font: Column, text: Column, left: float, top: float, bottom: float, size: float) -> Column:
+    """Whether a block is a footnote: inside the body's width, low on the page, in small type, numbered."""
+    return (x0 < left) & y0.between(top, bottom) & (font <= size) & text.rlike(r"^[0-9]+\)")

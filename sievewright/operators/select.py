@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first in that order."""
@@ -38,11 +40,13 @@ def fallback_quota(df: DataFrame, label: str, large: int, small: int, order: lis
 
 def ordinal(df: DataFrame, order: list[str], name: str = "ordinal", partitions: int | None = None) -> DataFrame:
     """Number all rows 0, 1, .. in the order of columns, without a window over all rows: rows are
-    range-sorted, each range is counted, and ranges start where the former ones end."""
+    range-sorted and stored with the number of their range, so that all that follows sees the same
+    ranges; each range is counted, and ranges start where the former ones end."""
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    marked = ranged.withColumn("__p", F.spark_partition_id())
+    marked = stored(ranged.withColumn("__p", F.spark_partition_id()), "ranges")
     inside = marked.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1)
     sizes = marked.groupBy("__p").agg(F.count("*").alias("__n"))
+    # one row a range
     starts = sizes.withColumn("__s", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return inside.join(F.broadcast(starts.select("__p", "__s")), "__p").withColumn(name, (F.col("__s") + F.col("__i")).cast("long")).drop("__p", "__i", "__s")
 

@@ -85,16 +85,16 @@ def item_retrieval(spark: SparkSession, d: str) -> DataFrame:
     """The three benchmark items nearest to each other one by n-gram TF-IDF cosine."""
     items = table(spark, d, "benchmark")
     weights, _ = vectors.tfidf(items, "item_id", vectors.bounded_ngrams("text"))
-    found = vectors.sparse_top_k(weights.withColumnRenamed("item_id", "query_id"), "query_id", weights, "item_id", 4)
-    return found.where("query_id <> item_id").select("query_id", "item_id", F.round("score", 6).alias("score"))
+    found = vectors.sparse_top_k(weights.withColumnRenamed("item_id", "query_id"), "query_id", weights, "item_id", 3, but_itself=True)
+    return found.select("query_id", "item_id", F.round("score", 6).alias("score"))
 
 
 _GRAMS = " UNION ALL ".join(f"SELECT item_id, unnest(list_transform(range(1, length(p) - {n} + 2), lambda i: p[i:i + {n - 1}])) AS term FROM p WHERE length(p) >= {n}" for n in range(2, 6))
 RETRIEVAL = f"""WITH w AS (SELECT item_id, unnest(list_filter(string_split(lower(coalesce(trim(regexp_replace(text, '[\\s\\x{{a0}}]+', ' ', 'g')), '')), ' '), lambda x: x <> '')) AS w FROM benchmark), p AS (SELECT item_id, ' ' || w || ' ' AS p FROM w),
 g AS ({_GRAMS}), c AS (SELECT item_id, term, count(*) AS tf FROM g GROUP BY ALL), n AS (SELECT count(*) AS n FROM benchmark), i AS (SELECT term, ln((1.0 + n) / (1 + count(*))) + 1 AS idf FROM c, n GROUP BY term, n),
 r AS (SELECT item_id, term, (1 + ln(tf)) * idf AS w FROM c JOIN i USING (term)), m AS (SELECT item_id, sqrt(sum(w * w)) AS m FROM r GROUP BY 1), v AS (SELECT item_id, term, w / m AS w FROM r JOIN m USING (item_id)),
-s AS (SELECT a.item_id AS query_id, b.item_id AS item_id, round(sum(a.w * b.w), 9) AS score FROM v a JOIN v b USING (term) GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS k FROM s)
-SELECT query_id, item_id, round(score, 6) AS score FROM k WHERE k <= 4 AND query_id <> item_id"""
+s AS (SELECT a.item_id AS query_id, b.item_id AS item_id, round(sum(a.w * b.w), 9) AS score FROM v a JOIN v b USING (term) WHERE a.item_id <> b.item_id GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS k FROM s)
+SELECT query_id, item_id, round(score, 6) AS score FROM k WHERE k <= 3"""
 
 
 def candidates(spark: SparkSession, d: str) -> DataFrame:
@@ -116,6 +116,28 @@ SELECT candidate_id, array_to_string(list_filter(CASE WHEN style = 'rule_first'
 FROM c WHERE NOT (sample_id LIKE '%0' AND candidate_id LIKE '%::a::rule_first')"""
 
 
+def _answer(prompt: str) -> str:
+    """Stands for a model: it fails on some prompts."""
+    if len(prompt) % 3 == 0:
+        raise ValueError("refused")
+    return f"reply of {len(prompt)}"
+
+
+def provider_replies(spark: SparkSession, d: str) -> DataFrame:
+    """A provider inside tasks with two attempts; where it fails, the fallback stands. Judged replies
+    keep known tags and get default scores."""
+    turns = table(spark, d, "conversations").select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("sample_id"), F.coalesce("text", F.lit("")).alias("prompt"), F.lit("none").alias("draft"))
+    asked = generate.call_provider(turns, "prompt", "draft", _answer, attempts=2, wait=0.0)
+    judged = asked.withColumn("tags", F.array("mode", F.lit("odd"))).withColumn("score", F.when(F.col("mode") == "provider", F.col("attempts")))
+    out = generate.normalize_judgement(judged, "tags", ["provider", "fallback"], {"score": 3})
+    return out.select("sample_id", "reply", "mode", "attempts", "error", F.array_join("tags", "|").alias("tags"), "score")
+
+
+REPLIES = """WITH t AS (SELECT conv_id || '-' || turn AS sample_id, length(coalesce(text, '')) AS n FROM conversations), f AS (SELECT *, n % 3 = 0 AS bad FROM t)
+SELECT sample_id, CASE WHEN bad THEN 'none' ELSE 'reply of ' || n END AS reply, CASE WHEN bad THEN 'fallback' ELSE 'provider' END AS mode, CASE WHEN bad THEN 2 ELSE 1 END AS attempts, CASE WHEN bad THEN 'ValueError: refused' END AS error,
+  CASE WHEN bad THEN 'fallback' ELSE 'provider' END AS tags, CASE WHEN bad THEN 3 ELSE 1 END AS score FROM f"""
+
+
 def batch_package(spark: SparkSession, d: str) -> DataFrame:
     """A package of 24 parts: four labels of six, three sizes of eight, as one set of parameters."""
     label = F.element_at(F.array(*map(F.lit, sc.LABELS)), (F.col("p_partkey") % 4 + 1).cast("int"))
@@ -127,8 +149,8 @@ def batch_package(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "evidence_decision": evidence_decision, "evidence_law": evidence_law, "evidence_interpretation": evidence_interpretation, "evidence_precedent": evidence_precedent,
-    "item_retrieval": item_retrieval, "candidates": candidates, "batch_package": batch_package,
+    "item_retrieval": item_retrieval, "candidates": candidates, "provider_replies": provider_replies, "batch_package": batch_package,
 }
 ORACLE_SQL = {
-    "evidence_decision": DECISION, "evidence_law": LAW, "evidence_interpretation": INTERPRETATION, "evidence_precedent": PRECEDENT, "item_retrieval": RETRIEVAL, "candidates": CANDIDATES,
+    "evidence_decision": DECISION, "evidence_law": LAW, "evidence_interpretation": INTERPRETATION, "evidence_precedent": PRECEDENT, "item_retrieval": RETRIEVAL, "candidates": CANDIDATES, "provider_replies": REPLIES,
 }

@@ -11,6 +11,7 @@ from ..functions import text as tx
 from ..operators import gates, package, records
 from ..sources import sinks
 from ..sources import tables as src
+from ..sources.pages import label_value, page_items
 from ..sources.shared import fresh_path
 from ..sources.tables import table
 from .bases import DOC_TYPES, derived, derived_sql, pick
@@ -258,11 +259,63 @@ def wrapped_probe(spark: SparkSession, d: str) -> DataFrame:
     return records.probe(rows, "c_mktsegment", "c_custkey", 3, table(spark, d, "supplier").where("s_suppkey < 6").select(F.col("s_nationkey").alias("c_nationkey")), ["c_nationkey"]).select("c_custkey", "c_mktsegment", "slot")
 
 
+def page_links(spark: SparkSession, d: str) -> DataFrame:
+    """The list items of every page as a board: place, title and target."""
+    return page_items(table(spark, d, "pages"), "li", {"title": "a", "target": "a@href"}, ("target",))
+
+
+PAGE_LINKS = """WITH i AS (SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>')) AS h, unnest(range(1, 1 + len(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>')))) AS item_no FROM pages)
+SELECT page_id, item_no, regexp_extract(h, '>([^<]*)</a>', 1) AS title, regexp_extract(h, 'href="([^"]*)"', 1) AS target FROM i"""
+
+
+def page_heads(spark: SparkSession, d: str) -> DataFrame:
+    """One row a page: the container with the body, by the first selector that fits, and its heading."""
+    return page_items(table(spark, d, "pages"), ("#bodyContent", ".viewwrap", "article"), {"heading": "h1"}).where("item_no = 1")
+
+
+_UNESCAPED = "replace(replace(replace(h, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+PAGE_HEADS = f"""WITH h AS (SELECT page_id, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS h FROM pages)
+SELECT page_id, 1::BIGINT AS item_no, trim(regexp_replace({_UNESCAPED}, '[ \\t\\n]+', ' ', 'g')) AS heading FROM h"""
+
+
+def metadata_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """``label: value`` texts of a block by their labels."""
+    items = F.array(F.concat(F.lit("콘텐츠 분류 : "), "p_type"), F.concat(F.lit("담당부서: "), "p_brand", F.lit(": x")), F.when(F.col("p_size") > 25, F.concat(F.lit(" 정부기관:"), "p_name")).otherwise("none"))
+    found = label_value(items, {"classification": "콘텐츠 분류", "agency": "정부기관", "department": "담당부서"})
+    return table(spark, d, "part").select("p_partkey", *[c.alias(n) for n, c in found.items()])
+
+
+METADATA_PAIRS = "SELECT p_partkey, trim(p_type) AS classification, CASE WHEN p_size > 25 THEN trim(p_name) ELSE '' END AS agency, p_brand || ': x' AS department FROM part"
+_CASE_LINE = pick("l_linenumber", ["이유 7", "첫 줄", "제목", "질의요지", "무엇", "회답", "그렇다"])
+
+
+def case_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines as the lines of a case, with table markers at their places."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_CASE_LINE).alias("text")).distinct()
+    marked = records.with_markers(lines, lines.where("l_linenumber = 4").select("l_orderkey", "l_linenumber", F.lit("[표 1]").alias("marker")), ["l_orderkey", "l_linenumber"])
+    return records.case_sections(marked, "l_orderkey", ["l_linenumber", "is_marker"])
+
+
+CASE_SECTIONS = f"""WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber AS n, {_CASE_LINE} AS t FROM lineitem), m AS (SELECT l_orderkey, n, t, 0 AS k FROM l UNION ALL SELECT l_orderkey, n, '[표 1]', 1 FROM l WHERE n = 4),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n, k) AS i, max(CASE WHEN t = '질의요지' THEN n END) OVER (PARTITION BY l_orderkey) AS q, max(CASE WHEN t = '회답' THEN n END) OVER (PARTITION BY l_orderkey) AS a FROM m)
+SELECT l_orderkey, coalesce(string_agg(t, chr(10) ORDER BY i) FILTER (WHERE i > 1 AND t NOT IN ('질의요지', '회답') AND (q IS NULL OR n < q) AND (a IS NULL OR n < a)), '') AS title,
+  coalesce(string_agg(t, chr(10) ORDER BY i) FILTER (WHERE n >= q AND (a IS NULL OR n < a) AND t <> '질의요지'), '') AS question, coalesce(string_agg(t, chr(10) ORDER BY i) FILTER (WHERE n >= a AND t <> '회답'), '') AS answer, '' AS reason,
+  concat_ws('; ', CASE WHEN max(q) IS NULL THEN '질의요지 경계 미검출' END, CASE WHEN max(a) IS NULL THEN '회답 경계 미검출' END, '이유 경계 미검출') AS notes FROM r GROUP BY l_orderkey"""
+
+
+def footnotes(spark: SparkSession, d: str) -> DataFrame:
+    numbered = F.concat((F.col("p_partkey") % 12).cast("string"), F.when(F.col("p_partkey") % 3 == 0, ") ").otherwise(". "), "p_name")
+    got = records.is_footnote(F.col("p_size").cast("double") * 10, F.col("p_retailprice"), F.col("p_size").cast("double"), numbered, 300.0, 950.0, 1500.0, 25.0)
+    return table(spark, d, "part").select("p_partkey", got.alias("footnote"))
+
+
+FOOTNOTES = "SELECT p_partkey, p_size * 10 < 300 AND p_retailprice BETWEEN 950 AND 1500 AND p_size <= 25 AND p_partkey % 3 = 0 AS footnote FROM part"
+
 QUERIES = {
     f.__name__: f
     for f in (
         json_lines_round_trip, csv_round_trip, json_documents_read, log_recovery, split_export, schema_union, path_index, raw_sentences, unified_labels, row_findings, contract_lint, lint_totals, included_rows, row_ids,
-        status_machines, text_shapes, section_texts, score_fields, layout_lines, wrapped_probe,
+        status_machines, text_shapes, section_texts, score_fields, layout_lines, wrapped_probe, page_links, page_heads, metadata_pairs, case_sections, footnotes,
     )
 }
 PROBE = """WITH n AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS i, count(*) OVER (PARTITION BY c_mktsegment) AS n FROM customer), f AS (SELECT * FROM n WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey < 6)),
@@ -271,5 +324,5 @@ SELECT c_custkey, c_mktsegment, CAST(slot AS BIGINT) AS slot FROM r WHERE r = 1"
 ORACLE_SQL = {
     "json_lines_round_trip": JSON_LINES, "csv_round_trip": CSV, "json_documents_read": "SELECT n_nationkey, n_name, true AS has_path FROM nation", "log_recovery": LOG, "split_export": SPLITS, "schema_union": UNION, "path_index": PATHS,
     "raw_sentences": RAW, "unified_labels": LABELS, "row_findings": FINDINGS, "contract_lint": CONTRACT, "lint_totals": LINT_TOTALS, "included_rows": INCLUDED, "row_ids": ROW_IDS, "status_machines": STATUS, "text_shapes": TEXT_SHAPES,
-    "section_texts": SECTIONS, "score_fields": SCORES, "layout_lines": LAYOUT, "wrapped_probe": PROBE,
+    "section_texts": SECTIONS, "score_fields": SCORES, "layout_lines": LAYOUT, "wrapped_probe": PROBE, "page_links": PAGE_LINKS, "page_heads": PAGE_HEADS, "metadata_pairs": METADATA_PAIRS, "case_sections": CASE_SECTIONS, "footnotes": FOOTNOTES,
 }

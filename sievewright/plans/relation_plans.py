@@ -202,7 +202,7 @@ CAST(CASE WHEN s = 0 OR s >= 4 THEN 0 WHEN s = 3 THEN 1 ELSE 2 END AS BIGINT) AS
 
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
-    found = joins.cosine_top_k(rows.where("vec_id % 20 = 0"), rows, "vec_id", "embedding", 5)
+    found = joins.cosine_top_k(rows.where("vec_id % 20 = 0"), rows, "vec_id", "embedding", 5, most=200_000)
     return found.select("query_id", "match_id", F.round("score", 6).alias("score"), "rank")
 
 
@@ -214,7 +214,7 @@ SELECT query_id, match_id, round(score, 6) AS score, row_number() OVER (PARTITIO
 def retrieval_hits(spark: SparkSession, d: str) -> DataFrame:
     """Reciprocal rank and hits of the first neighbour with the query's own label."""
     rows = table(spark, d, "embeddings")
-    found = joins.cosine_top_k(rows.where("vec_id % 20 = 0"), rows, "vec_id", "embedding", 5)
+    found = joins.cosine_top_k(rows.where("vec_id % 20 = 0"), rows, "vec_id", "embedding", 5, most=200_000)
     label = lambda key, name: rows.select(F.col("vec_id").alias(key), F.col("label").alias(name))
     same = found.join(label("query_id", "own"), "query_id").join(label("match_id", "other"), "match_id").where("own = other")
     first = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id")).join(same.groupBy("query_id").agg(F.min("rank").alias("rank")), "query_id", "left")

@@ -6,7 +6,8 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Elements whose text is not shown, and elements that end a line.
 HIDDEN = {"script", "style", "noscript", "template"}
@@ -85,3 +86,113 @@ def page_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
 
     kind = pages.schema[id_col].dataType.simpleString()
     return pages.select(id_col, html_col).mapInArrow(run, f"{id_col} {kind}, title string, text string, links array<string>, table_text string")
+
+
+class _Node:
+    """An element with its class names, its text pieces and elements in order."""
+
+    __slots__ = ("attrs", "children", "classes", "tag")
+
+    def __init__(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.tag, self.attrs = tag, dict(attrs)
+        self.classes = set((self.attrs.get("class") or "").split())
+        self.children: list[_Node | str] = []
+
+    def walk(self) -> Iterator[_Node]:
+        for x in self.children:
+            if isinstance(x, _Node):
+                yield x
+                yield from x.walk()
+
+    def find(self, selector: str) -> _Node | None:
+        return next((x for x in self.walk() if x.fits(selector)), None)
+
+    def fits(self, selector: str) -> bool:
+        """``tag``, ``.class``, ``tag.class`` or ``#id``."""
+        if selector.startswith("#"):
+            return self.attrs.get("id") == selector[1:]
+        tag, _, name = selector.partition(".")
+        return (not tag or tag == self.tag) and (not name or name in self.classes)
+
+    def text(self) -> str:
+        return " ".join(" ".join(x if isinstance(x, str) else x.text() for x in self.children).split()) if self.tag not in HIDDEN else ""
+
+
+class _Tree(HTMLParser):
+    VOID = {"br", "img", "meta", "link", "input", "hr", "area", "base", "col", "embed", "source", "track", "wbr"}
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root = _Node("", [])
+        self.open = [self.root]
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        node = _Node(tag, attrs)
+        self.open[-1].children.append(node)
+        if tag not in self.VOID:
+            self.open.append(node)
+
+    def handle_endtag(self, tag: str) -> None:
+        for at in range(len(self.open) - 1, 0, -1):
+            if self.open[at].tag == tag:
+                del self.open[at:]
+                return
+
+    def handle_data(self, data: str) -> None:
+        self.open[-1].children.append(data)
+
+
+def page_items(pages: DataFrame, item: str | tuple[str, ...], fields: dict[str, str], needed: tuple[str, ...] = (), id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Rows of a page: id, item_no (from 1, over all elements that fit ``item``) and, for each field,
+    the text of the first element inside that fits its selector, empty without one. ``selector@name``
+    gives an attribute, ``@n`` the text of the n-th child element (from 0). Items that lack a needed
+    field are left out but counted. Of several ``item`` selectors the first that a page has is taken.
+
+    So a list of questions is ``li`` with ``li.q`` and ``li.a``, a board is ``tr`` with ``@0`` and
+    ``a@href``, a statute page is one of its known containers. Null pages give no rows."""
+    choices = (item,) if isinstance(item, str) else item
+
+    def value(node: _Node, selector: str) -> str:
+        path, _, name = selector.partition("@")
+        if not path and name.isdigit():
+            inside = [x for x in node.children if isinstance(x, _Node)]
+            return inside[int(name)].text() if int(name) < len(inside) else ""
+        found = node.find(path) if path else node
+        if found is None:
+            return ""
+        return (found.attrs.get(name) or "").strip() if name else found.text()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            page, number, values = [], [], []
+            for row, html in enumerate(batch.column(html_col).to_pylist()):
+                tree = _Tree()
+                tree.feed(html or "")
+                tree.close()
+                for selector in choices:
+                    found = [x for x in tree.root.walk() if x.fits(selector)]
+                    if found:
+                        break
+                for i, node in enumerate(found, 1):
+                    got = {name: value(node, s) for name, s in fields.items()}
+                    if all(got[n] for n in needed):
+                        page.append(row)
+                        number.append(i)
+                        values.append(got)
+            columns = [pa.array([v[n] for v in values], pa.string()) for n in fields]
+            yield pa.RecordBatch.from_arrays([batch.column(id_col).take(pa.array(page, pa.int64())), pa.array(number, pa.int64()), *columns], names=[id_col, "item_no", *fields])
+
+    kind = pages.schema[id_col].dataType.simpleString()
+    return pages.select(id_col, html_col).mapInArrow(run, f"{id_col} {kind}, item_no long, " + ", ".join(f"{n} string" for n in fields))
+
+
+def label_value(c: Column, labels: dict[str, str]) -> dict[str, Column]:
+    """``label: value`` texts (an array column) by the label they mention; the last one counts, empty
+    without one."""
+    pairs = F.transform(c, lambda t: F.struct(F.trim(F.regexp_extract(t, "^([^:]*):", 1)).alias("label"), F.trim(F.regexp_extract(t, "(?s)^[^:]*:(.*)$", 1)).alias("value")))
+
+    def last(word: str) -> Column:
+        fits = F.filter(pairs, lambda p: F.contains(p["label"], F.lit(word)))
+        return F.coalesce(F.try_element_at(fits, F.lit(-1))["value"], F.lit(""))
+
+    return {name: last(word) for name, word in labels.items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -35,12 +36,12 @@ def csv_strings(spark: SparkSession, path: str, columns: list[str] | None = None
 
 
 def optional(spark: SparkSession, path: str, schema: StructType | str, form: str = "json") -> DataFrame:
-    """An input that may be missing: then an empty relation of that schema."""
-    from pyspark.errors import AnalysisException
-
+    """An input that may be missing: then an empty relation of that schema. Any other fault is raised."""
     try:
         return spark.read.format(form).schema(schema).load(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
