@@ -104,9 +104,10 @@ def phrase_leaks(spark: SparkSession, d: str) -> DataFrame:
     """Documents that hold an eight-token phrase of a benchmark item. Phrases are first compared as
     64-bit hashes, of which documents send only those the benchmark has (Spark broadcasts them while
     they are small); documents with one are then compared by their phrases' texts."""
-    tokens = lambda df, key: df.select(key, tx.tokens("text").alias("own")).where(F.size("own") >= 8)
-    places = lambda: F.sequence(F.lit(1), F.size("own") - 7)
-    hashes = lambda df, key: df.select(key, F.explode(F.transform(places(), lambda i: F.xxhash64(F.slice("own", i, F.lit(8))))).alias("h"))
+    # tokens are a column of their own that no filter mentions: else they would be made several times
+    tokens = lambda df, key: df.select(key, tx.tokens("text").alias("own"))
+    windows = lambda each: F.when(F.size("own") >= 8, F.transform(F.sequence(F.lit(1), F.size("own") - 7), each))
+    hashes = lambda df, key: df.select(key, F.explode(windows(lambda i: F.xxhash64(F.slice("own", i, F.lit(8))))).alias("h"))
     cut = lambda df, key: df.select(key, F.explode(F.array_distinct(tx.phrases(F.col("own"), 8))).alias("phrase"))
     items, docs = tokens(table(spark, d, "benchmark"), "item_id"), tokens(table(spark, d, "documents"), "doc_id")
     met = hashes(docs, "doc_id").join(hashes(items, "item_id").select("h").distinct(), "h", "left_semi").select("doc_id").distinct()
