@@ -6,14 +6,20 @@ Histogram splits follow the logistic loss; along chosen features the score may o
 (``FALLING``): a split that would raise it is refused, and the bounds are handed to both children.
 The forest is flattened into node arrays, so that scoring a batch is one gather per level.
 
+One statistic, ``flagged_share``, counts the words of a lexicon that is learned from the same sample:
+words that stand in at least ``LEXICON_LEAST`` toxic documents and ``LEXICON_ODDS`` times as often
+there as elsewhere, the ``LEXICON_WORDS`` most frequent ones. So toxic documents, whose form is that of
+good ones, can be told; a document labelled toxic counts as rejected.
+
 The score is a probability of good quality. A document is rejected where the base rule fails or
 where its score is below the cut; the cut is the largest one, 0.5 at most, that keeps
 ``keep_good`` of the good documents of the sample, so clean documents stay.
 
 Defined results: a null text has no words and fails the base rule; null labels and labels without
 a document are ignored; several labels of a document count as its lowest; without labels of both
-kinds every document that passes the base rule is kept with a score of 1; repeated rows give
-repeated rows; an empty table gives no rows.
+kinds every document that passes the base rule is kept with a score of 1; without toxic labels the
+lexicon is empty; repeated rows give repeated rows; an empty table gives no rows. Very long texts are
+read whole, one at a time, so memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -31,11 +37,14 @@ from .common import map_texts, utf8
 BASE_STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RATIOS = (
     "symbols_per_word", "dup_line_share", "repeat_share", "top_word_share", "mean_word_chars", "distinct_share", "upper_share", "digit_share",
-    "mark_share", "bang_share", "pipe_share", "line_words", "capital_word_share", "log_words", "byte_entropy", "wide_share", "long_word_share", "url_share",
+    "mark_share", "bang_share", "pipe_share", "line_words", "capital_word_share", "log_words", "byte_entropy", "wide_share", "long_word_share", "url_share", "flagged_share",
 )
 #: Features along which the probability of good quality may only fall.
-FALLING = ("symbols_per_word", "dup_line_share", "repeat_share", "top_word_share", "bang_share", "pipe_share")
+FALLING = ("symbols_per_word", "dup_line_share", "repeat_share", "top_word_share", "bang_share", "pipe_share", "flagged_share")
 SAMPLE_ROWS = 20_000
+LEXICON_WORDS, LEXICON_LEAST, LEXICON_ODDS = 1000, 4, 20.0
+#: A-Z lower-cased, all other ASCII but letters becomes a blank: how words meet the lexicon.
+_PLAIN = bytes(c + 32 if 65 <= c < 91 else c if c > 127 or 97 <= c < 123 else 32 for c in range(256))
 
 _SPACES = [9, 10, 11, 12, 13, 32]
 _SYMBOLS = [ord(c) for c in "#*$%&|<>"]
@@ -63,7 +72,7 @@ def repeat_words(ids: np.ndarray, distinct: int) -> int:
     return int(covered.sum())
 
 
-def statistics(text: str | None) -> list[float]:
+def statistics(text: str | None, lexicon: frozenset[bytes] = frozenset()) -> list[float]:
     """BASE_STATS and RATIOS of one text."""
     raw = utf8(text)
     words = raw.split()
@@ -100,6 +109,7 @@ def statistics(text: str | None) -> list[float]:
         octets[192:].sum() / c,
         sum(len(x) > 20 for x in code) / w,
         raw.count(b"://") / w,
+        sum(map(lexicon.__contains__, raw.translate(_PLAIN).split())) / w if lexicon else 0.0,
     ]
 
 
@@ -119,6 +129,7 @@ class Forest:
     depth: int
     bias: float
     cut: float
+    lexicon: frozenset[bytes] = frozenset()
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         at = np.broadcast_to(self.roots, (len(x), len(self.roots))).copy()
@@ -183,22 +194,40 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: flo
     return forest
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Forest | None:
-    """Fit on the ``sample_rows`` labelled documents with the smallest id hashes."""
+def toxic_words(rows: DataFrame) -> frozenset[bytes]:
+    """The lexicon of sampled (text, toxic) rows, counted by documents in Spark."""
+    plain = F.regexp_replace(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x00-\x60\x7B-\x7F]+", " ")
+    words = rows.select("toxic", F.explode(F.array_distinct(F.split(plain, " "))).alias("word")).where("word <> ''")
+    sizes = rows.agg(F.count_if("toxic").alias("bad"), F.count_if(~F.col("toxic")).alias("good")).first()
+    if not sizes["bad"]:
+        return frozenset()
+    counts = words.groupBy("word").agg(F.count_if("toxic").alias("bad"), F.count_if(~F.col("toxic")).alias("good"))
+    odds = (F.col("bad") + 0.5) / (sizes["bad"] + 1) / ((F.col("good") + 0.5) / (sizes["good"] + 1))
+    found = counts.where((F.col("bad") >= LEXICON_LEAST) & (odds >= LEXICON_ODDS)).orderBy(F.desc("bad"), "word").limit(LEXICON_WORDS)
+    return frozenset(r["word"].encode() for r in found.collect())
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, toxic_col: str = "toxic") -> Forest | None:
+    """Fit on the ``sample_rows`` labelled documents with the smallest id hashes. ``labels`` may lack
+    the column of toxic labels."""
     key = F.xxhash64("id")
-    clean = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).dropna()
-    chosen = clean.groupBy("id").agg(F.min("y").alias("y")).orderBy(key, "id").limit(sample_rows)
+    toxic = F.coalesce(F.col(toxic_col).cast("double") > 0, F.lit(False)) if toxic_col in labels.columns else F.lit(False)
+    clean = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"), toxic.alias("toxic")).dropna()
+    chosen = clean.groupBy("id").agg(F.min(F.when(F.col("toxic"), 0.0).otherwise(F.col("y"))).alias("y"), F.max("toxic").alias("toxic")).orderBy(key, "id").limit(sample_rows)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    lexicon = toxic_words(rows) if toxic_col in labels.columns else frozenset()
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"x": [statistics(t) for t in frame["text"]], "y": frame["y"].to_numpy(), "id": frame["id"].astype(str).to_numpy()})
+            yield pd.DataFrame({"x": [statistics(t, lexicon) for t in frame["text"]], "y": frame["y"].to_numpy(), "id": frame["id"].astype(str).to_numpy()})
 
     found = rows.mapInPandas(work, "x array<double>, y double, id string").toPandas().sort_values("id", kind="stable")
     y = found["y"].to_numpy()
     if not len(y) or y.min() == y.max():
         return None
-    return fit(np.stack(found["x"].to_numpy()), y)
+    forest = fit(np.stack(found["x"].to_numpy()), y)
+    forest.lexicon = lexicon
+    return forest
 
 
 def judge(docs: DataFrame, forest: Forest | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,8 +235,10 @@ def judge(docs: DataFrame, forest: Forest | None, id_col: str = "doc_id", text_c
     caller's columns of those names are replaced."""
     added = ", ".join(f"{n} long" for n in BASE_STATS) + ", base_failed boolean, kept boolean, score double"
 
+    lexicon = forest.lexicon if forest else frozenset()
+
     def work(texts: list[str | None]) -> dict:
-        x = np.array([statistics(t) for t in texts], float).reshape(len(texts), -1)
+        x = np.array([statistics(t, lexicon) for t in texts], float).reshape(len(texts), -1)
         base = x[:, : len(BASE_STATS)].astype(np.int64)
         failed = (base[:, 0] < 50) | (100 * base[:, 4] > 50 * base[:, 0])
         score = forest.score(x) if forest else np.ones(len(x))

@@ -97,6 +97,24 @@ def test_quality_trees_keep_good_and_reject_junk(spark):
     assert all(kept[i] == (i % 4 != 0) for i in range(300, 400))
 
 
+def test_quality_rejects_toxic_documents_of_good_form(spark):
+    rng = random.Random(12)
+    bad = ["awful", "Nasty!", "vile,"]
+    rows, labels = [], []
+    for i in range(400):
+        words = sentence(rng, 80).split()
+        if i % 8 == 0:
+            words[rng.randrange(80)] = rng.choice(bad)
+        rows.append((i, " ".join(words), "en", "s", None))
+        if i < 300:
+            labels.append((i, 1, int(i % 8 == 0)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    forest = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert {b"awful", b"nasty", b"vile"} <= forest.lexicon
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(docs, forest).collect()}
+    assert all(kept[i] == (i % 8 != 0) for i in range(300, 400))
+
+
 def test_quality_falls_along_constrained_features():
     rng = np.random.default_rng(0)
     x = rng.random((3000, len(quality.FEATURES)))
