@@ -239,7 +239,8 @@ def _rest(rows: DataFrame, reps: DataFrame, texts: DataFrame, components: DataFr
 
     schema = StructType([StructField("a", kind), StructField("b", kind)])
     out_schema = to_arrow_schema(schema)
-    return pairs.groupBy("cluster", "low", "high").applyInArrow(join, schema)
+    # dealt by pair of blocks: the dealing by cluster would do for Spark, but lets one task have a cluster
+    return pairs.repartition("cluster", "low", "high").groupBy("cluster", "low", "high").applyInArrow(join, schema)
 
 
 def candidates(reps: DataFrame, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> tuple[DataFrame, DataFrame | None]:
