@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .select import numbered
+
 
 def gate_order(checks: list[tuple[str, Column]]) -> Column:
     """The first failed check of a row, or ``accepted``."""
@@ -18,11 +20,11 @@ def gate_order(checks: list[tuple[str, Column]]) -> Column:
 
 def compile_pools(rows: DataFrame, gate: Column, label: str, quota: int, order: list[Column]) -> DataFrame:
     """pool_class: final (with package_rank per label), quota_surplus, or the gate that failed."""
-    gated = rows.withColumn("__g", gate)
-    place = F.row_number().over(Window.partitionBy(label, (F.col("__g") == "accepted")).orderBy(*order))
-    pool = F.when(F.col("__g") != "accepted", F.col("__g")).when(place <= quota, "final").otherwise("quota_surplus")
-    rank = F.when((F.col("__g") == "accepted") & (place <= quota), place)
-    return gated.withColumn("pool_class", pool).withColumn("package_rank", rank.cast("long")).drop("__g")
+    gated = rows.withColumn("__g", gate).withColumn("__ok", F.col("__g") == "accepted")
+    placed = numbered(gated, [label, "__ok"], order, "__place")
+    final = F.col("__ok") & (F.col("__place") <= quota)
+    pool = F.when(~F.col("__ok"), F.col("__g")).when(final, "final").otherwise("quota_surplus")
+    return placed.withColumn("pool_class", pool).withColumn("package_rank", F.when(final, F.col("__place"))).drop("__g", "__ok", "__place")
 
 
 def lint(pools: DataFrame, label: str, quota: int) -> DataFrame:

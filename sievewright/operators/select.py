@@ -24,18 +24,39 @@ def near_tie(df: DataFrame, keys: list[str], score: str, cost: str, gap: float,
     return chosen.where("__r = __want").drop("__r", "__next", "__want")
 
 
+def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str, count: str | None = None) -> DataFrame:
+    """Numbers the rows of each key 1, 2, .. in that order and, if asked, adds the rows of the key;
+    one key may hold any share of all rows. Rows are range-sorted by key and order and stored with
+    the number of their range; a range numbers its part of a key, and a part starts where the former
+    parts of the key end. Nulls are a key of their own."""
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
+    marked = stored(ranged.withColumn("__p", F.spark_partition_id()), "ranges")
+    inside = marked.withColumn(name, F.row_number().over(Window.partitionBy("__p", *keys).orderBy(*order)))
+    # one row a range and key
+    parts = marked.groupBy("__p", *keys).agg(F.count("*").alias("__n"))
+    w = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("__n").over(w.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = parts.select(F.col("__p").alias("__q"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], before.alias("__s"), F.sum("__n").over(w).alias("__all"))
+    same = F.col("__p") == F.col("__q")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    out = inside.join(starts, same).withColumn(name, (F.col("__s") + F.col(name)).cast("long"))
+    if count:
+        out = out.withColumn(count, F.col("__all"))
+    return out.drop("__p", "__q", "__s", "__all", *[f"__k{i}" for i in range(len(keys))])
+
+
 def quota(df: DataFrame, label: str, most: int, order: list[Column], name: str = "pool") -> DataFrame:
     """The first ``most`` rows of every label are ``selected``, the others ``quota_surplus``."""
-    r = F.row_number().over(Window.partitionBy(label).orderBy(*order))
-    return df.withColumn(name, F.when(r <= most, "selected").otherwise("quota_surplus"))
+    rows = numbered(df, [label], order, "__r")
+    return rows.withColumn(name, F.when(F.col("__r") <= most, "selected").otherwise("quota_surplus")).drop("__r")
 
 
 def fallback_quota(df: DataFrame, label: str, large: int, small: int, order: list[Column], name: str = "pool") -> DataFrame:
     """As ``quota`` with ``large``; labels that have fewer rows than that get ``small``."""
-    w = Window.partitionBy(label)
-    r = F.row_number().over(w.orderBy(*order))
-    most = F.when(F.count("*").over(w) >= large, large).otherwise(small)
-    return df.withColumn(name, F.when(r <= most, "selected").otherwise("quota_surplus"))
+    rows = numbered(df, [label], order, "__r", "__n")
+    most = F.when(F.col("__n") >= large, large).otherwise(small)
+    return rows.withColumn(name, F.when(F.col("__r") <= most, "selected").otherwise("quota_surplus")).drop("__r", "__n")
 
 
 def ordinal(df: DataFrame, order: list[str], name: str = "ordinal", partitions: int | None = None) -> DataFrame:
@@ -53,25 +74,23 @@ def ordinal(df: DataFrame, order: list[str], name: str = "ordinal", partitions:
 
 def round_robin(df: DataFrame, kind: str, order: list[Column], name: str = "turn") -> DataFrame:
     """Place in a deal that takes one row of each kind in turn: (index in kind, kind)."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(kind).orderBy(*order)).cast("long"))
+    return numbered(df, [kind], order, name)
 
 
 def even_spaced(df: DataFrame, keys: list[str], order: list[Column], k: int, interior: bool) -> DataFrame:
     """``k`` rows of each key at even distances: inside the ends, or with both ends. Halves round
     to even; indices that coincide are taken once; at most all rows."""
-    w = Window.partitionBy(*keys)
-    n = F.count("*").over(w)
-    i = F.row_number().over(w.orderBy(*order)) - 1
+    rows = numbered(df, keys, order, "__r", "__n").withColumn("__i", F.col("__r") - 1)
     steps = F.sequence(F.lit(0), F.lit(k - 1))
     at = (lambda s: F.bround((s + 1) / F.lit(k + 1) * (F.col("__n") - 1))) if interior else (lambda s: F.bround(s * (F.col("__n") - 1) / F.lit(max(k - 1, 1))))
     wanted = F.transform(steps, lambda s: at(s).cast("long"))
-    return df.withColumn("__n", n).withColumn("__i", i.cast("long")).where((F.col("__n") <= k) | F.array_contains(wanted, F.col("__i"))).drop("__n", "__i")
+    return rows.where((F.col("__n") <= k) | F.array_contains(wanted, F.col("__i"))).drop("__n", "__r", "__i")
 
 
 def label_schedule(df: DataFrame, keys: list[str], order: list[Column], labels: tuple[str, ...], name: str = "label") -> DataFrame:
     """Labels in rotation along the order of each key."""
-    i = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    return df.withColumn(name, F.element_at(F.array(*map(F.lit, labels)), (F.pmod(i, F.lit(len(labels))) + 1).cast("int")))
+    rows = numbered(df, keys, order, "__r")
+    return rows.withColumn(name, F.element_at(F.array(*map(F.lit, labels)), (F.pmod(F.col("__r") - 1, F.lit(len(labels))) + 1).cast("int"))).drop("__r")
 
 
 def apportion(counts: DataFrame, name: str, weight: str, total: int, out: str = "quota") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .select import numbered
+
 SPLITS = ("train", "dev", "test")
 # Rows held out for evaluation by the size of a package.
 EVAL_LADDER = ((80, 16), (64, 12), (40, 8), (20, 4), (10, 2))
@@ -15,12 +17,11 @@ def family_split(df: DataFrame, kind: str, family: str, first: Column, name: str
     test family from three on (from five on the last two), one test family of two, else train only.
     A family that occurs in several kinds has the split of the kind that was first seen last."""
     families = df.groupBy(kind, family).agg(F.min(first).alias("__f"))
-    w = Window.partitionBy(kind)
-    n = F.count("*").over(w)
-    i = F.row_number().over(w.orderBy("__f", family))
+    n, i = F.col("__n"), F.col("__i")
     train = F.when(n >= 3, n - 2).when(n == 2, 1).otherwise(1)
     dev = F.when(n >= 3, 1).otherwise(0)
-    placed = families.withColumn(name, F.when(i <= train, "train").when(i <= train + dev, "dev").otherwise("test"))
+    ranked = numbered(families, [kind], [F.asc("__f"), F.asc(family)], "__i", "__n")
+    placed = ranked.withColumn(name, F.when(i <= train, "train").when(i <= train + dev, "dev").otherwise("test"))
     kinds = df.groupBy(kind).agg(F.min(first).alias("__k"))
     ordered = placed.join(kinds, kind)
     final = ordered.groupBy(family).agg(F.max_by(name, F.struct("__k", kind)).alias(name))

@@ -187,3 +187,15 @@ def test_stream_equals_table(spark, sf_small):
     closed = {tuple(r)[:3] for r in spark.table("windows").collect()}
     whole = {tuple(r)[:3] for r in events.tumbling_counts(table).collect()}
     assert closed and closed <= whole
+
+
+def test_numbers_of_a_key_spread_over_ranges(spark):
+    rows = [(i, None if i % 10 == 0 else "hot" if i % 3 else "cold") for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, k string").repartition(7)
+    got = sorted(map(tuple, select.numbered(df, ["k"], [F.desc("id")], "r", "n").select("id", "k", "r", "n").collect()))
+    want = []
+    for key in (None, "hot", "cold"):
+        ids = sorted((i for i, k in rows if k == key), reverse=True)
+        want += [(i, key, r, len(ids)) for r, i in enumerate(ids, 1)]
+    assert got == sorted(want)
+    assert select.numbered(df.where("id < 0"), ["k"], [F.asc("id")], "r").count() == 0
