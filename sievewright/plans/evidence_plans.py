@@ -10,7 +10,7 @@ from ..functions import text as tx
 from ..operators import evidence, generate, vectors
 from ..sources.tables import table
 from .batches import BatchSpec, run_batch
-from .text_plans import LONG, SENTENCES
+from .text_plans import LONG, NORM, SENTENCES
 
 
 def _sentences(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -40,16 +40,29 @@ DECISION = _BASE + ", k AS (SELECT doc_id, no, q AS points, row_number() OVER (P
 
 
 def evidence_law(spark: SparkSession, d: str) -> DataFrame:
-    rows = evidence.scored(*_sentences(spark, d), "law")
-    return evidence.anchor_with_context(rows).select("doc_id", "no", "points", "part")
+    """Modes by the number of a turn's query tokens, the first of them as subject."""
+    rows, wanted = _sentences(spark, d)
+    n = F.size("query") % 3
+    mode = F.when(n == 0, "scope").when(n == 1, "definition").otherwise("criteria")
+    wanted = wanted.withColumn("mode", mode).withColumn("subject", F.coalesce(F.try_element_at("query", F.lit(1)), F.lit("")))
+    return evidence.anchor_with_context(evidence.scored(rows, wanted, "law")).select("doc_id", "no", "points", "part", "place")
 
 
 LAW = (
     _BASE
-    + """, p AS (SELECT doc_id, no, section, q + 2 * a + CASE WHEN section IN ('조문', '항') THEN 1 ELSE 0 END AS points FROM b),
+    + f""", m0 AS (SELECT doc_id, len(query) % 3 AS md, coalesce(query[1], '') AS subject FROM w),
+p AS (SELECT doc_id, no, section, content, a, md, trim(content) <> '' AS filled, regexp_full_match({NORM('content')}, '제[0-9]+조(?:의[0-9]+)?[(][^)]+[)]') AS bare,
+ q + 2 * a + CASE WHEN section IN ('조문', '항') THEN 1 ELSE 0 END + CASE WHEN regexp_matches(content, '보상|손실|허가|대상|범위|요건') THEN 2 ELSE 0 END
+ + CASE WHEN subject <> '' AND contains({NORM('content')}, subject) THEN 3 ELSE 0 END - CASE WHEN regexp_full_match({NORM('content')}, '제[0-9]+조(?:의[0-9]+)?[(][^)]+[)]') THEN 4 ELSE 0 END AS points FROM b JOIN m0 USING (doc_id)),
 u AS (SELECT *, max(CASE WHEN section = '조문' THEN no END) OVER (PARTITION BY doc_id ORDER BY no ROWS UNBOUNDED PRECEDING) AS under FROM p),
-m AS (SELECT *, first_value(no) OVER w AS bn, first_value(under) OVER w AS bu FROM u WINDOW w AS (PARTITION BY doc_id ORDER BY points DESC, no DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
-x AS (SELECT doc_id, no, points, CASE WHEN no = bn THEN 'anchor' WHEN no = bu THEN 'heading' WHEN no > bn AND no <= bn + 9 AND under IS NOT DISTINCT FROM bu THEN 'following' END AS part FROM m) SELECT * FROM x WHERE part IS NOT NULL"""
+m AS (SELECT *, first_value(no) OVER w AS bn, first_value(under) OVER w AS bu, first_value(bare) OVER w AS bb FROM u WINDOW w AS (PARTITION BY doc_id ORDER BY points DESC, no DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+t2 AS (SELECT *, min(CASE WHEN bb AND filled AND no > bn AND no <= bn + 5 THEN no END) OVER (PARTITION BY doc_id) AS tn FROM m),
+x AS (SELECT *, coalesce(tn, bn) AS pos FROM t2),
+y AS (SELECT *, bool_or(no = pos AND (md = 0 OR regexp_matches(content, '다음 각 [호목]'))) OVER (PARTITION BY doc_id) AS asks, min(CASE WHEN no > pos AND section = '조문' AND filled THEN no END) OVER (PARTITION BY doc_id) AS stop FROM x),
+z AS (SELECT *, filled AND no > pos AND no <= pos + 9 AND (stop IS NULL OR no < stop) AND (asks OR md <> 1) AS near FROM y),
+k AS (SELECT *, CASE WHEN near THEN row_number() OVER (PARTITION BY doc_id, near ORDER BY a + CASE WHEN section = '항' THEN 1 ELSE 0 END DESC, no) END AS place,
+ greatest(CASE WHEN asks THEN 4 ELSE 3 END - 1 - CASE WHEN bu <> bn THEN 1 ELSE 0 END - CASE WHEN tn IS NULL THEN 0 ELSE 1 END, 1) AS most FROM z),
+o2 AS (SELECT doc_id, no, points, CASE WHEN no = bn THEN 'anchor' WHEN no = bu THEN 'heading' WHEN no = tn THEN 'text' WHEN place <= most THEN 'item' END AS part, place FROM k) SELECT * FROM o2 WHERE part IS NOT NULL"""
 )
 
 

@@ -87,11 +87,27 @@ def test_evidence_orders(spark):
     rows = spark.createDataFrame([("d", 1, "조문", "h"), ("d", 2, "항", "보상 xx yy"), ("d", 3, "항", "xx yy 보상"), ("d", 4, "호", "zz"), ("d", 5, "조문", "other")], "doc_id string, no long, section string, content string")
     wanted = spark.createDataFrame([("d", ["xx"], ["yy"])], "doc_id string, query array<string>, answer array<string>")
     law = {r["no"]: r["part"] for r in evidence.anchor_with_context(evidence.scored(rows, wanted, "law")).collect()}
-    assert law == {1: "heading", 3: "anchor", 4: "following"}
+    assert law == {1: "heading", 3: "anchor", 4: "item"}
     decision = [r["no"] for r in evidence.top_sentences(evidence.scored(rows, wanted, "decision"), 2).orderBy("place").collect()]
     assert decision == [2, 3]
 
 
+def test_law_evidence_of_a_bare_heading(spark):
+    texts = [("조문", "제1조(보상)"), ("항", " "), ("항", "다음 각 호의 경우"), ("호", "aa"), ("호", "bb yy"), ("항", "cc"), ("조문", "제2조(기타)"), ("항", "yy")]
+    rows = spark.createDataFrame([("d", i, s, t) for i, (s, t) in enumerate(texts, 1)], "doc_id string, no long, section string, content string")
+
+    def parts(mode, subject="보상"):
+        wanted = spark.createDataFrame([("d", ["보상"], ["zz"], mode, subject)], "doc_id string, query array<string>, answer array<string>, mode string, subject string")
+        scored = evidence.scored(rows, wanted, "law").withColumn("points", F.when(F.col("no") == 1, 9).otherwise(F.col("points")))
+        return {r["no"]: r["part"] for r in evidence.anchor_with_context(scored).collect()}
+
+    # the anchor is its own heading; the text behind it asks for items, so four sentences
+    assert parts("definition") == {1: "anchor", 3: "text", 4: "item", 5: "item"}
+    points = {r["no"]: r["points"] for r in evidence.scored(rows, spark.createDataFrame([("d", ["보상"], ["zz"], None, "보상")], "doc_id string, query array<string>, answer array<string>, mode string, subject string"), "law").collect()}
+    # token 1 + subject 3 + section 1 + marker 2 - heading 4; a heading without any gets 1 - 4
+    assert points[1] == 3 and points[7] == -3 and points[4] == 0
+
+
 def test_provider_attempts_are_bounded(spark):
     rows = spark.createDataFrame([("good", "f1"), ("bad", "f2")], "prompt string, draft string")
 
