@@ -273,3 +273,29 @@ def law_items(sections: Column, texts: Column) -> Column:
     rows = F.zip_with(sections, texts, lambda s, t: F.struct(s.alias("s"), normalize(t).alias("t")))
     kept = F.filter(rows, lambda r: r["s"].isin("호", "목") | r["t"].rlike(r"^[0-9]+\."))
     return F.filter(F.transform(kept, lambda r: F.regexp_replace(r["t"], r"^[0-9]+\.\s*", "")), lambda t: t != "")
+
+
+# Phrases of a seed question and what its stem core has in their place, in this order.
+STEM_CORE_FOLDS = (
+    (r"(.+?)은 어떻게 정해지나요의 판단 기준은 무엇인가요\??$", "$1 정함 기준"),
+    (r"(.+?)은 어떻게 정해지나요\??$", "$1 정함 기준"),
+    (r"(.+?)어떤 조건을 갖추어야 하나요의 요건은 무엇인가요\??$", "$1갖추어야 할 요건"),
+    (r"(.+?)어떤 조건을 갖추어야 하나요\??$", "$1갖추어야 할 요건"),
+    (r"\s*기준으로,\s*", "에 따른 "),
+    (r"\s*기준으로\s*", "에 따른 "),
+    (r"와 관련된 핵심 판단 기준은 무엇인가요\??$", ""),
+    (r"의 판단 기준은 무엇인가요\??$", " 판단 기준"),
+    (r"의 요건은 무엇인가요\??$", " 요건"),
+    (r"의 이유는 무엇인가요\??$", " 이유"),
+    (r"신고해야 하는 서류의 판단 기준은 무엇인가요\??$", "신고 첨부서류"),
+    (r"무엇인가요\??$", ""),
+    (r"무엇입니까\??$", ""),
+)
+
+
+def stem_core(c: Column | str) -> Column:
+    """A seed question as the core of a choice stem: one predicate, no question."""
+    out = normalize(c)
+    for phrase, instead in STEM_CORE_FOLDS:
+        out = F.regexp_replace(out, phrase, instead)
+    return F.regexp_replace(out, "[ ,.?]+$", "")

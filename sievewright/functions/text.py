@@ -37,6 +37,23 @@ def tighten_punctuation(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(normalize(c), r" +([,.;:!?)\]」』])", "$1"), r"([(\[「『]) +", "$1")
 
 
+# Marks that no blank precedes, what a particle may follow, particles.
+NO_BLANK_BEFORE, BEFORE_PARTICLE = r"[,.;:)\]」”]", "[가-힣A-Za-z0-9」”]"
+PARTICLES = ("의", "에", "은", "는", "이", "가", "을", "를", "와", "과", "로", "도", "만")
+
+
+def joined_text(c: Column | str) -> Column:
+    """Blanks and tabs become one blank, none beside a line feed, none at the ends; null is empty."""
+    blanks = F.regexp_replace(F.regexp_replace(F.coalesce(_col(c), F.lit("")), "\u00a0", " "), "[ \t]+", " ")
+    return F.regexp_replace(F.regexp_replace(blanks, " ?\n ?", "\n"), r"^\s+|\s+$", "")
+
+
+def main_text(c: Column | str) -> Column:
+    """Joined text of a layout with marks and lone particles back at their words."""
+    marks = F.regexp_replace(joined_text(c), rf"\s+({NO_BLANK_BEFORE})", "$1")
+    return F.regexp_replace(marks, rf"({BEFORE_PARTICLE})\s+({'|'.join(PARTICLES)})(?=\s)", "$1$2")
+
+
 def tokens(c: Column | str) -> Column:
     """Lower-cased tokens of any length."""
     return F.regexp_extract_all(F.lower(normalize(c)), F.lit(TOKEN), F.lit(0))

@@ -38,6 +38,13 @@ def conditional_counts(df: DataFrame, keys: list[str], **conditions: Column) ->
     return df.groupBy(*keys).agg(F.count("*").alias("row_count"), *[F.count_if(c).alias(n) for n, c in conditions.items()])
 
 
+def availability(df: DataFrame, keys: list[str], status: str, name: str = "available") -> DataFrame:
+    """Rows by every part of the key, its status among them, as one column of what can be had and one
+    of what is blocked; nulls are a part's own value."""
+    there = F.col(status).eqNullSafe(F.lit(name))
+    return df.groupBy(*keys, status).agg(F.count_if(there).alias("available_count"), F.count_if(~there).alias("blocked_count"))
+
+
 def feasibility(available: DataFrame, needs: DataFrame, route: str, source: str) -> DataFrame:
     """Per route: rows required, rows that can be had, and the sources that fall short."""
     both = needs.join(available, source, "left").withColumn("have", F.coalesce("available", F.lit(0)))

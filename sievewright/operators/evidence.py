@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.korean import STATUTE_HEAD
+from ..functions.korean import statute_head_only
 
 # Sentences at most by kind, sections and markers that earn points.
 MOST = {"law": 3, "interpretation": 3, "decision": 4, "precedent": 4}
@@ -45,11 +45,6 @@ def is_application(section: Column, text: Column) -> Column:
     return section.isin(*APPLICATION_SECTIONS) | mentions(text, APPLICATION_MARKERS)
 
 
-def is_heading(text: Column) -> Column:
-    """Whether a text is the heading of a statute article and nothing else."""
-    return text.rlike(f"^{STATUTE_HEAD}$")
-
-
 def scored(sentences: DataFrame, wanted: DataFrame, kind: str, doc: str = "doc_id") -> DataFrame:
     """Adds ``points``: query overlap, twice the answer overlap (not for decisions), section and
     marker points of the kind. For laws a ``subject`` in ``wanted`` earns points where it occurs, a
@@ -67,7 +62,7 @@ def scored(sentences: DataFrame, wanted: DataFrame, kind: str, doc: str = "doc_i
     if kind == "law":
         if "subject" in wanted.columns:
             points = points + F.when((F.col("subject") != "") & text.contains(F.col("subject")), SUBJECT_POINTS).otherwise(0)
-        points = points - F.when(is_heading(text), HEADING_LOSS).otherwise(0)
+        points = points - F.when(statute_head_only("content"), HEADING_LOSS).otherwise(0)
         rows = rows.withColumn("answer_hits", tx.overlap_count(F.col("own"), F.col("answer")))
     if kind == "precedent":
         points = points + F.when(is_rule(F.col("section"), text), 2).otherwise(0) + F.when(is_application(F.col("section"), text), 2).otherwise(0)
@@ -90,7 +85,7 @@ def anchor_with_context(rows: DataFrame, heading: str = "조문", doc: str = "do
     w = Window.partitionBy(doc)
     filled = F.trim("content") != ""
     under = F.last(F.when(F.col("section") == heading, F.col("no")), ignorenulls=True).over(w.orderBy("no").rowsBetween(Window.unboundedPreceding, 0))
-    bare = is_heading(tx.normalize("content"))
+    bare = statute_head_only("content")
     out = rows.withColumn("under", under).withColumn("best", F.max(F.struct("points", "no", "under", bare.alias("bare"))).over(w))
     behind = F.col("best.bare") & filled & (F.col("no") > F.col("best.no")) & (F.col("no") <= F.col("best.no") + TEXT_WITHIN)
     out = out.withColumn("text_no", F.min(F.when(behind, F.col("no"))).over(w)).withColumn("at", F.coalesce("text_no", F.col("best.no")))

@@ -133,6 +133,27 @@ def probe(rows: DataFrame, source: str, order: str, starts: int, taken: DataFram
     return able.join(picked.select(source, "i", F.col("slot").cast("long").alias("slot")), [source, "i"]).drop("i", "n")
 
 
+def preflight(rows: DataFrame, total: int, expected: dict[tuple[str, ...], int], keys: list[str], flags: list[str]) -> DataFrame:
+    """What is wrong with a batch, no row if nothing is: its size, the size of an expected group of
+    the keys (groups that nobody expects are not looked at), rows with a raised flag. One row per
+    finding: check, group, wanted, found."""
+    spark = rows.sparkSession
+    group = F.array_join(F.array(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]), "|")
+    counts = rows.groupBy(group.alias("group")).agg(F.count("*").alias("n"))
+    wanted = spark.createDataFrame([("|".join(k), n) for k, n in expected.items()], "group string, wanted long")
+    sizes = wanted.join(counts, "group", "left").select(F.lit("group_size").alias("check"), "group", "wanted", F.coalesce("n", F.lit(0)).alias("found"))
+    whole = rows.agg(F.count("*").alias("found")).select(F.lit("batch_size").alias("check"), F.lit("").alias("group"), F.lit(total).cast("long").alias("wanted"), "found")
+    raised = rows.agg(*[F.count_if(F.col(f)).alias(f) for f in flags]).unpivot([], flags, "group", "found").select(F.lit("flag").alias("check"), "group", F.lit(0).cast("long").alias("wanted"), "found")
+    return sizes.unionByName(whole).unionByName(raised).where("wanted <> found")
+
+
+def require_clean(rows: DataFrame, findings: DataFrame) -> DataFrame:
+    """The rows, in a job that fails if there is a finding."""
+    first = findings.agg(F.min(F.concat_ws(" ", "check", "group", F.col("found").cast("string"))).alias("__first"))  # one row
+    checked = F.when(F.col("__first").isNull(), True).otherwise(F.raise_error(F.concat(F.lit("preflight failed: "), "__first")).cast("boolean"))
+    return rows.join(F.broadcast(first.where(checked)), F.lit(True)).drop("__first")
+
+
 # Headings that open a section of a case, and the note for those that lack.
 CASE_HEADINGS = ("질의요지", "회답", "이유")
 MISSING_NOTE = " 경계 미검출"

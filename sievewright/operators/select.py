@@ -109,6 +109,20 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")).where(F.col(name) <= k)
 
 
+def examples(df: DataFrame, kind: str, preferred: tuple[str, ...], id: str, order: list[tuple[Column, bool]], most: int, name: str = "place") -> DataFrame:
+    """At most ``most`` rows: the best one of each preferred kind, kinds in that order, then the best
+    of all others. ``order`` says which columns rank and whether a larger one is better; ties go to
+    the smaller ``id``, which is unique."""
+    by = [c.desc_nulls_last() if larger else c.asc_nulls_last() for c, larger in order] + [F.asc(id)]
+    chosen = df.limit(0).withColumn("__k", F.lit(0))
+    for i, wanted in enumerate(preferred):
+        chosen = chosen.unionAll(df.where(F.col(kind) == wanted).orderBy(*by).limit(1).withColumn("__k", F.lit(i)))
+    # one row a preferred kind, so at most ``most`` rows of the rest are needed
+    rest = df.join(chosen.select(id), id, "left_anti").orderBy(*by).limit(most).withColumn("__k", F.lit(len(preferred)))
+    place = F.row_number().over(Window.partitionBy().orderBy("__k", *by))
+    return chosen.unionByName(rest).withColumn(name, place.cast("long")).where(F.col(name) <= most).drop("__k")
+
+
 def carry_forward(df: DataFrame, keys: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
     """The last non-null value up to each row."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import korean
 from ..functions import scalars as sc
 from ..functions import text as tx
-from ..operators import gates, package, records
+from ..operators import aggregate, gates, package, records, select
 from ..sources import sinks
 from ..sources import tables as src
 from ..sources.pages import label_value, page_items
@@ -311,11 +311,53 @@ def footnotes(spark: SparkSession, d: str) -> DataFrame:
 
 FOOTNOTES = "SELECT p_partkey, p_size * 10 < 300 AND p_retailprice BETWEEN 950 AND 1500 AND p_size <= 25 AND p_partkey % 3 = 0 AS footnote FROM part"
 
+
+
+def availability_cube(spark: SparkSession, d: str) -> DataFrame:
+    """Parts by brand, type and reason; large ones are blocked."""
+    large = F.col("p_size") > 40
+    rows = table(spark, d, "part").select("p_brand", "p_type", F.when(large, "unavailable").otherwise("available").alias("availability_status"), F.when(large, "too_large").otherwise("fresh").alias("reason"))
+    return aggregate.availability(rows, ["p_brand", "p_type", "reason"], "availability_status")
+
+
+AVAILABILITY = """SELECT p_brand, p_type, CASE WHEN p_size > 40 THEN 'too_large' ELSE 'fresh' END AS reason, CASE WHEN p_size > 40 THEN 'unavailable' ELSE 'available' END AS availability_status,
+count_if(p_size <= 40) AS available_count, count_if(p_size > 40) AS blocked_count FROM part GROUP BY ALL"""
+
+
+def picked_examples(spark: SparkSession, d: str) -> DataFrame:
+    """The dearest open order of two priorities, and the dearest other ones up to three."""
+    orders = table(spark, d, "orders").where("o_orderstatus = 'O'").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return select.examples(orders, "o_orderpriority", ("5-LOW", "1-URGENT", "none"), "o_orderkey", [(F.col("o_totalprice"), True)], 3)
+
+
+EXAMPLES = """WITH o AS (SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus = 'O'), r AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS r FROM o),
+k AS (SELECT *, CASE WHEN r = 1 AND o_orderpriority = '5-LOW' THEN 0 WHEN r = 1 AND o_orderpriority = '1-URGENT' THEN 1 ELSE 3 END AS k FROM r)
+SELECT o_orderkey, o_orderpriority, o_totalprice, row_number() OVER (ORDER BY k, o_totalprice DESC, o_orderkey) AS place FROM k QUALIFY place <= 3"""
+
+# Sizes a batch of suppliers is held against.
+BATCH_SIZE, GROUPS = 90, {("0", "true"): 1, ("3", "false"): 2, ("99", "true"): 5}
+
+
+def preflight_findings(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as a batch: its size, three groups, negative balances and shared nations as flags."""
+    rich = F.col("s_acctbal") > 0
+    rows = table(spark, d, "supplier").select("s_nationkey", rich.alias("rich"), (~rich).alias("in_debt"), (F.col("s_suppkey") < 0).alias("negative"))
+    return records.preflight(rows, BATCH_SIZE, GROUPS, ["s_nationkey", "rich"], ["in_debt", "negative"])
+
+
+_GROUP = "CAST(s_nationkey AS VARCHAR) || '|' || CAST(s_acctbal > 0 AS VARCHAR)"
+_WANTED = ", ".join(f"('{a}|{b}', {n})" for (a, b), n in GROUPS.items())
+PREFLIGHT = f"""WITH c AS (SELECT {_GROUP} AS "group", count(*) AS n FROM supplier GROUP BY 1), f AS (
+SELECT 'group_size' AS "check", w.g AS "group", w.n AS wanted, coalesce(c.n, 0) AS found FROM (VALUES {_WANTED}) w(g, n) LEFT JOIN c ON c."group" = w.g
+UNION ALL SELECT 'batch_size', '', {BATCH_SIZE}, count(*) FROM supplier UNION ALL SELECT 'flag', 'in_debt', 0, count_if(s_acctbal <= 0) FROM supplier UNION ALL SELECT 'flag', 'negative', 0, count_if(s_suppkey < 0) FROM supplier)
+SELECT * FROM f WHERE wanted <> found"""
+
 QUERIES = {
     f.__name__: f
     for f in (
         json_lines_round_trip, csv_round_trip, json_documents_read, log_recovery, split_export, schema_union, path_index, raw_sentences, unified_labels, row_findings, contract_lint, lint_totals, included_rows, row_ids,
         status_machines, text_shapes, section_texts, score_fields, layout_lines, wrapped_probe, page_links, page_heads, metadata_pairs, case_sections, footnotes,
+        availability_cube, picked_examples, preflight_findings,
     )
 }
 PROBE = """WITH n AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS i, count(*) OVER (PARTITION BY c_mktsegment) AS n FROM customer), f AS (SELECT * FROM n WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey < 6)),
@@ -325,4 +367,5 @@ ORACLE_SQL = {
     "json_lines_round_trip": JSON_LINES, "csv_round_trip": CSV, "json_documents_read": "SELECT n_nationkey, n_name, true AS has_path FROM nation", "log_recovery": LOG, "split_export": SPLITS, "schema_union": UNION, "path_index": PATHS,
     "raw_sentences": RAW, "unified_labels": LABELS, "row_findings": FINDINGS, "contract_lint": CONTRACT, "lint_totals": LINT_TOTALS, "included_rows": INCLUDED, "row_ids": ROW_IDS, "status_machines": STATUS, "text_shapes": TEXT_SHAPES,
     "section_texts": SECTIONS, "score_fields": SCORES, "layout_lines": LAYOUT, "wrapped_probe": PROBE, "page_links": PAGE_LINKS, "page_heads": PAGE_HEADS, "metadata_pairs": METADATA_PAIRS, "case_sections": CASE_SECTIONS, "footnotes": FOOTNOTES,
+    "availability_cube": AVAILABILITY, "picked_examples": EXAMPLES, "preflight_findings": PREFLIGHT,
 }

@@ -213,11 +213,38 @@ def question_modes(spark: SparkSession, d: str) -> DataFrame:
 _MODES = "CASE " + " ".join(f"WHEN {has('q', words)} THEN '{m}'" for m, words in korean.QUESTION_MODES.items()) + " ELSE 'criteria' END"
 QUESTION_MODES = f"""{PARTS} SELECT part_key, {_MODES} AS mode, rtrim(a, '.') AS inner_clause, CASE WHEN suffix(rtrim(a, '.'), '합니다') THEN rtrim(a, '.') ELSE rtrim(a, '.') || '입니다' END AS final_clause FROM b"""
 
+
+
+def stem_cores(spark: SparkSession, d: str) -> DataFrame:
+    reframed = korean.reframed(F.col("doc_type_name"), F.col("law_mode"), F.col("title"), F.col("question"))
+    cores = _parts(spark, d).select("part_key", korean.stem_core("question").alias("core"), korean.stem_core(reframed).alias("reframed_core"))
+    return cores
+
+
+def _core(c: str) -> str:
+    for phrase, instead in korean.STEM_CORE_FOLDS:
+        c = "regexp_replace(" + c + f", '{phrase}', '{instead.replace('$1', chr(92) + '1')}', 'g')"
+    return f"regexp_replace({c}, '[ ,.?]+$', '')"
+
+
+STEM_CORES = f"""WITH r AS ({REFRAMED}), q AS ({PARTS} SELECT part_key, q FROM b) SELECT part_key, {_core('q')} AS core, {_core(N('problem'))} AS reframed_core FROM q JOIN r USING (part_key)"""
+
+
+def layout_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Names, sizes, brands and types of parts with blanks, line feeds, marks and particles as a layout leaves them."""
+    loose = F.concat(F.lit("  "), "p_name", F.lit(" 는 \t"), F.col("p_size").cast("string"), F.lit(" , \n"), "p_brand", F.lit("\u00a0의 ("), "p_type", F.lit(" ) 과 \n 도 .  "))
+    return table(spark, d, "part").select("p_partkey", text.joined_text(loose).alias("joined"), text.main_text(loose).alias("main"))
+
+
+LAYOUT_TEXTS = r"""WITH l AS (SELECT p_partkey, '  ' || p_name || ' 는 ' || chr(9) || p_size || ' , ' || chr(10) || p_brand || chr(160) || '의 (' || p_type || ' ) 과 ' || chr(10) || ' 도 .  ' AS t FROM part),
+j AS (SELECT p_partkey, regexp_replace(regexp_replace(regexp_replace(replace(t, chr(160), ' '), '[ \t]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), '^\s+|\s+$', '', 'g') AS joined FROM l)
+SELECT p_partkey, joined, regexp_replace(regexp_replace(joined, '\s+([,.;:)\]」”])', '\1', 'g'), '([가-힣A-Za-z0-9」”])\s+(의|에|은|는|이|가|을|를|와|과|로|도|만)(\s)', '\1\2\3', 'g') AS main FROM j"""
+
 QUERIES = {
     f.__name__: f
-    for f in (seed_reasons, judgment_risks, interpretation_risks, phrase_lint, answer_modes, statute_heads, stems, problems, reframed_questions, law_answers, page_texts, citations, utc_times, question_modes)
+    for f in (seed_reasons, judgment_risks, interpretation_risks, phrase_lint, answer_modes, statute_heads, stems, problems, reframed_questions, law_answers, page_texts, citations, utc_times, question_modes, stem_cores, layout_texts)
 }
 ORACLE_SQL = {
     "seed_reasons": SEED_REASONS, "judgment_risks": JUDGMENT, "interpretation_risks": INTERPRETATION, "phrase_lint": PHRASE_LINT, "answer_modes": ANSWER_MODES, "statute_heads": STATUTE_HEADS, "stems": STEMS, "problems": PROBLEMS,
-    "reframed_questions": REFRAMED, "law_answers": LAW_ANSWERS, "page_texts": PAGE_TEXTS, "citations": CITATIONS, "utc_times": UTC_TIMES, "question_modes": QUESTION_MODES,
+    "reframed_questions": REFRAMED, "law_answers": LAW_ANSWERS, "page_texts": PAGE_TEXTS, "citations": CITATIONS, "utc_times": UTC_TIMES, "question_modes": QUESTION_MODES, "stem_cores": STEM_CORES, "layout_texts": LAYOUT_TEXTS,
 }

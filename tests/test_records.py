@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievewright.functions import korean
+from sievewright.functions import text as tx
 from sievewright.operators import evidence, generate, records, vectors
 from sievewright.plans.batches import BatchSpec, run_batch
 
@@ -108,6 +109,22 @@ def test_law_evidence_of_a_bare_heading(spark):
     assert points[1] == 3 and points[7] == -3 and points[4] == 0
 
 
+def test_preflight_fails_the_job_only_on_findings(spark):
+    rows = spark.createDataFrame([("a", False), ("a", False), ("b", False)], "kind string, dup boolean")
+    good = records.preflight(rows, 3, {("a",): 2, ("b",): 1}, ["kind"], ["dup"])
+    assert good.count() == 0 and records.require_clean(rows, good).count() == 3
+    bad = records.preflight(rows.withColumn("dup", F.col("kind") == "b"), 4, {("a",): 2, ("c",): 1}, ["kind"], ["dup"])
+    assert sorted(map(tuple, bad.collect())) == [("batch_size", "", 4, 3), ("flag", "dup", 0, 1), ("group_size", "c", 1, 0)]
+    with pytest.raises(Exception, match="preflight failed"):
+        records.require_clean(rows, bad).collect()
+
+
+def test_layout_text_and_stem_core(spark):
+    assert one(spark, tx.main_text(F.lit("법 은\u00a0좋다 . (가 )\n 이 는"))) == "법은 좋다. (가)\n이 는"
+    assert one(spark, tx.main_text(F.lit(None).cast("string"))) == ""
+    assert one(spark, korean.stem_core(F.lit("민법 기준으로, 계약의 요건은 무엇인가요?"))) == "민법에 따른 계약 요건"
+
+
 def test_provider_attempts_are_bounded(spark):
     rows = spark.createDataFrame([("good", "f1"), ("bad", "f2")], "prompt string, draft string")
 
