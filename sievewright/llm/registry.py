@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, licences, lm, media, mixing, neardup, packing, quality, repeats
+from . import chat, langid, licences, lm, media, merkle, mixing, neardup, packing, quality, repeats, toxicity, whitening
 from .common import crc_fold, stored, table, words_count
 
 
@@ -64,6 +64,21 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.expand(rows.unionByName(extra)))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), 5) == 0)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"), 5) != 0)
+    return toxicity.judge(docs, model, keep=["doc_id", "held_out"])
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.col("doc_id").isNotNull() & (crc_fold(F.col("doc_id"), 2) == 0)
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
+
+
 OP10_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
@@ -131,6 +146,46 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(size * ((c <=
   round(CASE WHEN b = e THEN p ELSE (sqrt(b * b + 2 * (e - b) * p * (b + e) / 2) - b) / (e - b) END, 9) AS position FROM p
 """
 
+#: Trees level by level by recursion, siblings by a join, proofs folded as lists; crc32 bit by bit.
+OP13_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT doc_id, source, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS a,
+    [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), replace(text, chr(10), '')] AS b,
+    list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda crc, byte:
+      list_reduce(list_concat([xor(crc, byte)], CAST(range(8) AS BIGINT[])), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc FROM documents
+), d AS (
+  SELECT doc_id, source, sha256(array_to_string(list_transform(a, lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) AS leaf,
+    CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN sha256(array_to_string(list_transform(b, lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) END AS bad FROM v
+), o AS (
+  SELECT doc_id, leaf, coalesce(bad, leaf) AS own, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM d
+), up AS (
+  SELECT t, 0 AS lvl, i, leaf AS h, n FROM o
+  UNION ALL
+  SELECT t, lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY t, lvl, i // 3, n
+), tops AS (SELECT t, h, count(*) OVER () AS n FROM up WHERE n = 1
+), crown AS (
+  SELECT 0 AS lvl, t AS i, h, n FROM tops
+  UNION ALL
+  SELECT lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM crown WHERE n > 1 GROUP BY lvl, i // 3, n
+), nodes AS (SELECT t, lvl, i, h FROM up WHERE n > 1 UNION ALL SELECT -1, lvl, i, h FROM crown WHERE n > 1
+), steps AS (
+  SELECT a.t, a.lvl, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') || '|' || coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS s
+  FROM nodes a JOIN nodes b ON a.t = b.t AND a.lvl = b.lvl AND a.i // 3 = b.i // 3 GROUP BY 1, 2, 3
+), below AS (
+  SELECT o.t, o.i, list(s ORDER BY lvl) FILTER (WHERE s IS NOT NULL) AS p FROM o LEFT JOIN steps ON steps.t = o.t AND steps.i = o.i // CAST(pow(3, lvl) AS BIGINT) GROUP BY 1, 2
+), above AS (
+  SELECT tops.t, list(s ORDER BY lvl) FILTER (WHERE s IS NOT NULL) AS p FROM tops LEFT JOIN steps ON steps.t = -1 AND steps.i = tops.t // CAST(pow(3, lvl) AS BIGINT) GROUP BY 1
+), f AS (
+  SELECT o.*, tops.h AS subroot, list_concat(coalesce(below.p, []), coalesce(above.p, [])) AS p
+  FROM o JOIN tops ON tops.t = o.t JOIN below ON below.t = o.t AND below.i = o.i JOIN above ON above.t = o.t
+), g AS (
+  SELECT *, (SELECT h FROM crown WHERE n = 1) AS root,
+    list_reduce(list_concat([own], p), lambda x, s: sha256(split_part(s, '|', 1) || x || split_part(s, '|', 2))) AS folded_root FROM f
+)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(p, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM g
+"""
+
 #: Every 50-byte window as hexadecimal text; every byte with the windows that reach it.
 OP6_SQL = r"""
 WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
@@ -157,5 +212,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_media": op9_media,
     "op10_chat": op10_chat,
+    "op11_toxicity": op11_toxicity,
+    "op12_whitening": op12_whitening,
+    "op13_manifest": op13_manifest,
 }
-ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": OP3_SQL, "op6_repeats": OP6_SQL, "op8_mixing": OP8_SQL, "op10_chat": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": OP3_SQL, "op6_repeats": OP6_SQL, "op8_mixing": OP8_SQL, "op10_chat": OP10_SQL, "op13_manifest": OP13_SQL}
