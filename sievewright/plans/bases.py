@@ -91,13 +91,13 @@ _PART = {
 _AS_ORDER = {"l_orderkey": "o_orderkey", "l_linenumber": "(o_custkey % 7 + 1)", "l_partkey": "(o_orderkey * 7 + o_custkey)", "l_suppkey": "o_custkey", "l_quantity": "(o_orderkey % 50)"}
 
 
-def _ordered(expression: str) -> str:
+def per_order(expression: str) -> str:
     for name, other in _AS_ORDER.items():
         expression = expression.replace(name, other)
     return expression
 
 
-_ORDER = {c: _ordered(e) for c, e in _ORDERLINE.items()}
+_ORDER = {c: per_order(e) for c, e in _ORDERLINE.items()}
 BASES: dict[str, tuple[str, dict[str, str]]] = {"lines": ("lineitem", _ORDERLINE), "heads": ("orders", _ORDER), "parts": ("part", _PART)}
 
 
