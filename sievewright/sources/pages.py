@@ -114,6 +114,29 @@ class _Node:
         tag, _, name = selector.partition(".")
         return (not tag or tag == self.tag) and (not name or name in self.classes)
 
+    def select(self, path: str) -> Iterator[_Node]:
+        """Elements below that a path of selectors reaches, in order: ``a b`` any depth, ``a > b`` a child."""
+        head, _, rest = path.strip().partition(" ")
+        child = head == ">"
+        if child:
+            head, _, rest = rest.strip().partition(" ")
+        found = (x for x in self.children if isinstance(x, _Node)) if child else self.walk()
+        seen: set[int] = set()
+        for x in found:
+            if x.fits(head):
+                for y in x.select(rest) if rest else (x,):
+                    if id(y) not in seen:
+                        seen.add(id(y))
+                        yield y
+
+    def strings(self) -> Iterator[str]:
+        """Shown pieces of text without blanks around them."""
+        for x in self.children if self.tag not in HIDDEN else ():
+            if isinstance(x, _Node):
+                yield from x.strings()
+            elif x.strip():
+                yield x.strip()
+
     def text(self) -> str:
         return " ".join(" ".join(x if isinstance(x, str) else x.text() for x in self.children).split()) if self.tag not in HIDDEN else ""
 
@@ -142,6 +165,14 @@ class _Tree(HTMLParser):
         self.open[-1].children.append(data)
 
 
+def parsed(html: str | None) -> _Node:
+    """The root of a page's elements."""
+    tree = _Tree()
+    tree.feed(html or "")
+    tree.close()
+    return tree.root
+
+
 def page_items(pages: DataFrame, item: str | tuple[str, ...], fields: dict[str, str], needed: tuple[str, ...] = (), id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Rows of a page: id, item_no (from 1, over all elements that fit ``item``) and, for each field,
     the text of the first element inside that fits its selector, empty without one. ``selector@name``
@@ -166,11 +197,9 @@ def page_items(pages: DataFrame, item: str | tuple[str, ...], fields: dict[str,
         for batch in batches:
             page, number, values = [], [], []
             for row, html in enumerate(batch.column(html_col).to_pylist()):
-                tree = _Tree()
-                tree.feed(html or "")
-                tree.close()
+                root = parsed(html)
                 for selector in choices:
-                    found = [x for x in tree.root.walk() if x.fits(selector)]
+                    found = [x for x in root.walk() if x.fits(selector)]
                     if found:
                         break
                 for i, node in enumerate(found, 1):
