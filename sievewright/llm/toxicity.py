@@ -34,7 +34,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_texts, stored, tidy, utf8
@@ -182,15 +182,23 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_
     ids = each[0].unionByName(each[1])  # at most 2 * CANDIDATES rows
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = stored(texts.join(F.broadcast(ids), "id").withColumn("digest", F.xxhash64("text")), "toxic-texts")
-    # One row a text; of its classes the toxic one. The windows see no more than the candidates.
+    # One row a text; of its classes the toxic one. No more rows than candidates come to the driver.
     light = rows.groupBy("digest").agg(F.max("toxic").alias("toxic"), F.min(F.struct(key, F.col("id"))).getField("id").alias("id"), F.max(F.octet_length("text")).cast("long").alias("size"))
-    upto = F.sum("size").over(Window.partitionBy("toxic").orderBy(F.col("size") > SAMPLE_BYTES // 10, "digest"))
-    chosen = light.where("size > 0").withColumn("upto", upto).where(F.col("upto") <= SAMPLE_BYTES)
-    chosen = chosen.select("id", "digest", "toxic", F.pmod(F.xxhash64("digest"), F.lit(FOLDS)).cast("int").alias("fold"))
+    found = light.where("size > 0").select("id", "digest", "toxic", "size").toPandas()
+    found = _within(found, SAMPLE_BYTES)
+    schema = light.select("id", "digest", "toxic").schema
+    chosen = docs.sparkSession.createDataFrame(list(found[["id", "digest", "toxic"]].itertuples(index=False, name=None)), schema).withColumn("fold", F.pmod(F.xxhash64("digest"), F.lit(FOLDS)).cast("int"))
     whole = rows.drop("toxic").join(F.broadcast(chosen), ["id", "digest"]).dropDuplicates(["digest"])
     return stored(whole.select("id", "toxic", "fold", "text"), "toxic-sample"), sizes
 
 
+def _within(found: pd.DataFrame, most: int) -> pd.DataFrame:
+    """Of each class the texts in the order of their digests, those of more than a tenth of ``most``
+    bytes last, as long as they have ``most`` bytes together."""
+    ordered = found.assign(large=found["size"] > most // 10).sort_values(["toxic", "large", "digest"])
+    return ordered[ordered.groupby("toxic")["size"].cumsum() <= most]
+
+
 def _counted(rows: DataFrame) -> DataFrame:
     """kind (1 word, 2 pair), key, context, toxic, ordinary: in how many documents; summed within batches."""
 
@@ -233,13 +241,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     twice = counts.where(each[2] >= 2)
 
     def held(kind: int) -> Counts:
-        found = twice.where(F.col("kind") == kind).select("key", "toxic", "ordinary").toPandas()
-        values = found[["toxic", "ordinary"]].to_numpy()
-        return Counts.of(found["key"].to_numpy(np.int64).view(np.uint64), np.column_stack([values, values.sum(axis=1)]))
+        found = twice.where(F.col("kind") == kind).select("key", F.col("toxic").cast("int"), F.col("ordinary").cast("int")).toArrow()
+        t, o = (found.column(c).to_numpy() for c in ("toxic", "ordinary"))
+        return Counts.of(found.column("key").to_numpy().view(np.uint64), np.column_stack([t, o, t + o]))
 
     whole = counts.where("kind = 1").agg(*sums, F.count("*").alias("v")).first()
-    starts = counts.where("kind = 2").groupBy("context").agg(*sums, F.max(each[2]).alias("most")).where("most >= 2").toPandas()
-    contexts = Counts.of(starts["context"].to_numpy(np.int64).view(np.uint64), starts[names].to_numpy(float))
+    starts = counts.where("kind = 2").groupBy("context").agg(*sums, F.max(each[2]).alias("most")).where("most >= 2").toArrow()
+    contexts = Counts.of(starts.column("context").to_numpy().view(np.uint64), np.column_stack([starts.column(n).to_numpy() for n in names]))
     totals = np.array([whole[f"n{i}"] or 0.0 for i in range(3)])
     model = Model(held(1), held(2), contexts, np.maximum(totals, 1), np.array([whole[f"d{i}"] or 0.0 for i in range(3)]), whole["v"])
     if not totals[:2].all():
