@@ -77,3 +77,29 @@ def cosine_top_k(queries: DataFrame, rows: DataFrame, key: str, vector: str, k:
     pairs = r.join(q, F.col("query_id") != F.col("match_id")).select("query_id", "match_id", (dot(F.col("__q"), F.col("__v")) / (F.col("__qn") * F.col("__vn"))).alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "match_id"))
     return pairs.withColumn("rank", place.cast("long")).where(F.col("rank") <= k)
+
+
+def file_stem(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
+
+
+def raw_lookup(labels: DataFrame, raw: DataFrame, key: str, kind: str, stem: str, token: str, path: str = "path", strict: bool = True) -> DataFrame:
+    """Labels with the raw file of their document: of their kind, the file with exactly the stem they
+    name, else one whose last ``_`` token is their id. Adds ``raw_path`` (the first of several), ``matched_by``
+    (``stem``, ``token`` or ``none``) and ``matches``. With ``strict`` a label without a file, or with several, fails the
+    job. Both keys of both sides go through one join as tagged rows; files of equal keys are one row before it."""
+    name = file_stem(F.col(path))
+    tagged = lambda by, c: F.struct(F.lit(by).alias("by"), c.cast("string").alias("key"))
+    files = raw.select(F.col(kind).alias("__kind"), F.col(path).alias("__path"), F.explode(F.array(tagged("stem", name), tagged("token", F.regexp_extract(name, "([^_]*)$", 1)))).alias("t"))
+    files = files.groupBy("__kind", "t.by", F.col("t.key").alias("__key")).agg(F.min("__path").alias("__path"), F.count("*").alias("__n"))
+    asked = labels.select(F.col(key), F.col(kind).alias("__kind"), F.explode(F.array(tagged("stem", F.trim(F.coalesce(F.col(stem), F.lit("")))), tagged("token", F.trim(F.col(token).cast("string"))))).alias("t"))
+    asked = asked.select(key, "__kind", "t.by", F.col("t.key").alias("__key")).where("by = 'token' OR __key <> ''")
+    met = asked.join(files, ["__kind", "by", "__key"], "left")
+    best = met.where("__path is not null").groupBy(key).agg(F.min(F.struct("by", "__path", "__n")).alias("m"))
+    got = labels.join(best, key, "left")
+    got = got.withColumn("raw_path", F.col("m.__path")).withColumn("matched_by", F.coalesce("m.by", F.lit("none"))).withColumn("matches", F.coalesce("m.__n", F.lit(0)).cast("long")).drop("m")
+    if not strict:
+        return got
+    what = F.when(F.col("matches") == 0, "no raw file for ").otherwise("several raw files for ")
+    fails = F.raise_error(F.concat(what, F.col(key).cast("string"))).cast("boolean")
+    return got.where(F.when(F.col("matches") == 1, F.lit(True)).otherwise(fails))

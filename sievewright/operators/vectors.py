@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..sources.shared import stored
 
 
 def bounded_ngrams(c: Column | str, low: int = 2, high: int = 5) -> Column:
@@ -52,14 +53,41 @@ def sparse_top_k(queries: DataFrame, query_key: str, items: DataFrame, item_key:
 def one_against_rest(train: DataFrame, text: str, label: str, features: int = 1 << 16, regularization: float = 0.01):
     """A linear support-vector classifier per class over hashed n-gram counts, as an ML pipeline
     model (saved with ``model.write()``). ``label`` holds class numbers."""
-    from pyspark.ml import Pipeline
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LinearSVC, OneVsRest
     from pyspark.ml.feature import IDF, HashingTF
 
-    terms = train.withColumn("terms", bounded_ngrams(text))
-    stages = [
-        HashingTF(inputCol="terms", outputCol="tf", numFeatures=features),
-        IDF(inputCol="tf", outputCol="features"),
-        OneVsRest(classifier=LinearSVC(regParam=regularization, maxIter=20), featuresCol="features", labelCol=label),
-    ]
-    return Pipeline(stages=stages).fit(terms)
+    counter = HashingTF(inputCol="terms", outputCol="tf", numFeatures=features)
+    # Stored, as every class and every step of its fit reads the counts again.
+    counted = stored(counter.transform(train.withColumn("terms", bounded_ngrams(text))).select(label, "tf"), "ngrams")
+    weigher = IDF(inputCol="tf", outputCol="features").fit(counted)
+    classifier = OneVsRest(classifier=LinearSVC(regParam=regularization, maxIter=20), featuresCol="features", labelCol=label, parallelism=4)
+    return PipelineModel(stages=[counter, weigher, classifier.fit(weigher.transform(counted))])
+
+
+def write_bundle(model, folder: str, summary: DataFrame) -> None:
+    """A fitted pipeline and a one-row summary of how it was made and what it scored, in one folder."""
+    model.write().overwrite().save(f"{folder}/model")
+    summary.coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+
+
+def read_bundle(spark: SparkSession, folder: str):
+    """The fitted pipeline and its summary, in any later session."""
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(f"{folder}/model"), spark.read.json(f"{folder}/summary")
+
+
+def predictions(model, rows: DataFrame, text: str, label: str) -> DataFrame:
+    """Rows with ``predicted`` (a class number) and ``margin``, the distance of the two best classes."""
+    from pyspark.ml.functions import vector_to_array
+
+    scored = model.transform(rows.withColumn("terms", bounded_ngrams(text)))
+    best = F.sort_array(vector_to_array("rawPrediction"), asc=False)
+    return scored.select(*rows.columns, F.col("prediction").alias("predicted"), (best[0] - best[1]).alias("margin"))
+
+
+def split_metrics(predicted: DataFrame, split: str, label: str) -> DataFrame:
+    """Rows, rows predicted right and accuracy by split."""
+    right = F.col("predicted") == F.col(label)
+    return predicted.groupBy(split).agg(F.count("*").alias("row_count"), F.count_if(right).alias("right"), F.avg(right.cast("double")).alias("accuracy"))
