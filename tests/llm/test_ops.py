@@ -5,6 +5,7 @@ import io
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -678,6 +679,63 @@ def test_licence_expression_of_ten_thousand_names():
     assert len(row[7].split("|")) == 8 and row[8] == ""
 
 
+def test_licence_unknown_names_are_names_of_their_own():
+    row = lambda e: licences.scan_text(f"License: {e}")  # noqa: E731  labels 5, score 6, choices 7, required 8
+    assert row("Foo OR MIT")[5:] == ("mit", 0.75, "?|mit", "")
+    assert row("LicenseRef-A OR (LicenseRef-B AND MIT)")[5:] == ("mit", 0.75, "?|mit", "")
+    assert row("(LicenseRef-Own AND MIT) OR LicenseRef-Shop")[5:] == ("mit", 0.75, "?|mit", "")
+    assert row("Foo AND MIT")[5:] == ("mit", 0.875, "mit", "mit")
+    assert row("Foo WITH MIT")[5:] == ("", 0.0, "", "") and row("MIT WITH Foo")[8] == "mit"
+    assert row("Foo OR (Foo AND MIT)")[5:] == ("mit", 0.75, "?", "") and row("Foo")[5:] == ("", 0.0, "", "")
+    assert licences.scan_text("sublicense: MIT")[5] == "" and licences.scan_text("ālicense: MIT")[5] == "" and licences.scan_text("(license: MIT)")[5] == "mit"
+    assert licences.scan_text("The License:MIT\nLICENCE: ISC")[8] == "isc,mit"
+
+
+def test_licence_required_equals_all_truth_assignments():
+    rng = random.Random(8)
+    names = {"MIT": "mit", "ISC": "isc", "GPL-2.0": "gpl", "Foo": None, "Bar": None}
+
+    def make(depth):
+        if depth == 0 or rng.random() < 0.2:
+            return rng.choice(list(names))
+        a, b = make(depth - 1), make(depth - 1)
+        op = rng.choice(["or", "or", "and", "and", "with"])
+        return (op, a, rng.choice(list(names)) if op == "with" else b)
+
+    def text(e):
+        return e if isinstance(e, str) else f"({text(e[1])} {e[0].upper()} {text(e[2])})"
+
+    def holds(e, true):
+        if isinstance(e, str):
+            return e in true
+        left = holds(e[1], true)
+        return left if e[0] == "with" else left or holds(e[2], true) if e[0] == "or" else left and holds(e[2], true)
+
+    for _ in range(400):
+        e = make(4)
+        models = [m for k in range(32) if holds(e, m := {n for i, n in enumerate(names) if k >> i & 1})]
+        want = {names[n] for n in set.intersection(*models) if names[n]}
+        postfix = licences.to_postfix(text(e).lower())
+        assert licences.required_labels(postfix) == want, text(e)
+        least = [m for m in models if not any(x < m for x in models)]
+        got, bits = licences._minimal(postfix)
+        as_names = {frozenset(n for n in names if (label := names[n] or f"?{n.lower()}") in bits and c >> bits[label] & 1) for c in got}
+        assert as_names == set(map(frozenset, least)), text(e)
+
+
+def test_licence_lines_of_many_names_take_no_time():
+    rng = random.Random(1)
+    names = [s + ("1.0" if s[-1] == "-" else "") for s in licences.IDENTIFIERS]
+    clause = lambda: "(" + " OR ".join(rng.sample(names, 3)) + ")"
+    either = lambda: "(" + " AND ".join(rng.sample(names, 9)) + ")"
+    for make, op in ((clause, " AND "), (either, " OR ")):
+        line = "License: " + op.join(make() for _ in range(60_000 // 40))
+        start = time.perf_counter()
+        row = licences.scan_text(line)
+        assert time.perf_counter() - start < 1.0  # about 0.1 s; a loaded machine is slower
+        assert len(row[5].split(",")) == 18 and row[7] == "*"
+
+
 # --- mixing
 
 
