@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +52,47 @@ def idf(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
     return counts.join(F.broadcast(total)).select("token", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
+def best_by_overlap(docs: DataFrame, key: str, tokens: Column, items: DataFrame, item_key: str, item_tokens: Column, most: int = 2_000_000) -> DataFrame:
+    """For each row the item of which it holds the largest share of distinct tokens (ties: the smallest
+    item key), with shared_tokens and ratio; rows that share none have no row. While the items have at most
+    ``most`` tokens together they go to the tasks, which count inside each row: one pass, nothing is
+    shuffled. More items meet the rows in a join by token."""
+    held = items.select(F.col(item_key), F.array_distinct(item_tokens).alias("__own"))
+    own = docs.select(F.col(key), F.array_distinct(tokens).alias("__t"))
+    if (held.agg(F.sum(F.size("__own")).alias("n")).first()["n"] or 0) > most:
+        terms = held.select(item_key, F.size("__own").alias("__n"), F.explode("__own").alias("__token"))
+        shared = own.select(key, F.explode("__t").alias("__token")).join(terms, "__token").groupBy(key, item_key, "__n").agg(F.count("*").alias("shared_tokens"))
+        # the larger share first; of equal ones the smaller item
+        best = shared.withColumn("ratio", F.col("shared_tokens") / F.col("__n")).groupBy(key).agg(F.min(F.struct((-F.col("ratio")).alias("r"), F.col(item_key).alias("i"), "shared_tokens")).alias("b"))
+        return best.select(key, F.col("b.i").alias(item_key), F.col("b.shared_tokens").alias("shared_tokens"), (-F.col("b.r")).alias("ratio"))
+    found = held.orderBy(item_key).toArrow()
+    sizes = np.array([len(x) for x in found.column("__own").to_pylist()], np.int64)
+    flat = found.column("__own").combine_chunks().flatten().dictionary_encode()
+    item_of = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(flat.indices.to_numpy(), kind="stable")
+    item_of, words = item_of[order], flat.dictionary
+    starts = np.searchsorted(flat.indices.to_numpy()[order], np.arange(len(words) + 1))
+    keys, kind = found.column(item_key).combine_chunks(), docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            row = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            at = pc.fill_null(pc.index_in(lists.flatten(), value_set=words), -1).to_numpy()
+            row, at = row[at >= 0], at[at >= 0]
+            each = starts[at + 1] - starts[at]
+            place = np.repeat(starts[at] - np.cumsum(each) + each, each) + np.arange(each.sum())
+            pair, count = np.unique(np.repeat(row, each) * max(len(sizes), 1) + item_of[place], return_counts=True)
+            row, item = np.divmod(pair, max(len(sizes), 1))
+            ratio = count / sizes[item]
+            best = np.lexsort((item, -ratio, row))
+            best = best[np.concatenate([[True], row[best][1:] != row[best][:-1]])] if best.size else best
+            ids, items_ = batch.column(0).take(pa.array(row[best])), keys.take(pa.array(item[best]))
+            yield pa.RecordBatch.from_arrays([ids, items_, pa.array(count[best].astype(np.int64)), pa.array(ratio[best])], names=[key, item_key, "shared_tokens", "ratio"])
+
+    return own.mapInArrow(run, f"{key} {kind}, {item_key} {items.schema[item_key].dataType.simpleString()}, shared_tokens long, ratio double")
+
+
 def weighted_jaccard(queries: DataFrame, query_key: str, query_tokens: Column, items: DataFrame, item_key: str, item_tokens: Column, weights: DataFrame) -> DataFrame:
     """IDF-weighted Jaccard of every query and item that share a token: an inverted-index join, so
     only pairs with something in common are ever made. Tokens without a weight count 1."""

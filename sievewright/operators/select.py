@@ -27,23 +27,23 @@ def near_tie(df: DataFrame, keys: list[str], score: str, cost: str, gap: float,
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str, count: str | None = None) -> DataFrame:
     """Numbers the rows of each key 1, 2, .. in that order and, if asked, adds the rows of the key;
     one key may hold any share of all rows. Rows are range-sorted by key and order and stored with
-    the number of their range; a range numbers its part of a key, and a part starts where the former
-    parts of the key end. Nulls are a key of their own."""
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
-    marked = stored(ranged.withColumn("__p", F.spark_partition_id()), "ranges")
-    inside = marked.withColumn(name, F.row_number().over(Window.partitionBy("__p", *keys).orderBy(*order)))
-    # one row a range and key
-    parts = marked.groupBy("__p", *keys).agg(F.count("*").alias("__n"))
+    their range and place in it; what a key's part of a range starts with follows from one row a
+    range and key, so the rows themselves are shuffled and sorted once. Nulls are a key of their own."""
+    by = [F.col(k) for k in keys]
+    row = F.monotonically_increasing_id()
+    ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    marked = stored(ranged.select("*", F.shiftright(row, 33).alias("__p"), row.bitwiseAND((1 << 33) - 1).alias("__nth")), "ranges")
+    parts = marked.groupBy("__p", *keys).agg(F.count("*").alias("__n"), F.min("__nth").alias("__low"))
     w = Window.partitionBy(*keys)
     before = F.coalesce(F.sum("__n").over(w.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = parts.select(F.col("__p").alias("__q"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], before.alias("__s"), F.sum("__n").over(w).alias("__all"))
+    starts = parts.select(F.col("__p").alias("__q"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], (before - F.col("__low") + 1).alias("__s"), F.sum("__n").over(w).alias("__all"))
     same = F.col("__p") == F.col("__q")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    out = inside.join(starts, same).withColumn(name, (F.col("__s") + F.col(name)).cast("long"))
+    out = marked.join(starts, same).withColumn(name, (F.col("__s") + F.col("__nth")).cast("long"))
     if count:
         out = out.withColumn(count, F.col("__all"))
-    return out.drop("__p", "__q", "__s", "__all", *[f"__k{i}" for i in range(len(keys))])
+    return out.drop("__p", "__q", "__nth", "__s", "__all", *[f"__k{i}" for i in range(len(keys))])
 
 
 def quota(df: DataFrame, label: str, most: int, order: list[Column], name: str = "pool") -> DataFrame:

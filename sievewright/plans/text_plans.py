@@ -45,15 +45,9 @@ SELECT token, count(*) AS df, round(ln((1.0 + n) / (1 + count(*))) + 1, 9) AS id
 
 
 def best_item_by_overlap(spark: SparkSession, d: str) -> DataFrame:
-    """For each document the benchmark item of which it holds the largest share of tokens: an
-    inverted join with the distinct tokens of the items, counted before it is ranked."""
-    items = table(spark, d, "benchmark").select("item_id", F.array_distinct(tx.long_tokens("text")).alias("own"))
-    terms = items.select("item_id", F.size("own").alias("n"), F.explode("own").alias("token"))
-    docs = table(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(tx.long_tokens("text"))).alias("token"))
-    shared = docs.join(terms, "token").groupBy("doc_id", "item_id", "n").agg(F.count("*").alias("shared_tokens"))
-    scored = shared.withColumn("ratio", F.col("shared_tokens") / F.col("n"))
-    best = select.keep_first(scored, ["doc_id"], [F.desc("ratio"), F.asc("item_id")])
-    return best.select("doc_id", "item_id", "shared_tokens", F.round("ratio", 9).alias("ratio"))
+    """For each document the benchmark item of which it holds the largest share of tokens."""
+    best = joins.best_by_overlap(table(spark, d, "documents"), "doc_id", tx.long_tokens("text"), table(spark, d, "benchmark"), "item_id", tx.long_tokens("text"))
+    return best.withColumn("ratio", F.round("ratio", 9))
 
 
 BEST_ITEM = f"""WITH i AS (SELECT item_id, list_distinct({LONG('text')}) AS own FROM benchmark), it AS (SELECT item_id, len(own) AS n, unnest(own) AS token FROM i),
@@ -169,9 +163,12 @@ def judged(spark: SparkSession, d: str) -> DataFrame:
     """Documents judged by their overlap with the first words of themselves: grounding from the
     share of tokens of the first sentence that the rest holds, status from the ladder."""
     docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
-    first = tx.long_tokens(tx.first_sentence("text"))
-    rest = tx.long_tokens(F.array_join(F.slice(tx.sentences("text"), 2, 1_000_000_000), " "))
-    shown = docs.select("doc_id", "lang", "source", "quality", "toxic", F.round(tx.overlap_ratio(first, rest), 9).alias("ratio"))
+    # sentences, then tokens, are columns of their own: else they would be made anew at each place
+    cut = docs.select("doc_id", "lang", "source", "quality", "toxic", tx.sentences("text").alias("s"))
+    first = F.array_distinct(tx.long_tokens(F.coalesce(F.try_element_at("s", F.lit(1)), F.lit(""))))
+    held = cut.select("doc_id", "lang", "source", "quality", "toxic", first.alias("a"), tx.long_tokens(F.array_join(F.slice("s", 2, 1_000_000_000), " ")).alias("b"))
+    ratio = F.when(F.size("a") > 0, F.size(F.array_intersect("a", "b")) / F.size("a")).otherwise(0.0)
+    shown = held.select("doc_id", "lang", "source", "quality", "toxic", F.round(ratio, 9).alias("ratio"))
     tags = F.when(F.col("toxic") == 1, F.array(F.lit("원문 외 사실 추가"))).otherwise(F.array().cast("array<string>"))
     scores = {"grounding": gates.grounding("descriptive", F.col("ratio")), "answerability": F.when(F.col("quality") == 1, 5).otherwise(3), "taskfit": F.lit(4)}
     return shown.withColumn("status", gates.status("descriptive", tags, **scores)).withColumn("weighted", F.round(gates.weighted("descriptive", **scores), 6))
@@ -189,7 +186,8 @@ JUDGED = _JUDGED + " SELECT * FROM j"
 def judged_inventory(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: the best judged document of every source and label, counted by language and
     status with totals."""
-    best = select.keep_first(judged(spark, d), ["source", "lang", "quality"], [F.desc("weighted"), F.desc("ratio"), F.asc("doc_id")])
+    # the best row of a key is combined before the shuffle; no rows are sorted
+    best = judged(spark, d).groupBy("source", "lang", "quality").agg(F.max_by("status", F.struct("weighted", "ratio", -F.col("doc_id"))).alias("status"))
     return inventory(best, "lang", "status", "source")
 
 
