@@ -1,11 +1,12 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Features are hashed n-grams of 1 to ORDER code points of the lower-cased text, weighted
-(1 + ln tf) * idf and scaled to length one. Document frequencies count every learning document.
+(1 + ln tf) * idf and scaled to length one. Document frequencies count every document to learn from,
+those with a text and a language.
 The weights are fitted by follow-the-regularised-leader (proximal, per coordinate) with an elastic
 net on a bounded, hash-chosen sample: about ``per_class`` documents of each language, of which
-only the sparse counts reach the driver. A fifth of the sample is kept out and sets the temperature
-of the softmax.
+only the sparse counts reach the driver. Every fifth row of a language is kept out and sets the temperature
+of the softmax, which is 1 while no language has five rows.
 
 Defined results: null labels and null texts are not learned from; a text that is null or has no
 letter is ``und`` with score 0; with nothing to learn from every text is ``und``; repeated rows
@@ -14,6 +15,7 @@ give repeated rows; an empty table gives no rows; other columns are never read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -134,7 +136,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     if not sizes:
         return None
     classes = sorted(sizes)
-    seen, total = document_frequencies(docs.where(learn), text_col)
+    seen, total = document_frequencies(rows, "text")
     idf = np.log((1 + total) / (1 + seen)) + 1
     place = F.xxhash64("id", F.lit(4)).cast("double") / F.lit(2.0**64) + 0.5
     share = F.coalesce(*[F.when(F.col("lang") == c, F.lit(per_class / n)) for c, n in sorted(sizes.items())])
@@ -151,8 +153,12 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         at = np.frombuffer(r["at"], "<u2").astype(np.int64)
         x = model.vector(at, np.frombuffer(r["n"], "<u4"))
         data.append((np.append(at, SPACE), np.append(x, 1.0), classes.index(r["lang"])))
-    kept_out = [row for i, row in enumerate(data) if i % 5 == 0 and len(data) >= 50]
-    model.weights = fit_ftrl([row for i, row in enumerate(data) if i % 5 or len(data) < 50], len(classes))
+    seen_of: Counter[int] = Counter()
+    kept_out, used = [], []
+    for row in data:
+        seen_of[row[2]] += 1
+        (used if seen_of[row[2]] % 5 else kept_out).append(row)  # every fifth row of a language
+    model.weights = fit_ftrl(used, len(classes))
     model.temperature = calibrate(np.array([x @ model.weights[at] for at, x, _ in kept_out]), np.array([y for *_, y in kept_out], int))
     return model
 

@@ -9,7 +9,8 @@ The forest is flattened into node arrays, so that scoring a batch is one gather
 One statistic, ``flagged_share``, counts the words of a lexicon that is learned from the same sample:
 words that stand in at least ``LEXICON_LEAST`` toxic documents and ``LEXICON_ODDS`` times as often
 there as elsewhere, the ``LEXICON_WORDS`` most frequent ones. So toxic documents, whose form is that of
-good ones, can be told; a document labelled toxic counts as rejected.
+good ones, can be told; a document labelled toxic counts as rejected. The trees learn from the
+shares that a lexicon of other documents gives.
 
 The score is a probability of good quality. A document is rejected where the base rule fails or
 where its score is below the cut; the cut is the largest one, 0.5 at most, that keeps
@@ -32,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, utf8
+from .common import map_texts, stored, tidy, utf8
 
 BASE_STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RATIOS = (
@@ -194,39 +195,57 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: flo
     return forest
 
 
-def toxic_words(rows: DataFrame) -> frozenset[bytes]:
-    """The lexicon of sampled (text, toxic) rows, counted by documents in Spark."""
-    plain = F.regexp_replace(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x00-\x60\x7B-\x7F]+", " ")
-    words = rows.select("toxic", F.explode(F.array_distinct(F.split(plain, " "))).alias("word")).where("word <> ''")
-    sizes = rows.agg(F.count_if("toxic").alias("bad"), F.count_if(~F.col("toxic")).alias("good")).first()
-    if not sizes["bad"]:
+def toxic_words(counts: DataFrame, bad: int, good: int) -> frozenset[bytes]:
+    """The lexicon from rows (word, bad, good): in how many toxic and other documents a word stands."""
+    if not bad:
         return frozenset()
-    counts = words.groupBy("word").agg(F.count_if("toxic").alias("bad"), F.count_if(~F.col("toxic")).alias("good"))
-    odds = (F.col("bad") + 0.5) / (sizes["bad"] + 1) / ((F.col("good") + 0.5) / (sizes["good"] + 1))
+    odds = (F.col("bad") + 0.5) / (bad + 1) / ((F.col("good") + 0.5) / (good + 1))
     found = counts.where((F.col("bad") >= LEXICON_LEAST) & (odds >= LEXICON_ODDS)).orderBy(F.desc("bad"), "word").limit(LEXICON_WORDS)
     return frozenset(r["word"].encode() for r in found.collect())
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, toxic_col: str = "toxic") -> Forest | None:
-    """Fit on the ``sample_rows`` labelled documents with the smallest id hashes. ``labels`` may lack
-    the column of toxic labels."""
+    """Fit on the ``sample_rows`` labelled documents with the smallest id hashes. The trees see each document
+    through the lexicon of the half that it is not in, so that they meet its words as new documents have them;
+    what is judged later meets the lexicon of both halves. ``labels`` may lack the column of toxic labels."""
     key = F.xxhash64("id")
-    toxic = F.coalesce(F.col(toxic_col).cast("double") > 0, F.lit(False)) if toxic_col in labels.columns else F.lit(False)
+    with_toxic = toxic_col in labels.columns
+    toxic = F.coalesce(F.col(toxic_col).cast("double") > 0, F.lit(False)) if with_toxic else F.lit(False)
     clean = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"), toxic.alias("toxic")).dropna()
     chosen = clean.groupBy("id").agg(F.min(F.when(F.col("toxic"), 0.0).otherwise(F.col("y"))).alias("y"), F.max("toxic").alias("toxic")).orderBy(key, "id").limit(sample_rows)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    lexicon = toxic_words(rows) if toxic_col in labels.columns else frozenset()
+    half = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)).cast("int")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # One pass over the documents; what follows reads the bounded sample.
+    rows = stored(texts.join(F.broadcast(chosen.withColumn("half", half)), "id"), "quality-sample")
+
+    def distinct(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            count: dict[tuple[int, bytes], list[int]] = {}
+            for text, bad, part in zip(frame["text"], frame["toxic"], frame["half"], strict=True):
+                for word in set(utf8(text).translate(_PLAIN).split()):
+                    count.setdefault((part, word), [0, 0])[not bad] += 1
+            yield pd.DataFrame({"half": [k[0] for k in count], "word": [k[1].decode("utf-8", "surrogatepass") for k in count], "bad": [c[0] for c in count.values()], "good": [c[1] for c in count.values()]})
+
+    lexicons = [frozenset(), frozenset(), frozenset()]  # of either half and of all rows
+    if with_toxic:
+        sizes = {r["half"]: (r["bad"], r["good"]) for r in rows.groupBy("half").agg(F.count_if("toxic").alias("bad"), F.count_if(~F.col("toxic")).alias("good")).collect()}
+        each = rows.select("text", "toxic", "half").mapInPandas(tidy(distinct), "half int, word string, bad long, good long")
+        counts = stored(each.groupBy("half", "word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "quality-words")
+        whole = counts.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        lexicons = [toxic_words(counts.where(F.col("half") == h), *sizes.get(h, (0, 0))) for h in (0, 1)]
+        lexicons.append(toxic_words(whole, *map(sum, zip((0, 0), *sizes.values()))))
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"x": [statistics(t, lexicon) for t in frame["text"]], "y": frame["y"].to_numpy(), "id": frame["id"].astype(str).to_numpy()})
+            x = [statistics(t, lexicons[1 - h]) for t, h in zip(frame["text"], frame["half"], strict=True)]
+            yield pd.DataFrame({"x": x, "y": frame["y"].to_numpy(), "id": frame["id"].astype(str).to_numpy()})
 
-    found = rows.mapInPandas(work, "x array<double>, y double, id string").toPandas().sort_values("id", kind="stable")
+    found = rows.select("id", "text", "y", "half").mapInPandas(tidy(work), "x array<double>, y double, id string").toPandas().sort_values("id", kind="stable")
     y = found["y"].to_numpy()
     if not len(y) or y.min() == y.max():
         return None
     forest = fit(np.stack(found["x"].to_numpy()), y)
-    forest.lexicon = lexicon
+    forest.lexicon = lexicons[-1]
     return forest
 
 
