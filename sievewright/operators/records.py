@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import korean
 from ..functions.scalars import blank, first_filled
+from .select import numbered
 
 # The id field of a family by document type, splits, the words for no.
 FAMILY_FIELDS = {"법령_QA": ("lawId", "smClass"), "해석례_QA": ("interpreId",), "결정례_QA": ("determintId",), "판결문_QA": ("precedId",)}
@@ -17,9 +18,9 @@ NO = "아니오"
 def row_id(rows: DataFrame, task: str, split: str, order: str, name: str = "row_id") -> DataFrame:
     """The first filled of problem, candidate and seed id, else a number within the split."""
     known = [F.col(c) for c in ("problem_id", "candidate_id", "seed_sample_id") if c in rows.columns]
-    number = F.lpad(F.row_number().over(Window.partitionBy(task, split).orderBy(order)).cast("string"), 6, "0")
-    made = F.concat_ws("_", F.col(task), F.col(split), number)
-    return rows.withColumn(name, F.when(first_filled(*known) != "", first_filled(*known)).otherwise(made) if known else made)
+    made = F.concat_ws("_", F.col(task), F.col(split), F.lpad(F.col("__number").cast("string"), 6, "0"))
+    placed = numbered(rows, [task, split], [F.col(order)], "__number")
+    return placed.withColumn(name, F.when(first_filled(*known) != "", first_filled(*known)).otherwise(made) if known else made).drop("__number")
 
 
 def family_id(doc_type: Column, info: Column, hint: Column | None = None) -> Column:
@@ -110,27 +111,25 @@ def group_lines(spans: DataFrame, page: str = "page", y: str = "y0", x: str = "x
 
 def probe(rows: DataFrame, source: str, order: str, starts: int, taken: DataFrame, keys: list[str]) -> DataFrame:
     """From ``starts`` even places of each source the next row, going round, that shares no key with
-    rows already taken; a row is chosen once. Candidates of a place are ranked by their distance
-    along the circle, so places are settled by windows instead of a walk: each round gives every
-    open place its nearest free row and every row its first place."""
-    free = rows
+    rows already taken; a row is chosen once. A place can only be settled by the first ``starts`` free rows
+    from it on, which are known by their number among the source's free rows: so one count a source and
+    place is made, and all other rows are left out before places are settled in turn."""
+    free = numbered(rows, [source], [F.col(order)], "__at", "__n").withColumn("i", F.col("__at") - 1)
     for key in keys:
         free = free.join(taken.select(key).dropna().distinct(), key, "left_anti")
-    w = Window.partitionBy(source)
-    numbered = rows.withColumn("i", F.row_number().over(w.orderBy(order)) - 1).withColumn("n", F.count("*").over(w)).select(source, order, "i", "n")
-    able = free.join(numbered, [source, order])
-    # the k-th free row from each start, counted round the circle, is within the first ``starts`` ones
-    place = able.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(starts - 1)))).withColumn("start", F.floor(F.col("slot") * F.col("n") / starts))
-    distance = F.pmod(F.col("i") - F.col("start"), F.col("n"))
-    near = place.withColumn("d", distance).withColumn("r", F.row_number().over(Window.partitionBy(source, "slot").orderBy("d"))).where(F.col("r") <= starts)
+    able = numbered(free.drop("__at"), [source], [F.col("i")], "__f", "__m")
+    start = lambda k: F.floor(F.lit(k) * F.col("__n") / starts)
+    firsts = able.groupBy(F.col(source).alias("__source")).agg(F.array(*[F.count_if(F.col("i") < start(k)) for k in range(starts)]).alias("__first"))
+    d = lambda first: F.pmod(F.col("__f") - 1 - first, F.col("__m"))
+    near = able.join(firsts, F.col(source) == F.col("__source")).select(source, "i", F.posexplode(F.transform("__first", d)).alias("slot", "d")).where(F.col("d") < starts)
     options = near.groupBy(source, "slot").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "i"))), lambda x: x["i"]).alias("options"))
     lists = options.groupBy(source).agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", "options"))), lambda x: x["options"]).alias("slots"))
 
     def choose(got: Column, some: Column) -> Column:
         return F.concat(got, F.slice(F.array_except(some, got), 1, 1))
 
-    picked = lists.select(source, F.posexplode(F.aggregate("slots", F.array().cast("array<int>"), choose)).alias("slot", "i"))
-    return able.join(picked.select(source, "i", F.col("slot").cast("long").alias("slot")), [source, "i"]).drop("i", "n")
+    picked = lists.select(source, F.posexplode(F.aggregate("slots", F.array().cast("array<bigint>"), choose)).alias("slot", "i"))
+    return able.join(picked.select(source, "i", F.col("slot").cast("long").alias("slot")), [source, "i"]).drop("i", "__n", "__f", "__m")
 
 
 def preflight(rows: DataFrame, total: int, expected: dict[tuple[str, ...], int], keys: list[str], flags: list[str]) -> DataFrame:

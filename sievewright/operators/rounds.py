@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .gates import NO, YES
+from .select import numbered
 from .split import eval_counts
 
 
@@ -138,11 +139,10 @@ def book_status(pages: DataFrame, book: str, status: str, items: str) -> DataFra
 
 def eval_targeted_split(rows: DataFrame, locked: Column, targets: dict[str, int], doc_type: str, order: list[Column], dev: int) -> DataFrame:
     """Rows that are not locked fill an evaluation target per document type in that order; over all
-    types the first ``dev`` chosen rows are dev, the others test; everything else trains. Only chosen
-    rows, as many as the targets ask for, are ranked together."""
-    place = F.row_number().over(Window.partitionBy(doc_type, F.col("__free")).orderBy(*order))
+    types the first ``dev`` chosen rows are dev, the others test; everything else trains."""
     most = F.create_map(*[x for k, n in targets.items() for x in (F.lit(k), F.lit(n))])
-    ranked = rows.withColumn("__free", ~locked).withColumn("__r", place)
+    marked = rows.withColumn("__free", F.coalesce(~locked, F.lit(False)))
+    ranked = numbered(marked.where("__free"), [doc_type], order, "__r").unionByName(marked.where("NOT __free"), allowMissingColumns=True)
     chosen = F.coalesce(F.col("__free") & (F.col("__r") <= F.try_element_at(most, F.col(doc_type))), F.lit(False))
     before = F.create_map(*[x for i, k in enumerate(targets) for x in (F.lit(k), F.lit(sum(list(targets.values())[:i])))])
     at = F.try_element_at(before, F.col(doc_type)) + F.col("__r")

@@ -117,7 +117,7 @@ def candidates(spark: SparkSession, d: str) -> DataFrame:
     log = turns.where(F.col("sample_id").endswith("0")).select(F.concat(F.col("sample_id"), F.lit("::a::rule_first")).alias("candidate_id"))
     each = generate.expand_candidates(turns, ["a", "b"], ["rule_first", "issue_first"], log)
     at = lambda i: F.coalesce(F.try_element_at("s", F.lit(i)), F.lit(""))
-    text = generate.fallback_text(F.col("style"), {"issue": at(1), "rule": at(2), "fact": at(3), "conclusion": at(4)})
+    text = generate.fallback_text(F.col("style"), {"issue": at(1), "rule": at(2), "fact": at(3), "conclusion": F.array_join(F.slice("s", 4, 1_000_000), " ")})
     rows = each.select("candidate_id", text.alias("draft"), F.lit("").alias("prompt"))
     return generate.call_provider(rows, "prompt", "draft", None).select("candidate_id", "reply", "mode")
 
@@ -125,7 +125,7 @@ def candidates(spark: SparkSession, d: str) -> DataFrame:
 CANDIDATES = f"""WITH t AS (SELECT conv_id || '-' || turn AS sample_id, {SENTENCES('text')} AS s FROM conversations),
 e AS (SELECT sample_id, s, v.v AS variant, y.y AS style FROM t, (VALUES ('a'), ('b')) v(v), (VALUES ('rule_first'), ('issue_first')) y(y)),
 c AS (SELECT sample_id || '::' || variant || '::' || style AS candidate_id, sample_id, style, s FROM e)
-SELECT candidate_id, array_to_string(list_filter(CASE WHEN style = 'rule_first' THEN [s[2], s[1], s[3], s[4]] ELSE [s[1], s[2], s[3], s[4]] END, lambda x: x IS NOT NULL AND x <> ''), ' ') AS reply, 'fallback' AS mode
+SELECT candidate_id, array_to_string(list_filter(CASE WHEN style = 'rule_first' THEN [s[2], s[1], s[3], array_to_string(s[4:], ' ')] ELSE [s[1], s[2], s[3], array_to_string(s[4:], ' ')] END, lambda x: x IS NOT NULL AND x <> ''), ' ') AS reply, 'fallback' AS mode
 FROM c WHERE NOT (sample_id LIKE '%0' AND candidate_id LIKE '%::a::rule_first')"""
 
 

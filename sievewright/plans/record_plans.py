@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import korean
@@ -193,7 +193,7 @@ SELECT row_key, objective, nearmiss, CASE WHEN objective = 'hard_fail' THEN 'har
 def text_shapes(spark: SparkSession, d: str) -> DataFrame:
     """Cleaners, tag lists, templates and repaired character arrays over documents."""
     t = F.col("text")
-    chars = F.when(F.col("doc_id") % 2 == 0, F.split(F.substring(F.coalesce(t, F.lit("")), 1, 40), "")).otherwise(F.array(F.lit("whole"), F.lit("text")))
+    chars = F.when(F.col("doc_id") % 2 == 0, F.split(F.coalesce(t, F.lit("")), "")).otherwise(F.array(F.lit("whole"), F.lit("text")))
     return table(spark, d, "documents").select(
         "doc_id",
         tx.blank_safe(t).alias("stripped"),
@@ -212,17 +212,28 @@ TEXT_SHAPES = f"""SELECT doc_id, coalesce(regexp_replace(regexp_replace(text, '^
   concat_ws('|', coalesce(lang, '?'), CASE WHEN coalesce(lang, '') <> 'en' THEN 'en' END, 'x') AS united, doc_id || ': ' || coalesce(lang, '') AS shown,
   CAST(CASE WHEN doc_id % 2 = 1 THEN 2 WHEN length(coalesce(text, '')) >= 20 THEN 1 ELSE greatest(length(coalesce(text, '')), 1) END AS BIGINT) AS pieces FROM documents"""
 
-_SECTIONED = pick("p_partkey", ["질의요지: 무엇인가 회답 : 그렇다. 이유: 법률", "회답:", "그냥 본문", "이유: 가나다 이유: 둘째"])
 
 
 def section_texts(spark: SparkSession, d: str) -> DataFrame:
-    body = F.expr(_SECTIONED)
-    whole = F.array_join(F.transform(korean.structured_sections(body), lambda s: F.concat(s["header"], F.lit("="), s["content"])), ";")
-    return table(spark, d, "part").select("p_partkey", whole.alias("sections"), korean.section_text(body, "이유").alias("reason"))
+    """Turns of conversations under headings: three, one without text after it, none, the same twice."""
+    turn = tx.normalize("text")
+    lag = tx.normalize(F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", turn.alias("t"), lag.alias("u"))
+    shape = F.col("turn") % 4
+    body = (
+        F.when(shape == 0, F.concat(F.lit("질의요지: "), "t", F.lit("  회답 :\n"), "u", F.lit(" 이유: 법률")))
+        .when(shape == 1, F.concat(F.lit("회답:"), "t", F.lit(" 이유 :")))
+        .when(shape == 2, F.col("t"))
+        .otherwise(F.concat("u", F.lit(" 이유: "), "t", F.lit(" 이유: 둘째")))
+    )
+    cut = rows.select("conv_id", "turn", F.col("t"), korean.structured_sections(body).alias("s"), korean.section_text(body, "이유").alias("reason"))
+    return cut.select("conv_id", "turn", F.array_join(F.transform("s", lambda x: F.concat(x["header"], F.lit("="), x["content"])), ";").alias("sections"), "reason")
 
 
-SECTIONS = """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '질의요지=무엇인가;회답=그렇다.;이유=법률' WHEN 1 THEN '본문=회답:' WHEN 2 THEN '본문=그냥 본문' ELSE '이유=가나다;이유=둘째' END AS sections,
-  CASE p_partkey % 4 WHEN 0 THEN '법률' WHEN 3 THEN '가나다' ELSE '' END AS reason FROM part"""
+_HEADED = lambda head, of: f"CASE WHEN {of} <> '' THEN '{head}=' || {of} END"
+SECTIONS = f"""WITH n AS (SELECT conv_id, turn, {NORM('text')} AS t, {NORM("lag(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text)")} AS u FROM conversations)
+SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN concat_ws(';', {_HEADED('질의요지', 't')}, {_HEADED('회답', 'u')}, '이유=법률') WHEN 1 THEN coalesce({_HEADED('회답', 't')}, '본문=회답: 이유 :') WHEN 2 THEN '본문=' || t ELSE concat_ws(';', {_HEADED('이유', 't')}, '이유=둘째') END AS sections,
+  CASE turn % 4 WHEN 0 THEN '법률' WHEN 3 THEN CASE WHEN t = '' THEN '둘째' ELSE t END ELSE '' END AS reason FROM n"""
 
 
 def score_fields(spark: SparkSession, d: str) -> DataFrame:
@@ -245,11 +256,11 @@ SELECT row_key, CAST(CASE WHEN by_model THEN CASE near WHEN '' THEN 5 WHEN 'one'
 
 def layout_lines(spark: SparkSession, d: str) -> DataFrame:
     """Orders of a customer as spans of a page, grouped to lines by height."""
-    spans = table(spark, d, "orders").where("o_orderkey % 4 = 0").select(F.col("o_custkey").alias("page"), F.floor(F.col("o_orderkey") / 400).cast("double").alias("y0"), (F.col("o_orderkey") % 400).cast("double").alias("x0"), F.col("o_orderkey").cast("string").alias("text"))
+    spans = table(spark, d, "orders").select(F.col("o_custkey").alias("page"), F.floor(F.col("o_orderkey") / 400).cast("double").alias("y0"), (F.col("o_orderkey") % 400).cast("double").alias("x0"), F.col("o_orderkey").cast("string").alias("text"))
     return records.group_lines(spans, tolerance=0.5)
 
 
-LAYOUT = """WITH s AS (SELECT o_custkey AS page, CAST(floor(o_orderkey / 400) AS DOUBLE) AS y0, o_orderkey % 400 AS x, CAST(o_orderkey AS VARCHAR) AS t FROM orders WHERE o_orderkey % 4 = 0), l AS (SELECT page, y0, string_agg(t, ' ' ORDER BY x, t) AS line_text FROM s GROUP BY 1, 2)
+LAYOUT = """WITH s AS (SELECT o_custkey AS page, CAST(floor(o_orderkey / 400) AS DOUBLE) AS y0, o_orderkey % 400 AS x, CAST(o_orderkey AS VARCHAR) AS t FROM orders), l AS (SELECT page, y0, string_agg(t, ' ' ORDER BY x, t) AS line_text FROM s GROUP BY 1, 2)
 SELECT page, row_number() OVER (PARTITION BY page ORDER BY y0) - 1 AS line, y0, line_text FROM l"""
 
 
