@@ -270,7 +270,25 @@ SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)
 def page_text(spark: SparkSession, d: str) -> DataFrame:
     from ..sources.pages import page_text as parsed
 
-    return parsed(table(spark, d, "pages"))
+    return parsed(table(spark, d, "pages")).withColumn("links", F.array_join("links", "\n"))
+
+
+#: Scripts, styles and comments go, elements that end a line become one, other tags vanish.
+_SHOWN = r"regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?s)<!--.*?-->', '', 'g')"
+_LINED = rf"regexp_replace(regexp_replace(regexp_replace({_SHOWN}, '(?s)<title>.*?</title>', chr(10), 'g'), '</?(p|div|li|br|tr|h[1-6]|article|section|table|ul|ol|nav)(\s[^>]*)?/?>', chr(10), 'g'), '<[^>]+>', '', 'g')"
+
+
+def _unescaped(c: str) -> str:
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        c = f"replace({c}, '{name}', '{char}')"
+    return c
+
+
+def _lines(c: str) -> str:
+    return f"array_to_string(list_filter(list_transform(string_split({c}, chr(10)), lambda x: trim(regexp_replace({_unescaped('x')}, '[\\s]+', ' ', 'g'))), lambda x: x <> ''), chr(10))"
+
+
+PAGE_TEXT = f"""SELECT page_id, {_lines("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title, {_lines(_LINED)} AS text, array_to_string(regexp_extract_all({_SHOWN}, '<a href="([^"]*)"', 1), chr(10)) AS links, '' AS table_text FROM pages"""
 
 
 def page_status(spark: SparkSession, d: str) -> DataFrame:
@@ -333,6 +351,7 @@ ORACLE_SQL = {
     "stable_ids": "SELECT c_custkey, CAST(('0x' || sha256(c_name)[1:2]) AS BIGINT) % 4 AS choice, sha1(c_name)[1:16] AS short_id, coalesce(try_cast(regexp_replace(c_name, '[^0-9]', '', 'g') AS BIGINT), 0) AS number FROM customer",
     "choice_swap": SWAP,
     "page_urls": URLS,
+    "page_text": PAGE_TEXT,
     "page_status": PAGE_STATUS,
     "event_windows": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS event_count, round(sum(value), 6) AS value_sum FROM events GROUP BY 1, 2",
     "event_sessions": SESSIONS,

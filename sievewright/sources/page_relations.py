@@ -182,7 +182,25 @@ def page_rows(html: str | None, spec: PageSpec) -> Iterator[dict]:
         holders = [v for h, v in pairs if spec.links and spec.links in h] or (list(block.select(spec.links)) if spec.links and not pairs else [])
         for i, (anchor, suffix, url) in enumerate((x for h in holders for x in linked(h)), 1):
             yield {"relation": "link", "block": number, "n": i, "anchor": anchor, "suffix": suffix, "url": url}
-    yield {"relation": "page", "title": shown(root.find("title")), "blocks": len(blocks), "kept": kept}
+    inline = "true" if inline_pair(root) else "false"
+    yield {"relation": "page", "title": shown(root.find("title")), "blocks": len(blocks), "kept": kept, "fields": [("inline", inline)]}
+
+
+def inline_pair(root: _Node) -> bool:
+    """Whether bold labels ``Q.`` and ``A.`` stand in the page's text."""
+    labels = [shown(x) for x in root.walk() if x.tag == "strong"]
+    return all(any(re.fullmatch(rf"{letter}\s*[.．:：]?", x, re.IGNORECASE) for x in labels) for letter in "QA")
+
+
+# Where a statute page has its heading and, in this order, its text.
+STATUTE_HEADER, STATUTE_BODIES = "#leftContent", ("#bodyContent", "#bodyContentTOP", ".viewwrap", "#container")
+
+
+def body_rows(html: str | None, header: str = STATUTE_HEADER, bodies: tuple[str, ...] = STATUTE_BODIES) -> Iterator[dict]:
+    """A page's title, heading and text: of the first of ``bodies`` that it has, else of the whole page."""
+    root = parsed(html)
+    found = next((x for selector in bodies if (x := root.find(selector))), root)
+    yield {"relation": "body", "title": shown(root.find("title")), "text": shown(found, "\n"), "fields": [("header", shown(root.find(header)))]}
 
 
 def leaf_rows(html: str | None, item: str = "li") -> Iterator[dict]:
@@ -226,6 +244,11 @@ def page_relations(pages: DataFrame, spec: PageSpec, id_col: str = "page_id", ht
     return _mapped(pages, lambda html: page_rows(html, spec), id_col, html_col)
 
 
+def page_bodies(pages: DataFrame, header: str = STATUTE_HEADER, bodies: tuple[str, ...] = STATUTE_BODIES, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Title, header and text of every page."""
+    return relation_of(_mapped(pages, lambda html: body_rows(html, header, bodies), id_col, html_col), "body", id_col, ("header",))
+
+
 def category_leaves(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Every link of the nested lists of all pages with its path and depth."""
     return _mapped(pages, leaf_rows, id_col, html_col)
@@ -238,6 +261,7 @@ def relation_of(rows: DataFrame, relation: str, id_col: str = "page_id", fields:
         "table": ["block", "n", "caption", "cells"],
         "link": ["block", "n", "anchor", "suffix", "url"],
         "page": ["title", "blocks", "kept"],
+        "body": ["title", "text"],
         "leaf": ["block", "n", "anchor", "url"],
     }[relation]
     own = [F.coalesce(F.try_element_at("fields", F.lit(f)), F.lit("")).alias(f) for f in fields]
