@@ -106,7 +106,7 @@ def raw_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 RAW_FILES = f"""WITH c AS (SELECT *, {pick('c_custkey', _KIND)} AS kind, c_mktsegment = 'BUILDING' AS two, 'HS_' || c_nationkey || '_' || c_custkey AS hs FROM customer),
-o AS (SELECT *, o_orderkey % 3 = 0 AND coalesce(two, false) AS by_stem, o_orderkey % 10 <> 9 AND hs IS NOT NULL AS by_token FROM orders LEFT JOIN c ON c_custkey = o_custkey)
+o AS (SELECT *, o_orderkey % 3 = 0 AND coalesce(two, false) AS by_stem, (o_orderkey % 10 <> 9 OR o_custkey = 0) AND hs IS NOT NULL AS by_token FROM orders LEFT JOIN c ON c_custkey = o_custkey)
 SELECT o_orderkey, CASE WHEN by_stem THEN 'raw/' || kind || '/old/HJ_' || o_custkey || '.json' WHEN by_token THEN least('raw/' || kind || '/' || hs || '.csv', CASE WHEN two THEN 'raw/' || kind || '/old/HJ_' || o_custkey || '.json' ELSE '~' END) END AS raw_path,
   CASE WHEN by_stem THEN 'stem' WHEN by_token THEN 'token' ELSE 'none' END AS matched_by, CAST(CASE WHEN by_stem THEN 1 WHEN NOT by_token THEN 0 WHEN two THEN 2 ELSE 1 END AS BIGINT) AS matches FROM o"""
 
