@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -65,32 +66,88 @@ def best_by_overlap(docs: DataFrame, key: str, tokens: Column, items: DataFrame,
         # the larger share first; of equal ones the smaller item
         best = shared.withColumn("ratio", F.col("shared_tokens") / F.col("__n")).groupBy(key).agg(F.min(F.struct((-F.col("ratio")).alias("r"), F.col(item_key).alias("i"), "shared_tokens")).alias("b"))
         return best.select(key, F.col("b.i").alias(item_key), F.col("b.shared_tokens").alias("shared_tokens"), (-F.col("b.r")).alias("ratio"))
+    index = _index(held, item_key)
+
+    def best(row: np.ndarray, item: np.ndarray, place: np.ndarray, rows: int, every: tuple) -> tuple:
+        pair, count = np.unique(row * index.size + item, return_counts=True)
+        row, item = np.divmod(pair, index.size)
+        ratio = count / index.sizes[item]
+        return row, item, count, ratio, ratio
+
+    return _best_item(own, key, items, item_key, index, best, "ratio")
+
+
+@dataclass
+class _Index:
+    """Items in the order of their keys; ``words`` with the items of each, ``item_of[starts[i]:starts[i + 1]]``."""
+
+    keys: pa.Array
+    sizes: np.ndarray
+    words: pa.Array
+    starts: np.ndarray
+    item_of: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return max(len(self.sizes), 1)
+
+
+def _index(held: DataFrame, item_key: str) -> _Index:
     found = held.orderBy(item_key).toArrow()
-    sizes = np.array([len(x) for x in found.column("__own").to_pylist()], np.int64)
-    flat = found.column("__own").combine_chunks().flatten().dictionary_encode()
-    item_of = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.argsort(flat.indices.to_numpy(), kind="stable")
-    item_of, words = item_of[order], flat.dictionary
-    starts = np.searchsorted(flat.indices.to_numpy()[order], np.arange(len(words) + 1))
-    keys, kind = found.column(item_key).combine_chunks(), docs.schema[key].dataType.simpleString()
+    own = found.column("__own").combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(own), 0).to_numpy().astype(np.int64)
+    flat = own.flatten().dictionary_encode()
+    code = flat.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    return _Index(found.column(item_key).combine_chunks(), sizes, flat.dictionary, np.searchsorted(code[order], np.arange(len(flat.dictionary) + 1)), np.repeat(np.arange(len(sizes)), sizes)[order])
+
+
+def _best_item(own: DataFrame, key: str, items: DataFrame, item_key: str, index: _Index, best: Callable, name: str) -> DataFrame:
+    """The best item of each row by what ``best`` says of the pairs that share tokens: from row, item and
+    word of every shared token (and row and word, -1 without one, of every token) to row, item, tokens in common,
+    score and what is compared; ties go to the smaller item."""
+    kinds = own.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
             row = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
-            at = pc.fill_null(pc.index_in(lists.flatten(), value_set=words), -1).to_numpy()
-            row, at = row[at >= 0], at[at >= 0]
-            each = starts[at + 1] - starts[at]
-            place = np.repeat(starts[at] - np.cumsum(each) + each, each) + np.arange(each.sum())
-            pair, count = np.unique(np.repeat(row, each) * max(len(sizes), 1) + item_of[place], return_counts=True)
-            row, item = np.divmod(pair, max(len(sizes), 1))
-            ratio = count / sizes[item]
-            best = np.lexsort((item, -ratio, row))
-            best = best[np.concatenate([[True], row[best][1:] != row[best][:-1]])] if best.size else best
-            ids, items_ = batch.column(0).take(pa.array(row[best])), keys.take(pa.array(item[best]))
-            yield pa.RecordBatch.from_arrays([ids, items_, pa.array(count[best].astype(np.int64)), pa.array(ratio[best])], names=[key, item_key, "shared_tokens", "ratio"])
-
-    return own.mapInArrow(run, f"{key} {kind}, {item_key} {items.schema[item_key].dataType.simpleString()}, shared_tokens long, ratio double")
+            at = pc.fill_null(pc.index_in(lists.flatten(), value_set=index.words), -1).to_numpy()
+            met, word = row[at >= 0], at[at >= 0]
+            each = index.starts[word + 1] - index.starts[word]
+            place = np.repeat(index.starts[word] - np.cumsum(each) + each, each) + np.arange(each.sum())
+            r, item, count, score, rank = best(np.repeat(met, each), index.item_of[place], np.repeat(word, each), batch.num_rows, (row, at))
+            order = np.lexsort((item, -rank, r))
+            order = order[np.concatenate([[True], r[order][1:] != r[order][:-1]])] if order.size else order
+            columns = [batch.column(0).take(pa.array(r[order])), index.keys.take(pa.array(item[order])), pa.array(count[order].astype(np.int64)), pa.array(score[order])]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, item_key, "shared_tokens", name])
+
+    return own.mapInArrow(run, f"{key} {kinds[0]}, {item_key} {kinds[1]}, shared_tokens long, {name} double")
+
+
+def best_by_jaccard(docs: DataFrame, key: str, tokens: Column, items: DataFrame, item_key: str, item_tokens: Column, weights: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """For each row the item of the largest weighted Jaccard of their distinct tokens (to 9 places, ties: the
+    smallest item key), with shared_tokens and score. ``weights`` (token, idf) are those of the items' tokens; others weigh 1.
+    The items go to the tasks, as in ``best_by_overlap``; more than ``most`` tokens of items raise
+    ValueError: then ``weighted_jaccard`` joins."""
+    held = items.select(F.col(item_key), F.array_distinct(item_tokens).alias("__own"))
+    if (held.agg(F.sum(F.size("__own")).alias("n")).first()["n"] or 0) > most:
+        raise ValueError(f"items of more than {most} tokens")
+    index = _index(held, item_key)
+    known = weights.join(held.select(F.explode("__own").alias("token")).distinct(), "token", "left_semi").select("token", "idf").toArrow()
+    at = pc.fill_null(pc.index_in(index.words, value_set=known.column("token").combine_chunks()), -1).to_numpy()
+    weight = np.where(at >= 0, np.append(known.column("idf").to_numpy(), 1.0)[at], 1.0)
+    item_sum = np.bincount(index.item_of, np.repeat(weight, np.diff(index.starts)), index.size)
+
+    def best(row: np.ndarray, item: np.ndarray, word: np.ndarray, rows: int, every: tuple) -> tuple:
+        whole = np.bincount(every[0], np.where(every[1] >= 0, np.append(weight, 1.0)[every[1]], 1.0), rows)
+        pair, inverse, count = np.unique(row * index.size + item, return_inverse=True, return_counts=True)
+        shared = np.bincount(inverse, weight[word], len(pair))
+        row, item = np.divmod(pair, index.size)
+        score = shared / (whole[row] + item_sum[item] - shared)
+        return row, item, count, score, np.round(score, 9)
+
+    return _best_item(docs.select(F.col(key), F.array_distinct(tokens).alias("__t")), key, items, item_key, index, best, "score")
 
 
 def weighted_jaccard(queries: DataFrame, query_key: str, query_tokens: Column, items: DataFrame, item_key: str, item_tokens: Column, weights: DataFrame) -> DataFrame:

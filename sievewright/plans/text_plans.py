@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import gates, joins, select
+from ..operators import gates, joins
 from ..operators.aggregate import inventory
 from ..sources.tables import table
 
@@ -61,9 +61,8 @@ def weighted_jaccard_best(spark: SparkSession, d: str) -> DataFrame:
     items, turns = table(spark, d, "benchmark"), table(spark, d, "conversations")
     turns = turns.withColumn("key", F.struct("conv_id", "turn"))
     weights = joins.idf(items, "item_id", tx.long_tokens("text"))
-    pairs = joins.weighted_jaccard(turns, "key", tx.long_tokens("text"), items, "item_id", tx.long_tokens("text"), weights)
-    best = select.keep_first(pairs.withColumn("score", F.round("score", 9)), ["key"], [F.desc("score"), F.asc("item_id")])
-    return best.select("key.conv_id", "key.turn", "item_id", "shared_tokens", "score")
+    best = joins.best_by_jaccard(turns, "key", tx.long_tokens("text"), items, "item_id", tx.long_tokens("text"), weights)
+    return best.select("key.conv_id", "key.turn", "item_id", "shared_tokens", F.round("score", 9).alias("score"))
 
 
 JACCARD = f"""WITH it AS (SELECT DISTINCT item_id, unnest({LONG('text')}) AS token FROM benchmark), n AS (SELECT count(*) AS n FROM benchmark),
