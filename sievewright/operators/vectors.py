@@ -38,11 +38,13 @@ def tfidf(docs: DataFrame, key: str, terms: Column, idf: DataFrame | None = None
     return raw.join(norm, key).select(key, "term", (F.col("w") / F.col("norm")).alias("weight")), idf
 
 
-def sparse_top_k(queries: DataFrame, query_key: str, items: DataFrame, item_key: str, k: int, but_itself: bool = False) -> DataFrame:
+def sparse_top_k(queries: DataFrame, query_key: str, items: DataFrame, item_key: str, k: int, but_itself: bool = False, most: int | None = None) -> DataFrame:
     """Cosine of sparse vectors by an inverted join: only pairs with a term in common are scored.
     Short n-grams are in nearly all texts, so one side must be bounded (a benchmark, a registry of
-    prompts): its size is a factor of the work. ``but_itself``: a row is no match of its own key,
-    however many equals it has."""
+    prompts): its size is a factor of the work, and ``most`` states how many items there may be, more
+    raise ValueError. ``but_itself``: a row is no match of its own key, however many equals it has."""
+    if most is not None and items.select(item_key).distinct().limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} items")
     q, i = queries.withColumnRenamed("weight", "q"), items.withColumnRenamed("weight", "i")
     met = q.join(i, "term")
     pairs = (met.where(F.col(query_key) != F.col(item_key)) if but_itself else met).groupBy(query_key, item_key).agg(F.round(F.sum(F.col("q") * F.col("i")), 9).alias("score"))

@@ -98,7 +98,7 @@ def item_retrieval(spark: SparkSession, d: str) -> DataFrame:
     """The three benchmark items nearest to each other one by n-gram TF-IDF cosine."""
     items = table(spark, d, "benchmark")
     weights, _ = vectors.tfidf(items, "item_id", vectors.bounded_ngrams("text"))
-    found = vectors.sparse_top_k(weights.withColumnRenamed("item_id", "query_id"), "query_id", weights, "item_id", 3, but_itself=True)
+    found = vectors.sparse_top_k(weights.withColumnRenamed("item_id", "query_id"), "query_id", weights, "item_id", 3, but_itself=True, most=10_000)
     return found.select("query_id", "item_id", F.round("score", 6).alias("score"))
 
 
