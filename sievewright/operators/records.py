@@ -184,3 +184,23 @@ def with_markers(lines: DataFrame, markers: DataFrame, place: list[str], text: s
 def is_footnote(x0: Column, y0: Column, font: Column, text: Column, left: float, top: float, bottom: float, size: float) -> Column:
     """Whether a block is a footnote: inside the body's width, low on the page, in small type, numbered."""
     return (x0 < left) & y0.between(top, bottom) & (font <= size) & text.rlike(r"^[0-9]+\)")
+
+
+#: How many lines a page that opens a chapter has at most.
+INTRO_LINES = 8
+
+
+def case_pages(lines: DataFrame, book: str, page: str, text: str, start: str, digits: str = "^[0-9]+$", published: str | None = None, first: int = 0) -> DataFrame:
+    """Pages of every case of a book: book, page_start, page_end, cases (that start on that page). A case starts
+    on a page with a line that fits ``start`` and ends on the last page with text before the next start or, from
+    page ``first`` on, before the first page that fits ``published``. A page that opens a chapter, few lines
+    of which one is a number and none a start, has no text of a case. A book's pages are a bounded unit."""
+    shown = F.coalesce(F.col(text), F.lit(""))
+    imprint = shown.rlike(published) & (F.col(page) >= first) if published else F.lit(False)
+    facts = lines.where(shown != "").groupBy(F.col(book).alias("__b"), F.col(page).alias("__p")).agg(F.count("*").alias("n"), F.count_if(shown.rlike(start)).alias("cases"), F.count_if(shown.rlike(digits)).alias("numbers"), F.count_if(imprint).alias("imprints"))
+    by = Window.partitionBy("__b")
+    body = facts.withColumn("last", F.min(F.when(F.col("imprints") > 0, F.col("__p"))).over(by)).where("last IS NULL OR __p < last")
+    intro = (F.col("cases") == 0) & (F.col("numbers") > 0) & (F.col("n") <= INTRO_LINES)
+    under = F.last(F.when(F.col("cases") > 0, F.col("__p")), ignorenulls=True).over(by.orderBy("__p").rowsBetween(Window.unboundedPreceding, 0))
+    held = body.withColumn("page_start", under).where("page_start IS NOT NULL")
+    return held.groupBy(F.col("__b").alias(book), "page_start").agg(F.max(F.when(~intro, F.col("__p"))).alias("page_end"), F.max(F.when(F.col("__p") == F.col("page_start"), F.col("cases"))).alias("cases"))

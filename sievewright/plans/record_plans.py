@@ -322,6 +322,18 @@ def footnotes(spark: SparkSession, d: str) -> DataFrame:
 
 FOOTNOTES = "SELECT p_partkey, p_size * 10 < 300 AND p_retailprice BETWEEN 950 AND 1500 AND p_size <= 25 AND p_partkey % 3 = 0 AS footnote FROM part"
 
+_LINE = "CASE WHEN o_orderkey % 5 = 0 THEN '사례 ' || o_orderkey WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey AS VARCHAR(20)) WHEN o_orderkey % 97 = 0 THEN '발행 정보' WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderpriority END"
+
+
+def case_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of a customer as lines of a book, 100 keys a page."""
+    lines = table(spark, d, "orders").selectExpr("o_custkey AS book", "CAST(floor(o_orderkey / 100) AS BIGINT) AS page", f"{_LINE} AS text")
+    return records.case_pages(lines, "book", "page", "text", "^사례 ", published="^발행", first=20)
+
+
+CASE_PAGES = f"""WITH l AS (SELECT o_custkey AS book, CAST(floor(o_orderkey / 100) AS BIGINT) AS page, {_LINE} AS t FROM orders), p AS (SELECT book, page, count(*) AS n, count_if(t LIKE '사례 %') AS cases, count_if(regexp_full_match(t, '[0-9]+')) AS numbers, count_if(t LIKE '발행%' AND page >= 20) AS imprints FROM l WHERE t <> '' GROUP BY 1, 2),
+b AS (SELECT * FROM p x WHERE NOT EXISTS (SELECT 1 FROM p y WHERE y.book = x.book AND y.imprints > 0 AND y.page <= x.page)), c AS (SELECT book, page AS page_start, cases, coalesce(lead(page) OVER (PARTITION BY book ORDER BY page), 1000000000) AS next_ FROM b WHERE cases > 0)
+SELECT c.book, c.page_start, max(b.page) AS page_end, max(c.cases) AS cases FROM c JOIN b ON b.book = c.book AND b.page >= c.page_start AND b.page < c.next_ AND NOT (b.cases = 0 AND b.numbers > 0 AND b.n <= 8) GROUP BY 1, 2"""
 
 
 def availability_cube(spark: SparkSession, d: str) -> DataFrame:
@@ -368,7 +380,7 @@ QUERIES = {
     for f in (
         json_lines_round_trip, csv_round_trip, json_documents_read, log_recovery, split_export, schema_union, path_index, raw_sentences, unified_labels, row_findings, contract_lint, lint_totals, included_rows, row_ids,
         status_machines, text_shapes, section_texts, score_fields, layout_lines, wrapped_probe, page_links, page_heads, metadata_pairs, case_sections, footnotes,
-        availability_cube, picked_examples, preflight_findings,
+        availability_cube, picked_examples, preflight_findings, case_pages,
     )
 }
 PROBE = """WITH n AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS i, count(*) OVER (PARTITION BY c_mktsegment) AS n FROM customer), f AS (SELECT * FROM n WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey < 6)),
@@ -378,5 +390,5 @@ ORACLE_SQL = {
     "json_lines_round_trip": JSON_LINES, "csv_round_trip": CSV, "json_documents_read": "SELECT n_nationkey, n_name, true AS has_path FROM nation", "log_recovery": LOG, "split_export": SPLITS, "schema_union": UNION, "path_index": PATHS,
     "raw_sentences": RAW, "unified_labels": LABELS, "row_findings": FINDINGS, "contract_lint": CONTRACT, "lint_totals": LINT_TOTALS, "included_rows": INCLUDED, "row_ids": ROW_IDS, "status_machines": STATUS, "text_shapes": TEXT_SHAPES,
     "section_texts": SECTIONS, "score_fields": SCORES, "layout_lines": LAYOUT, "wrapped_probe": PROBE, "page_links": PAGE_LINKS, "page_heads": PAGE_HEADS, "metadata_pairs": METADATA_PAIRS, "case_sections": CASE_SECTIONS, "footnotes": FOOTNOTES,
-    "availability_cube": AVAILABILITY, "picked_examples": EXAMPLES, "preflight_findings": PREFLIGHT,
+    "availability_cube": AVAILABILITY, "picked_examples": EXAMPLES, "preflight_findings": PREFLIGHT, "case_pages": CASE_PAGES,
 }
