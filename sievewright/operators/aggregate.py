@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOTAL, BLANK = "__TOTAL__", "(blank)"
@@ -75,9 +75,11 @@ def card_text(df: DataFrame, keys: list[str], name: str, value: str) -> DataFram
 
 
 def flag_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One flag per key: another row of the batch has the same value."""
+    """One flag per key: another row of the batch has the same value. Values are counted before they are
+    shuffled, so one that very many rows have is one row there."""
     for k in keys:
-        df = df.withColumn(f"dup_{k}", F.col(k).isNotNull() & (F.count("*").over(Window.partitionBy(k)) > 1))
+        twice = df.where(F.col(k).isNotNull()).groupBy(F.col(k).alias("__v")).agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
+        df = df.join(twice, F.col(k) == F.col("__v"), "left").withColumn(f"dup_{k}", F.col("__v").isNotNull()).drop("__v")
     return df
 
 

@@ -83,7 +83,8 @@ def take_allocation(rows: DataFrame, label: str, source: str, allocation: dict[t
     spark = rows.sparkSession
     plan = spark.createDataFrame([(a, s, n) for (a, s), n in sorted(allocation.items())], "__a string, __s string, __n int")
     place = F.row_number().over(Window.partitionBy(label, source).orderBy(*order))
-    joined = rows.withColumn("__r", place).join(F.broadcast(plan), (F.col(label) == F.col("__a")) & (F.col(source) == F.col("__s")))
+    most = max(allocation.values(), default=0)  # a bound that each task applies before the shuffle
+    joined = rows.withColumn("__r", place).where(F.col("__r") <= most).join(F.broadcast(plan), (F.col(label) == F.col("__a")) & (F.col(source) == F.col("__s")))
     return joined.where("__r <= __n").drop("__r", "__a", "__s", "__n")
 
 

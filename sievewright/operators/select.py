@@ -17,10 +17,12 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 def near_tie(df: DataFrame, keys: list[str], score: str, cost: str, gap: float, tie: list[Column]) -> DataFrame:
     """Of the two best rows of a key, the cheaper one if their scores are within ``gap``."""
     w = Window.partitionBy(*keys).orderBy(F.desc(score), F.asc(cost), *tie)
-    top = df.withColumn("__r", F.row_number().over(w)).withColumn("__next", F.lead(F.struct(F.col(score).alias("s"), F.col(cost).alias("c"))).over(w))
+    # Spark keeps two rows a key on every task before the shuffle; only those see each other.
+    two = df.withColumn("__r", F.row_number().over(w)).where("__r <= 2")
+    top = two.withColumn("__next", F.lead(F.struct(F.col(score).alias("s"), F.col(cost).alias("c"))).over(Window.partitionBy(*keys).orderBy("__r")))
     second = (F.col(score) - F.col("__next.s") <= gap) & (F.col("__next.c") < F.col(cost))
     want = F.when(F.coalesce(second, F.lit(False)), 2).otherwise(1)
-    chosen = top.where("__r <= 2").withColumn("__want", F.max(F.when(F.col("__r") == 1, want)).over(Window.partitionBy(*keys)))
+    chosen = top.withColumn("__want", F.max(F.when(F.col("__r") == 1, want)).over(Window.partitionBy(*keys)))
     return chosen.where("__r = __want").drop("__r", "__next", "__want")
 
 
