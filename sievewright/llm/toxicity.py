@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import map_texts, stored, tidy, utf8
 
 CANDIDATES = 20_000
-SAMPLE_BYTES = 24_000_000
+SAMPLE_BYTES = 48_000_000
 FOLDS = 4
 SHARE = 0.005
 #: Discount of a count of 0, 1, 2, and of 3 or more documents.
