@@ -88,8 +88,7 @@ def apply_validator(rows: DataFrame, selected: Column, order: list[Column], key:
 
     df = df.withColumn("__target", F.element_at(words_of(CHOICE_LABELS), (F.pmod(F.coalesce("__at", F.lit(1)) - 1, F.lit(4)) + 1).cast("int")))
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
-    for c in ("final_status", "audit_required", "train_eligible"):
-        df = df.withColumn(f"upstream_{c}", text(c))
+    df = df.withColumns({f"upstream_{c}": text(c) for c in ("final_status", "audit_required", "train_eligible")})
     tags = F.filter(F.transform(F.split(text("error_tags"), r"\|"), lambda t: F.trim(t)), lambda t: t != "")
     choices = F.array(*map(text, CHOICES))
     here, there = place(F.col("correct_choice")), place(F.col("__target"))
@@ -128,8 +127,7 @@ def apply_validator(rows: DataFrame, selected: Column, order: list[Column], key:
     clean = F.size("__bad") == 0
     for c in ("distractor_type_map", "near_miss_notes"):
         df = df.withColumn(c, F.when(F.col("__out") & (F.size(tolerant_json(F.col(c))) > 0), labelled_json(F.col(f"__{c}"))).otherwise(F.col(c)))
-    for i, c in enumerate(CHOICES, 1):
-        df = df.withColumn(c, F.when(F.col("__out"), F.element_at("__moved", i)).otherwise(F.col(c)))
+    df = df.withColumns({c: F.when(F.col("__out"), F.element_at("__moved", i)).otherwise(F.col(c)) for i, c in enumerate(CHOICES, 1)})
     df = df.withColumn("correct_choice", F.when(F.col("__out"), F.col("__target")).otherwise(F.col("correct_choice")))
     df = df.withColumn("__why", F.concat("__why", "__bad")).withColumn("__state", F.when(clean, F.col("__state")).otherwise("metadata_remap_block")).withColumn("__action", F.when(clean, F.col("__action")).otherwise("hard_block"))
 
@@ -148,12 +146,10 @@ def apply_validator(rows: DataFrame, selected: Column, order: list[Column], key:
         "validator_metadata_remap_reasons": F.array_join("__bad", "|"),
         "validator_export_disposition": chosen(4),
     }
-    for name, value in fields.items():
-        df = df.withColumn(name, when(value, blank))
+    df = df.withColumns({name: when(value, blank) for name, value in fields.items()})
     tagged = reduce(lambda out, a: F.when(F.col("__action") == a, append_tag("error_tags", OUTCOMES[a][3])).otherwise(out), ("regenerate", "hard_block"), F.col("error_tags"))
     df = df.withColumn("audit_reason", when(F.when(F.col("__action") == "audit", append_tag("audit_reason", "validator_audit")).otherwise(""), F.col("audit_reason"))).withColumn("error_tags", when(tagged, F.col("error_tags")))
-    for i, c in enumerate(("final_status", "audit_required", "train_eligible")):
-        df = df.withColumn(c, when(chosen(i), F.col(c)))
+    df = df.withColumns({c: when(chosen(i), F.col(c)) for i, c in enumerate(("final_status", "audit_required", "train_eligible"))})
     own = {**{n: n for n in REPORT}, "target_correct_choice": "validator_target_correct_choice", "recalculated_correct_choice": "validator_recalculated_correct_choice"}
     own |= {n: f"validator_{n}" for n in ("shuffle_recalc_ok", "metadata_remap_ok", "metadata_remap_reasons", "export_disposition")}
     report = F.when(F.col("__sel"), F.struct(F.col(key), *[F.col(own[n]).alias(n) for n in REPORT]))
