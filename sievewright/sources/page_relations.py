@@ -8,8 +8,9 @@ by ``relation``; ``relation_of`` picks one. A ``PageSpec`` says where things sta
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.korean import law_reference
 from ..functions.scalars import query_value
-from .pages import _Node, parsed
+from .pages import _Node, only_references, parsed
 
 #: What a row of each relation fills; ``block`` counts from 1 within the page, ``n`` within the block.
 SCHEMA = """relation string, block int, n int, fields map<string,string>, text string, marked string, tables string,
@@ -49,8 +50,14 @@ class PageSpec:
     links: str = ""
 
 
+#: What ``clean_lines`` changes within a text.
+_LOOSE = re.compile(r"[\r\n\xa0\t]|  ")
+
+
 def clean_lines(text: str) -> str:
     """Blanks within lines joined, empty lines dropped."""
+    if not _LOOSE.search(text):
+        return text.strip()
     lines = re.split(r"\r\n|\r|\n", text.replace("\xa0", " "))
     return "\n".join(x for x in (re.sub(r"[ \t]+", " ", line).strip() for line in lines) if x)
 
@@ -123,19 +130,19 @@ def _value(block: _Node, path: str) -> str | None:
     which = 0
     if how.startswith("n:"):
         which, how = int(how[2:]), ""
-    found = list(block.select(path)) if path else [block]
-    if len(found) <= which:
+    found = next(islice(block.select(path), which, None), None) if path else block
+    if found is None:
         return None
     if how == "lines":
-        return shown(found[which], "\n")
+        return shown(found, "\n")
     if how == "count":
-        return str(int("0" + re.sub("[^0-9]", "", shown(found[which]))))
-    return shown(found[which]) if not how else (found[which].attrs.get(how) or "").strip()
+        return str(int("0" + re.sub("[^0-9]", "", shown(found))))
+    return shown(found) if not how else (found.attrs.get(how) or "").strip()
 
 
 def _after(parent: dict[int, _Node], block: _Node) -> _Node | None:
     """The table right after a block, if no other element stands between."""
-    siblings = [x for x in parent[id(block)].children if isinstance(x, _Node)]
+    siblings = parent[id(block)].nodes
     at = next(i for i, x in enumerate(siblings) if x is block) + 1
     return siblings[at] if at < len(siblings) and siblings[at].tag == "table" else None
 
@@ -155,14 +162,17 @@ def page_rows(html: str | None, spec: PageSpec) -> Iterator[dict]:
     """All rows of a page; the last one, of relation ``page``, has its title, its blocks and how many of
     them were kept."""
     root = parsed(html)
-    parent = {id(c): x for x in (root, *root.walk()) for c in x.children if isinstance(c, _Node)}
+    beside = bool(spec.labels) and not spec.own_table and not spec.label_list
+    parent = {id(c): x for x in (root, *root.walk()) for c in x.nodes} if beside else {}
     blocks = list(root.select(spec.block))
     kept = 0
     for number, block in enumerate(blocks, 1):
-        got = {name: _value(block, path) for name, path in spec.fields.items()}
-        if any(got[n] is None for n in spec.needed):
+        # needed fields first: a block that lacks one is left at once
+        needed = {n: _value(block, spec.fields[n]) for n in spec.needed}
+        if None in needed.values():
             continue
-        table = block if spec.own_table else _after(parent, block) if spec.labels and not spec.label_list else None
+        got = {name: needed[name] if name in needed else _value(block, path) for name, path in spec.fields.items()}
+        table = block if spec.own_table else _after(parent, block) if beside else None
         pairs = _labelled(table)
         listed = [shown(x) for x in block.select(spec.label_list)] if spec.label_list else []
         parts = [(label, value) for label, colon, value in (x.partition(":") for x in listed) if colon]
@@ -226,17 +236,33 @@ def leaf_rows(html: str | None, item: str = "li") -> Iterator[dict]:
     yield from visit(parsed(html), ())
 
 
-def _mapped(pages: DataFrame, rows, id_col: str, html_col: str) -> DataFrame:
-    kind = pages.schema[id_col].dataType.simpleString()
+#: Rows of a batch that goes back to Spark: many small pages share one, a large page has several.
+BATCH_ROWS = 2048
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                found = pa.RecordBatch.from_pylist(list(rows(batch.column(1)[at].as_py())), schema=_ARROW)
-                ids = batch.column(0).take(pa.array([at] * found.num_rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, *found.columns], names=[id_col, *_ARROW.names])
+def mapped(batches: Iterator[pa.RecordBatch], rows: Callable[[str | None], Iterator[dict]], id_col: str) -> Iterator[pa.RecordBatch]:
+    """The rows of the pages of every batch, in batches of at most BATCH_ROWS."""
 
-    return pages.select(id_col, html_col).mapInArrow(run, f"{id_col} {kind}, {SCHEMA}")
+    def made(ids: pa.Array, at: list[int], found: list[dict]) -> pa.RecordBatch:
+        columns = [pa.array([x.get(f.name) for x in found], f.type) for f in _ARROW]
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), *columns], names=[id_col, *_ARROW.names])
+
+    for batch in batches:
+        ids, html, at, found = batch.column(0), batch.column(1), [], []
+        for i in range(batch.num_rows):
+            for row in rows(html[i].as_py()):
+                at.append(i)
+                found.append(row)
+                if len(at) == BATCH_ROWS:
+                    yield made(ids, at, found)
+                    at, found = [], []
+        if at:
+            yield made(ids, at, found)
+
+
+def _mapped(pages: DataFrame, rows: Callable[[str | None], Iterator[dict]], id_col: str, html_col: str) -> DataFrame:
+    kind = pages.schema[id_col].dataType.simpleString()
+    return pages.select(id_col, html_col).mapInArrow(lambda batches: mapped(batches, rows, id_col), f"{id_col} {kind}, {SCHEMA}")
 
 
 def page_relations(pages: DataFrame, spec: PageSpec, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -244,9 +270,10 @@ def page_relations(pages: DataFrame, spec: PageSpec, id_col: str = "page_id", ht
     return _mapped(pages, lambda html: page_rows(html, spec), id_col, html_col)
 
 
-def page_bodies(pages: DataFrame, header: str = STATUTE_HEADER, bodies: tuple[str, ...] = STATUTE_BODIES, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Title, header and text of every page."""
-    return relation_of(_mapped(pages, lambda html: body_rows(html, header, bodies), id_col, html_col), "body", id_col, ("header",))
+def page_bodies(pages: DataFrame, header: str = STATUTE_HEADER, bodies: tuple[str, ...] = STATUTE_BODIES, id_col: str = "page_id", html_col: str = "html", references: tuple[str, ...] | None = None) -> DataFrame:
+    """Title, header and text of every page; ``references`` as in ``only_references``."""
+    read = only_references(references)
+    return relation_of(_mapped(pages, lambda html: body_rows(read(html), header, bodies), id_col, html_col), "body", id_col, ("header",))
 
 
 def category_leaves(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -331,10 +358,12 @@ def board_issues(listed: DataFrame, detailed: DataFrame, key: str = "issueqaSeq"
     rows = relation_of(listed, "block", id_col, ("number", "issue_title", "link", "registered", "source_link", "thumbnail"))
     rows = rows.select(query_value(F.col("link"), key).alias("seq"), F.col("block").alias("list_order"), "number", "issue_title", "registered", "source_link", "thumbnail").where("seq is not null")
     page = detailed.withColumn("seq", query_value(F.col("page_url"), key))
-    body = page.where("relation = 'block'").select("seq", F.element_at("fields", "issue_title").alias("own_title"), F.element_at("fields", "notice").alias("notice"), "text", "marked", "tables")
-    # Attachments of one page, a handful.
-    files = page.where("relation = 'link'").groupBy("seq").agg(F.sort_array(F.collect_list(F.struct(F.col("n").alias("order"), F.col("anchor").alias("label"), F.col("url").alias("url"), query_value(F.col("url"), "bid").alias("bid")))).alias("attachments"))
-    detail = body.join(files, "seq", "left").withColumn("detail", F.struct("notice", "text", "marked", "tables"))
+    # Blocks and attachments of one page, a handful; together, so that pages are parsed once.
+    block = F.struct(F.element_at("fields", "issue_title").alias("own_title"), F.element_at("fields", "notice").alias("notice"), "text", "marked", "tables")
+    file = F.struct(F.col("n").alias("order"), F.col("anchor").alias("label"), F.col("url").alias("url"), query_value(F.col("url"), "bid").alias("bid"))
+    only = lambda kind, c: F.collect_list(F.when(F.col("relation") == kind, c))
+    told = page.where("relation IN ('block', 'link') AND seq IS NOT NULL").groupBy("seq").agg(F.sort_array(only("link", file)).alias("attachments"), only("block", block).alias("b"))
+    detail = told.select("seq", "attachments", F.explode("b").alias("b")).select("seq", "b.own_title", F.struct("b.notice", "b.text", "b.marked", "b.tables").alias("detail"), "attachments")
     got = rows.join(detail.select("seq", "own_title", "detail", "attachments"), "seq", "left")
     title = F.coalesce(F.nullif("own_title", F.lit("")), F.col("issue_title"))
     none = F.array().cast(detail.schema["attachments"].dataType)
