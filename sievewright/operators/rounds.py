@@ -73,8 +73,9 @@ def two_way_lookup(rows: DataFrame, near: DataFrame, far: DataFrame, key: str, r
 
 
 def best_rows(rows: DataFrame, keys: list[str], status: str, score: str, words: str, tie: str) -> DataFrame:
-    """The best row of a key: passed before others, then score, then fewer words."""
-    w = Window.partitionBy(*keys).orderBy(F.asc(F.col(status) != "pass"), F.desc(score), F.asc(words), F.asc(tie))
+    """The best row of a key: passed before others, then score, then fewer words, then ``tie``; of rows alike in
+    all that, by status, so that what is counted of them does not depend on the layout."""
+    w = Window.partitionBy(*keys).orderBy(F.asc(F.col(status) != "pass"), F.desc(score), F.asc(words), F.asc(tie), F.asc(status))
     return rows.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 DOC_TYPES = ("법령_QA", "해석례_QA", "결정례_QA", "판결문_QA")
 
@@ -100,10 +100,13 @@ def per_order(expression: str) -> str:
 _ORDER = {c: per_order(e) for c, e in _ORDERLINE.items()}
 BASES: dict[str, tuple[str, dict[str, str]]] = {"lines": ("lineitem", _ORDERLINE), "heads": ("orders", _ORDER), "parts": ("part", _PART)}
 
+SPREAD_BY = {"lines": ("l_orderkey", "l_linenumber"), "heads": ("o_orderkey",), "parts": ("p_partkey",)}
+
 
 def derived(spark: SparkSession, d: str, name: str) -> DataFrame:
     source, columns = BASES[name]
-    return table(spark, d, source).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+    # rules look at each row many times, and the files are small for their rows
+    return spread(table(spark, d, source), *SPREAD_BY[name]).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
 
 
 def derived_sql(name: str) -> str:

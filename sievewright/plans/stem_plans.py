@@ -9,7 +9,7 @@ from ..functions import stems
 from ..functions.korean import STEM_CORE_FOLDS
 from ..operators import joins, records, vectors
 from ..sources.shared import fresh_path, stored
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from ..streaming import restart
 from .bases import pick
 
@@ -24,7 +24,7 @@ BASE = "SELECT " + ", ".join(f"{e} AS {c}" for c, e in COLUMNS.items()) + " FROM
 
 
 def _parts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").selectExpr(*[f"{e} AS {c}" for c, e in COLUMNS.items()])
+    return spread(table(spark, d, "part"), "p_partkey").selectExpr(*[f"{e} AS {c}" for c, e in COLUMNS.items()])
 
 
 def stem_endings(spark: SparkSession, d: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import validator
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .bases import per_order, pick
 
 _CORRECT = pick("l_suppkey + l_linenumber", ["A", "B", "C", "D", "A", "E"])
@@ -33,7 +33,7 @@ TARGETS = {"A": 2, "B": 2, "C": 2, "D": 2}
 
 
 def _validated(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders").selectExpr(*[f"{e} AS {c}" for c, e in ROWS.items()])
+    rows = spread(table(spark, d, "orders"), "o_orderkey").selectExpr(*[f"{e} AS {c}" for c, e in ROWS.items()])
     return validator.apply_validator(rows, F.col("selected"), [F.col("seed_sample_id")])
 
 
