@@ -41,3 +41,14 @@ def test_jaccard_inside_rows_equals_the_join(spark, sides):
     assert joins.best_by_jaccard(docs, "d", F.col("t"), items.where("false"), "i", F.col("u"), weights).count() == 0
     with pytest.raises(ValueError):
         joins.best_by_jaccard(docs, "d", F.col("t"), items, "i", F.col("u"), weights, most=3)
+
+
+def test_cosine_by_products_equals_the_expressions(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(120)] + [(i, [0.5, -0.25, 0.1, 0.3, 0.7, 0.2]) for i in range(200, 240)]
+    rows += [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (302, [1.0, 2.0]), (320, [1.0, 2.0]), (340, None)]
+    df = spark.createDataFrame(rows, "id long, v array<float>").repartition(3)
+    asked = df.where("id % 20 = 0")
+    plain = joins.cosine_top_k(asked, df, "id", "v", 5)
+    got = joins.cosine_top_k(asked, df, "id", "v", 5, most=100)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.select(*got.columns).collect()), key=str)
