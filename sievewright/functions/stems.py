@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -58,6 +59,11 @@ RELEASE_RULES = (
 CLOSED = (".", "?", "다", "오")
 
 
+def once(c: Column, then: Callable[[Column], Column]) -> Column:
+    """What ``then`` makes of a column that is computed once a row, however often ``then`` names it."""
+    return F.element_at(F.transform(F.array(c), then), 1)
+
+
 def choice_tail(c: Column) -> Column:
     """The first tail that a stem ends with, turned into what a choice can follow."""
     return reduce(lambda out, rule: F.when(c.rlike(rule[0]), F.regexp_replace(c, rule[0], rule[1])).otherwise(out), reversed(CHOICE_TAILS), c)
@@ -69,7 +75,7 @@ def with_mode_ending(c: Column | str, mode: Column, passes: int = 1) -> Column:
     step = lambda s, _: rewrite(s, [(p, "") for p in NOISE_ENDINGS])
     bare = F.aggregate(F.sequence(F.lit(1), F.lit(passes)), normalize(c), step)
     ending = reduce(lambda out, m: F.when(mode == m, MODE_ENDINGS[m]).otherwise(out), MODE_ENDINGS, F.lit(None).cast("string"))
-    return F.concat(choice_tail(normalize(F.regexp_replace(bare, "[ .?]+$", ""))), F.lit(" "), ending)
+    return F.concat(once(normalize(F.regexp_replace(bare, "[ .?]+$", "")), choice_tail), F.lit(" "), ending)
 
 
 def first_sentence(c: Column) -> Column:
@@ -78,16 +84,20 @@ def first_sentence(c: Column) -> Column:
 
 def several_issues(c: Column | str) -> Column:
     """Whether a law stem asks for more than one thing."""
-    text = normalize(c)
-    words = reduce(lambda n, w: n + F.contains(text, F.lit(w)).cast("int"), ISSUE_WORDS, F.lit(0))
-    joined = F.contains(text, F.lit("과")) | F.contains(text, F.lit("및"))
-    return text.rlike("|".join(TWO_ISSUES)) | text.rlike(r"[.?!]\s") | ((words >= 3) & joined)
+
+    def several(text: Column) -> Column:
+        words = reduce(lambda n, w: n + F.contains(text, F.lit(w)).cast("int"), ISSUE_WORDS, F.lit(0))
+        joined = F.contains(text, F.lit("과")) | F.contains(text, F.lit("및"))
+        return text.rlike("|".join(TWO_ISSUES)) | text.rlike(r"[.?!]\s") | ((words >= 3) & joined)
+
+    return once(normalize(c), several)
 
 
 def tightened_law_stem(c: Column | str, seed: Column | str, mode: Column) -> Column:
     """The first sentence with paired issues folded into one; if several are left, the seed's core."""
     folded = rewrite(first_sentence(c if isinstance(c, Column) else F.col(c)), list(LAW_FOLDS))
-    return with_mode_ending(F.when(several_issues(folded), stem_core(seed)).otherwise(folded), mode)
+    core = once(folded, lambda f: F.when(several_issues(f), stem_core(seed)).otherwise(f))
+    return with_mode_ending(core, mode)
 
 
 def cleaned_stem(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize
@@ -63,7 +63,11 @@ def flags(*found: tuple[str, Column]) -> Column:
 def base_reason(doc_type: Column, question: Column, answer: Column) -> Column:
     """Why a seed is refused, empty if it isn't: a law answer that defines nothing or repeats the
     question, a case answer that only reports a claim where a judgment was asked for."""
-    q, a = normalize(question), normalize(answer)
+    return base_reason_of(doc_type, normalize(question), normalize(answer))
+
+
+def base_reason_of(doc_type: Column, q: Column, a: Column) -> Column:
+    """``base_reason`` of texts that are normalized."""
     echo = (q != "") & F.contains(a, F.regexp_replace(q, r"\?+$", "")) & (F.length(a) < F.length(q) + 50)
     claim = any_of(q, ASKS_JUDGMENT) & F.contains(a, F.lit("주장")) & ~any_of(a, JUDGMENT_SIGNALS)
     law = doc_type == "법령_QA"
@@ -77,7 +81,11 @@ def base_reason(doc_type: Column, question: Column, answer: Column) -> Column:
 
 def law_categories(question: Column, answer: Column) -> Column:
     """Keyword categories of a law seed (array); a plain requirement without any."""
-    text = F.concat(normalize(question), F.lit(" "), normalize(answer))
+    return law_categories_of(F.concat(normalize(question), F.lit(" "), normalize(answer)))
+
+
+def law_categories_of(text: Column) -> Column:
+    """``law_categories`` of a question and answer that are normalized."""
     bounded = text.rlike(NUMERIC_BOUNDARY) | any_of(text, BOUNDARY_WORDS)
     found = flags(
         ("simple_definition_numeric_boundary", bounded & any_of(text, DEFINITION_WORDS)),
@@ -104,15 +112,29 @@ def law_skip(categories: Column) -> Column:
 def batch_reason(doc_type: Column, question: Column, answer: Column, only: tuple[str, ...] = (), never: tuple[str, ...] = (), law_guard: bool = False) -> Column:
     """The seed filter of a batch as parameters: document types it is limited to or leaves out, the
     law guard, then the base filter. Empty if the seed passes."""
-    out = base_reason(doc_type, question, answer)
-    if law_guard:
-        skip = law_skip(law_categories(question, answer))
+    skip = law_skip(law_categories(question, answer)) if law_guard else None
+    return scoped(doc_type, base_reason(doc_type, question, answer), only, never, skip)
+
+
+def scoped(doc_type: Column, base: Column, only: tuple[str, ...] = (), never: tuple[str, ...] = (), skip: Column | None = None) -> Column:
+    """``batch_reason`` from what is known of a seed: its base reason and, for the law guard, why a law seed is skipped."""
+    out = base
+    if skip is not None:
         out = F.when((doc_type == "법령_QA") & (skip != ""), skip).otherwise(out)
     if never:
         out = F.when(doc_type.isin(*never), "doc_type_restricted").otherwise(out)
     return F.when(~doc_type.isin(*only), "out_of_scope").otherwise(out) if only else out
 
 
+def noted(rows: DataFrame, doc_type: str, question: str, answer: str) -> DataFrame:
+    """Rows with ``base``, ``categories`` and ``law_skip``, each from columns of the step before: texts are
+    normalized once a row, rules run once, however many reasons are made of them."""
+    clean = rows.withColumns({"__q": normalize(F.col(question)), "__a": normalize(F.col(answer))})
+    said = clean.withColumns({"__t": F.concat("__q", F.lit(" "), "__a"), "base": base_reason_of(F.col(doc_type), F.col("__q"), F.col("__a"))})
+    found = said.withColumn("categories", law_categories_of(F.col("__t")))
+    return found.withColumn("law_skip", law_skip(F.col("categories"))).drop("__q", "__a", "__t")
+
+
 def judgment_flags(text: Column, source: Column) -> Column:
     """Risk flags of a judgment seed."""
     issues = reduce(lambda a, b: a + b, [F.regexp_count(text, F.lit(w)) for w in ISSUE_WORDS])

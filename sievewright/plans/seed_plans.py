@@ -24,15 +24,15 @@ def has(column: str, words: tuple[str, ...]) -> str:
 
 
 def seed_reasons(spark: SparkSession, d: str) -> DataFrame:
-    doc, q, a = (F.col(c) for c in ASKED[1:])
-    return _parts(spark, d).select(
+    doc, base, skip = F.col("doc_type_name"), F.col("base"), F.col("law_skip")
+    return seeds.noted(_parts(spark, d).select(*ASKED), *ASKED[1:]).select(
         "part_key",
-        seeds.base_reason(doc, q, a).alias("base"),
-        F.array_join(seeds.law_categories(q, a), "|").alias("categories"),
-        seeds.law_skip(seeds.law_categories(q, a)).alias("law_skip"),
-        seeds.batch_reason(doc, q, a, law_guard=True).alias("guarded"),
-        seeds.batch_reason(doc, q, a, never=("법령_QA",)).alias("without_law"),
-        seeds.batch_reason(doc, q, a, only=("결정례_QA", "판결문_QA")).alias("only_cases"),
+        "base",
+        F.array_join("categories", "|").alias("categories"),
+        "law_skip",
+        seeds.scoped(doc, base, skip=skip).alias("guarded"),
+        seeds.scoped(doc, base, never=("법령_QA",)).alias("without_law"),
+        seeds.scoped(doc, base, only=("결정례_QA", "판결문_QA")).alias("only_cases"),
     )
 
 
