@@ -52,3 +52,15 @@ def test_cosine_by_products_equals_the_expressions(spark):
     plain = joins.cosine_top_k(asked, df, "id", "v", 5)
     got = joins.cosine_top_k(asked, df, "id", "v", 5, most=100)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.select(*got.columns).collect()), key=str)
+
+
+def test_a_batch_is_cut_by_the_pairs_it_makes(spark, monkeypatch):
+    import pyarrow as pa
+
+    items = spark.createDataFrame([(i, ["a", "b"]) for i in range(10)], "i int, u array<string>")
+    index = joins._index(items.select("i", F.col("u").alias("__own")), "i")
+    monkeypatch.setattr(joins, "PAIRS", 45)
+    lists = pa.array([["a", "b"], None, ["a"], ["x"], ["a", "b"] * 9, [], ["b"]], pa.list_(pa.string()))
+    assert joins._cuts(lists, index) == [4, 5, 7]
+    docs = spark.createDataFrame([(j, ["a", "b", "x"]) for j in range(30)], "d int, t array<string>")
+    assert joins.best_by_overlap(docs, "d", F.col("t"), items, "i", F.col("u")).where("i = 0 AND shared_tokens = 2").count() == 30
