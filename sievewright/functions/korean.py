@@ -293,9 +293,16 @@ STEM_CORE_FOLDS = (
 )
 
 
+def behind(phrase: str, instead: str) -> tuple[str, str]:
+    """A fold of what ends a line, ``(.+?)phrase$`` to ``$1instead``, as one that looks back a single character: the
+    first form starts anew at every character of a text without the phrase."""
+    kept = phrase.startswith("(.+?)") and phrase.endswith("$") and instead.startswith("$1")
+    return ("(?<=.)" + phrase[5:], instead[2:]) if kept else (phrase, instead)
+
+
 def stem_core(c: Column | str) -> Column:
     """A seed question as the core of a choice stem: one predicate, no question."""
     out = normalize(c)
     for phrase, instead in STEM_CORE_FOLDS:
-        out = F.regexp_replace(out, phrase, instead)
+        out = F.regexp_replace(out, *behind(phrase, instead))
     return F.regexp_replace(out, "[ ,.?]+$", "")

@@ -93,3 +93,23 @@ def test_a_bundle_is_read_back(spark):
     assert summary.first()["train_count"] == 12
     got = vectors.split_metrics(vectors.predictions(model, rows.withColumn("split", F.lit("all")), "text", "label"), "split", "label").first()
     assert (got["row_count"], got["right"], got["accuracy"]) == (12, 12, 1.0)
+
+
+def test_folds_that_look_back_equal_those_that_take_the_text(spark):
+    from sievewright.functions import korean
+
+    said = ["가나다은 어떻게 정해지나요의 판단 기준은 무엇인가요?", "은 어떻게 정해지나요", "가 어떤 조건을 갖추어야 하나요?", "값은 어떻게 정해지나요 라고", "은 어떻게 정해지나요은 어떻게 정해지나요?", ""]
+    df = spark.createDataFrame([(x,) for x in said], "t string")
+    for phrase, instead in korean.STEM_CORE_FOLDS:
+        assert df.where(F.regexp_replace("t", phrase, instead) != F.regexp_replace("t", *korean.behind(phrase, instead))).count() == 0
+    assert korean.behind(*korean.STEM_CORE_FOLDS[0])[0].startswith("(?<=.)")
+
+
+def test_reasons_in_steps_equal_those_of_one_expression(spark):
+    from sievewright.operators import seeds
+    from sievewright.plans.seed_plans import _parts
+
+    rows = _parts(spark, "/root/testdata/sf0.001").select("part_key", "doc_type_name", "question", "answer")
+    doc, q, a = (F.col(c) for c in ("doc_type_name", "question", "answer"))
+    got = seeds.noted(rows, "doc_type_name", "question", "answer")
+    assert got.where((F.col("base") != seeds.base_reason(doc, q, a)) | (F.col("law_skip") != seeds.law_skip(seeds.law_categories(q, a)))).count() == 0
