@@ -43,3 +43,12 @@ def test_page_bodies_take_the_first_container(spark):
     pages = spark.createDataFrame([(1, html), (2, "<p>그냥</p>글"), (3, None)], "page_id int, html string")
     got = [tuple(r) for r in pr.page_bodies(pages).orderBy("page_id").collect()]
     assert got == [(1, "법", "첫\n줄", "머리 글"), (2, "", "그냥\n글", ""), (3, "", "", "")]
+
+
+def test_ablation_ties_do_not_follow_the_layout(spark):
+    from sievewright.operators import rounds
+
+    rows = [("v1", 1, status, 3.95, 7, "1-4") for status in ("soft_fail", "hard_fail")]
+    for given in (rows, rows[::-1]):
+        df = spark.createDataFrame(given, "v string, s long, final_status string, weighted_score double, word_count long, candidate_id string").coalesce(1)
+        assert rounds.ablation_summary(df, "v", "s", "v2").first()["hard_fail_count"] == 1
