@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,19 @@ def near_tie(df: DataFrame, keys: list[str], score: str, cost: str, gap: float,
     return chosen.where("__r = __want").drop("__r", "__next", "__want")
 
 
+def first_by_hash(df: DataFrame, key: str, most: int) -> DataFrame:
+    """The ``most`` rows of the smallest hashes of their key, all if there are no more. The leading 16 bits of hashes are
+    counted first, so what meets in one task to be cut is about what stays, whatever the input's size."""
+    h = F.xxhash64(key)
+    lead = F.shiftright(h, 48)
+    counts = df.groupBy(lead.alias("lead")).agg(F.count("*").alias("n")).orderBy("lead").collect()
+    upto = list(accumulate(r["n"] for r in counts))
+    if not upto or upto[-1] <= most:
+        return df
+    last = counts[bisect_left(upto, most)]["lead"]
+    return df.where(lead <= last).orderBy(h, key).limit(most)
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str, count: str | None = None) -> DataFrame:
     """Numbers the rows of each key 1, 2, .. in that order and, if asked, adds the rows of the key;
     one key may hold any share of all rows. Rows are range-sorted by key and order and stored with

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -80,13 +85,92 @@ def read_bundle(spark: SparkSession, folder: str):
     return PipelineModel.load(f"{folder}/model"), spark.read.json(f"{folder}/summary")
 
 
-def predictions(model, rows: DataFrame, text: str, label: str) -> DataFrame:
-    """Rows with ``predicted`` (a class number) and ``margin``, the distance of the two best classes."""
-    from pyspark.ml.functions import vector_to_array
-
-    scored = model.transform(rows.withColumn("terms", bounded_ngrams(text)))
-    best = F.sort_array(vector_to_array("rawPrediction"), asc=False)
-    return scored.select(*rows.columns, F.col("prediction").alias("predicted"), (best[0] - best[1]).alias("margin"))
+#: Bytes of different words whose n-grams are made at once, and n-grams that are hashed at once.
+WORD_BYTES, GRAM_BLOCK = 1 << 20, 1 << 18
+
+
+def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint32(bits)) | (x >> np.uint32(32 - bits))
+
+
+def _murmur(fours: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """MurmurHash3 (32 bits, seed 42, as ``HashingTF`` takes it) of the ``size`` bytes from each start.
+    ``fours`` holds for every byte it and the three after it, little-endian."""
+    h = np.full(len(starts), 42, np.uint32)
+    for i in range(0, size, 4):
+        k = fours[starts + i]
+        if size - i < 4:
+            k = k & np.uint32((1 << 8 * (size - i)) - 1)
+        h ^= _rotated(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+        if size - i >= 4:
+            h = _rotated(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    h ^= np.uint32(size)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ (h >> np.uint32(shift))) * np.uint32(factor)
+    return (h ^ (h >> np.uint32(16))).view(np.int32)
+
+
+def _gram_sums(words: list[bytes], weights: np.ndarray, low: int, high: int) -> np.ndarray:
+    """For every word the sums over its ``bounded_ngrams`` of the weights (class, bucket), by (class, word)."""
+    data = np.frombuffer(b" " + b"  ".join(words) + b" \0\0\0", np.uint8)
+    fours = data[:-3].astype(np.uint32)
+    for i in (1, 2, 3):
+        fours |= data[i : len(data) - 3 + i].astype(np.uint32) << np.uint32(8 * i)
+    heads = (data[:-3] & 0xC0) != 0x80
+    at = np.append(np.flatnonzero(heads), len(heads))  # where characters start
+    starts = np.cumsum([0, *(len(w) + 2 for w in words)])
+    word = np.repeat(np.arange(len(words)), np.diff(np.searchsorted(at, starts)))
+    left = np.searchsorted(at, starts[1:])[word] - np.arange(len(word))
+    sums = np.zeros((len(weights), len(words)))
+    for n in range(low, high + 1):
+        whole = np.flatnonzero(left >= n)
+        for i in range(0, len(whole), GRAM_BLOCK):
+            first = whole[i : i + GRAM_BLOCK]
+            size = at[first + n] - at[first]
+            bucket = np.empty(len(first), np.int64)
+            for each in np.unique(size):
+                of = size == each
+                bucket[of] = _murmur(fours, at[first[of]], int(each))
+            bucket %= weights.shape[1]
+            own = word[first]
+            for k, row in enumerate(weights):
+                sums[k, own[0] : own[-1] + 1] += np.bincount(own - own[0], row[bucket])
+    return sums
+
+
+def _margins(texts: pa.Array, weights: np.ndarray, intercepts: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Distances by (class, text) of normalized lower-cased texts as bytes: a text's sum is that of its words', so
+    n-grams are made once for every different word of a batch."""
+    lists = pc.split_pattern(texts, pattern=b" ")
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    sums = np.zeros((len(weights), len(words)))
+    block = np.cumsum([len(w) + 2 for w in words], dtype=np.int64) // WORD_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(words)]
+    for a, b in zip(cuts, cuts[1:]):
+        sums[:, a:b] = _gram_sums(words[a:b], weights, low, high)
+    if b"" in words:
+        sums[:, words.index(b"")] = 0.0
+    text, codes = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy())), coded.indices.to_numpy()
+    return np.stack([np.bincount(text, of[codes], len(texts)) + c for of, c in zip(sums, intercepts)])
+
+
+def predictions(model, rows: DataFrame, text: str, label: str, low: int = 2, high: int = 5) -> DataFrame:
+    """Rows with ``predicted`` (a class number) and ``margin``, the distance of the two best classes (null with one
+    class). What the model's own ``transform`` gives, whose weights are added by word instead of one vector a text."""
+    counter, weigher, classifier = model.stages
+    weights = np.stack([m.coefficients.toArray() for m in classifier.models]) * weigher.idf.toArray()
+    intercepts = [m.intercept for m in classifier.models]
+
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            margins = _margins(texts, weights, intercepts, low, high)
+            best = np.sort(margins, axis=0)
+            distance = pa.array(best[-1] - best[-2]) if len(best) > 1 else pa.nulls(len(texts), pa.float64())
+            yield pa.StructArray.from_arrays([pa.array(margins.argmax(axis=0).astype(np.float64)), distance], names=["predicted", "margin"])
+
+    scored = rows.withColumn("__s", F.arrow_udf(score, "predicted double, margin double")(F.lower(tx.normalize(text)).cast("binary")))
+    return scored.select(*rows.columns, "__s.predicted", "__s.margin")
 
 
 def split_metrics(predicted: DataFrame, split: str, label: str) -> DataFrame:

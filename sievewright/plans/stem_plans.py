@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stems
 from ..functions.korean import STEM_CORE_FOLDS
-from ..operators import joins, records, vectors
+from ..operators import joins, records, select, vectors
 from ..sources.shared import fresh_path, stored
 from ..sources.tables import spread, table
 from ..streaming import restart
@@ -135,7 +135,7 @@ def classifier_metrics(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where("lang IS NOT NULL").select("doc_id", "text", "lang", F.expr(pick("doc_id % 5", ["train", "train", "train", "dev", "test"])).alias("split"))
     names = [r["lang"] for r in docs.select("lang").distinct().orderBy("lang").limit(1000).collect()]
     rows = docs.withColumn("label", (F.array_position(F.array(*map(F.lit, names)), F.col("lang")) - 1).cast("double")) if names else docs.withColumn("label", F.lit(0.0))
-    sample = stored(rows.where("split = 'train'").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEARN).select("doc_id", "text", "label"))
+    sample = stored(spread(select.first_by_hash(rows.where("split = 'train'").select("doc_id", "text", "label"), "doc_id", LEARN), "doc_id"))
     folder = fresh_path(spark, "bundle")
     fitted = vectors.one_against_rest(sample, "text", "label")
     vectors.write_bundle(fitted, folder, sample.agg(F.count("*").alias("train_count"), F.lit("tfidf_linear_svc").alias("baseline_type")))

@@ -95,6 +95,39 @@ def test_a_bundle_is_read_back(spark):
     assert (got["row_count"], got["right"], got["accuracy"]) == (12, 12, 1.0)
 
 
+def test_scores_by_word_equal_those_of_the_model(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    said = ["gato perro casa", "hund katze haus", "", None, "Ünï 가나다 \U0001f600\U0001f600 a", "x" * 300 + " gato gato", " \t\u3000", "a b\tc"] * 3
+    rows = spark.createDataFrame([(i, t, float(i % 3)) for i, t in enumerate(said)], "id int, text string, label double")
+    model = vectors.one_against_rest(rows, "text", "label", features=1 << 10)
+    best = F.sort_array(vector_to_array("rawPrediction"), asc=False)
+    own = model.transform(rows.withColumn("terms", vectors.bounded_ngrams("text"))).select("id", "prediction", (best[0] - best[1]).alias("own"))
+    got = vectors.predictions(model, rows, "text", "label")
+    assert got.columns == ["id", "text", "label", "predicted", "margin"]
+    both = own.join(got, "id")
+    assert both.count() == len(said) and both.where("abs(own - margin) > 1e-9 OR (prediction <> predicted AND margin > 1e-9)").count() == 0
+    # no list of n-grams, which a long word made in time that grows with its square
+    assert "transform(" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_class_has_no_second(spark):
+    rows = spark.createDataFrame([("gato", 0.0), ("perro", 0.0)], "text string, label double")
+    got = vectors.predictions(vectors.one_against_rest(rows, "text", "label", features=1 << 8), rows, "text", "label").collect()
+    assert [(r["predicted"], r["margin"]) for r in got] == [(0.0, None)] * 2
+
+
+def test_first_by_hash_cuts_before_it_sorts(spark):
+    from sievewright.operators import select
+
+    rows = spark.range(20_000).withColumn("text", F.lit("t"))
+    whole = {r["id"] for r in rows.orderBy(F.xxhash64("id"), "id").limit(500).collect()}
+    got = select.first_by_hash(rows, "id", 500)
+    assert {r["id"] for r in got.collect()} == whole
+    assert select.first_by_hash(rows, "id", 20_000).count() == select.first_by_hash(rows, "id", 30_000).count() == 20_000
+    assert select.first_by_hash(rows.where("id < 0"), "id", 5).count() == 0
+
+
 def test_folds_that_look_back_equal_those_that_take_the_text(spark):
     from sievewright.functions import korean
 
