@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 # The white space that Unicode-aware cleaners strip, the token class, sentence ends.
 SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 TOKEN = "[가-힣A-Za-z0-9]+"
-SENTENCE_BREAK = r"(?<=[.!?])\s+|(?<=다\.)\s+|(?<=요\.)\s+"
+# A run of white space that is more than one blank, tried only at characters other than printing ASCII or at a blank.
+UNEVEN = rf"[[^\x21-\x7e]&&{SPACE}&&[^ ]]{SPACE}*| {SPACE}+"
+# In normalized text, where a blank follows the mark.
+SENTENCE_BREAK = " (?<=[.!?] )"
 KOREAN_ENDS = "다|요|니다|이다|한다|된다|없다|있다|였다|하였다|합니다|입니다"
 
 
@@ -23,7 +26,7 @@ def blank_safe(c: Column | str) -> Column:
 
 def normalize(c: Column | str) -> Column:
     """Runs of white space become one blank, ends are stripped, null is empty."""
-    return F.coalesce(F.trim(F.regexp_replace(_col(c), f"{SPACE}+", " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(_col(c), UNEVEN, " ")), F.lit(""))
 
 
 def clean_lines(c: Column | str) -> Column:
@@ -77,18 +80,33 @@ def word_count(c: Column | str) -> Column:
     return F.size(words(c)).cast("long")
 
 
+def sentences_of(normal: Column | str) -> Column:
+    """Sentences of a text that is normalized."""
+    return F.array_remove(F.split(_col(normal), SENTENCE_BREAK), "")
+
+
 def sentences(c: Column | str) -> Column:
     """Pieces after sentence ends."""
-    return F.filter(F.transform(F.split(normalize(c), SENTENCE_BREAK), lambda s: F.trim(s)), lambda s: s != "")
+    return sentences_of(normalize(c))
+
+
+def sentence_count_of(normal: Column | str) -> Column:
+    """The same as ``sentence_count`` of a text that is normalized: a piece is counted at its first character."""
+    return F.size(F.regexp_extract_all(_col(normal), F.lit("[^.!? ][^.!?]*"), F.lit(0))).cast("long")
 
 
 def sentence_count(c: Column | str) -> Column:
     """Non-blank pieces between full stops, question and exclamation marks."""
-    return F.size(F.filter(F.split(normalize(c), "[.!?]+"), lambda s: F.trim(s) != "")).cast("long")
+    return sentence_count_of(normalize(c))
+
+
+def complete_of(normal: Column | str) -> Column:
+    """Whether a text that is normalized ends as a sentence: its last characters tell."""
+    return F.substring(_col(normal), -max(map(len, KOREAN_ENDS.split("|"))), 1 << 30).rlike(f"[.!?]$|({KOREAN_ENDS})$")
 
 
 def complete_sentence(c: Column | str) -> Column:
-    return normalize(c).rlike(f"[.!?]$|({KOREAN_ENDS})$")
+    return complete_of(normalize(c))
 
 
 def first_sentence(c: Column | str) -> Column:
@@ -99,7 +117,12 @@ def short_answer(c: Column | str, least: int = 8, most: int = 25) -> Column:
     """The first sentence if it is complete and of fitting length; else the first two under the
     same test; else the first long enough complete one; else the first two if complete; else the
     first."""
-    all_ = sentences(c)
+    return short_answer_of(sentences(c), least, most)
+
+
+def short_answer_of(all_: Column | str, least: int = 8, most: int = 25) -> Column:
+    """The same of a text's sentences."""
+    all_ = _col(all_)
     one = F.coalesce(F.try_element_at(all_, F.lit(1)), F.lit(""))
     two = F.when(F.size(all_) > 1, F.concat_ws(" ", one, F.try_element_at(all_, F.lit(2))))
     fits = lambda s: word_count(s).between(least, most) & complete_sentence(s)
@@ -184,7 +207,8 @@ def choice_key(c: Column | str) -> Column:
 
 
 def question_marks(c: Column | str) -> Column:
-    return F.regexp_count(F.coalesce(_col(c), F.lit("")), F.lit(r"\?")).cast("long")
+    text = F.coalesce(_col(c), F.lit(""))
+    return (F.length(text) - F.length(F.replace(text, F.lit("?"), F.lit("")))).cast("long")
 
 
 def append_tag(tags: Column | str, tag: str) -> Column:

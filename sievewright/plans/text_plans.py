@@ -117,8 +117,10 @@ SELECT doc_id, item_id, count(*) AS phrases FROM dp JOIN ip USING (phrase) GROUP
 
 
 def sentence_profile(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    return docs.select("doc_id", F.size(tx.sentences("text")).cast("long").alias("pieces"), tx.sentence_count("text").alias("marked"), tx.complete_sentence("text").alias("complete"), tx.first_sentence("text").alias("first_sentence"), tx.question_marks("text").alias("questions"))
+    # normal texts, then sentences, are columns of their own: else they would be made anew at each place
+    normal = table(spark, d, "documents").select("doc_id", tx.normalize("text").alias("n"), tx.question_marks("text").alias("questions"))
+    cut = normal.select("doc_id", tx.sentences_of("n").alias("s"), tx.sentence_count_of("n").alias("marked"), tx.complete_of("n").alias("complete"), "questions")
+    return cut.select("doc_id", F.size("s").cast("long").alias("pieces"), "marked", "complete", F.coalesce(F.try_element_at("s", F.lit(1)), F.lit("")).alias("first_sentence"), "questions")
 
 
 SENTENCE_PROFILE = f"""SELECT doc_id, len({SENTENCES('text')}) AS pieces, len(list_filter(regexp_split_to_array({NORM('text')}, '[.!?]+'), lambda s: trim(s) <> '')) AS marked,
@@ -127,7 +129,8 @@ coalesce({SENTENCES('text')}[1], '') AS first_sentence, CAST(length(coalesce(tex
 
 
 def short_answers(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "conversations").select("conv_id", "turn", tx.short_answer("text").alias("short_answer"))
+    cut = table(spark, d, "conversations").select("conv_id", "turn", tx.sentences("text").alias("s"))
+    return cut.select("conv_id", "turn", tx.short_answer_of("s").alias("short_answer"))
 
 
 _N = lambda s: f"len(list_filter(string_split({s}, ' '), lambda w: w <> ''))"

@@ -199,3 +199,25 @@ def test_numbers_of_a_key_spread_over_ranges(spark):
         want += [(i, key, r, len(ids)) for r, i in enumerate(ids, 1)]
     assert got == sorted(want)
     assert select.numbered(df.where("id < 0"), ["k"], [F.asc("id")], "r").count() == 0
+
+
+def test_sentence_steps_equal_their_plain_forms(spark, rng):
+    marks = [" ", " ", "  ", "\t", "\n", "\u00a0", "\u3000", "\x1c", "\x85", "\u2009", "\u2028", ".", "!", "?", "..", "다", "다.", "요", "요. ", "a", "é", "가", "\U0001f600", "~", "\x7f", "\x00", "\u200b"]
+    texts = ["".join(rng.choices(marks, k=rng.randrange(14))) for _ in range(4000)] + [" ", ".", "다", "a", ". .", None]
+    c = F.col("t")
+    normal = F.coalesce(F.trim(F.regexp_replace(c, f"{tx.SPACE}+", " ")), F.lit(""))
+    pieces = F.filter(F.transform(F.split(normal, r"(?<=[.!?])\s+|(?<=다\.)\s+|(?<=요\.)\s+"), lambda s: F.trim(s)), lambda s: s != "")
+    counted = F.size(F.filter(F.split(normal, "[.!?]+"), lambda s: F.trim(s) != "")).cast("long")
+    plain = [normal, pieces, counted, normal.rlike(f"[.!?]$|({tx.KOREAN_ENDS})$"), F.regexp_count(F.coalesce(c, F.lit("")), F.lit(r"\?")).cast("long")]
+    now = [tx.normalize(c), tx.sentences(c), tx.sentence_count(c), tx.complete_sentence(c), tx.question_marks(c)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for a, b in zip(plain, now):
+        assert df.where(~a.eqNullSafe(b)).count() == 0
+
+
+def test_sentence_queries_normalize_a_text_once(spark, sf_small):
+    from sievewright.plans import text_plans
+
+    for query in (text_plans.sentence_profile, text_plans.short_answers):
+        plan = query(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace(text#") == 1
