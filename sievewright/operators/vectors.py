@@ -14,6 +14,10 @@ from ..functions import text as tx
 from ..sources.shared import stored
 
 
+#: Characters from which a word is long.
+LONG_WORD = 64
+
+
 def bounded_ngrams(c: Column | str, low: int = 2, high: int = 5) -> Column:
     """Character n-grams of every word with a blank on either side; a word shorter than n gives
     itself once, as the smallest size that holds it."""
@@ -25,7 +29,10 @@ def bounded_ngrams(c: Column | str, low: int = 2, high: int = 5) -> Column:
             count = F.length(padded) - n + 1
             whole = F.when((F.length(padded) < n) & (F.length(padded) >= n - 1) & F.lit(n > low), F.array().cast("array<string>"))
             grams.append(F.coalesce(whole, F.when(count >= 1, F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(padded, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))))
-        return F.concat(*grams)
+        # Spark counts characters from a text's start, so a long word is cut into its characters first.
+        of_list = lambda cs, n: F.transform(F.sequence(F.lit(1), F.size(cs) - n + 1), lambda i: F.array_join(F.slice(cs, i, n), ""))
+        cut = F.transform(F.array(F.split(padded, "")), lambda cs: F.concat(*[of_list(cs, n) for n in range(low, high + 1)]))
+        return F.when(F.length(padded) > max(LONG_WORD, high), cut[0]).otherwise(F.concat(*grams))
 
     return F.flatten(F.transform(tx.words(F.lower(tx.normalize(c))), of_word))
 

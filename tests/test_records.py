@@ -142,6 +142,13 @@ def test_bounded_ngrams(spark):
     assert one(spark, vectors.bounded_ngrams("t", 2, 3), t="Ab c") == [" a", "ab", "b ", " ab", "ab ", " c", "c ", " c "]
 
 
+def test_ngrams_of_long_words(spark):
+    for word in ("가b\U0001f600é" * 20, "x" * 62, "x" * 63, "y" * 30_000):
+        padded = f" {word} "
+        grams = one(spark, vectors.bounded_ngrams("t"), t=word)
+        assert grams == [padded[i : i + n] for n in range(2, 6) for i in range(len(padded) - n + 1)]
+
+
 def test_classifier_learns_classes(spark):
     rows = spark.createDataFrame([(f"alpha{i} beta", 0.0) for i in range(10)] + [(f"zulu{i} yankee", 1.0) for i in range(10)], "text string, label double")
     model = vectors.one_against_rest(rows, "text", "label", features=1 << 10)
