@@ -72,16 +72,17 @@ def two_way_lookup(rows: DataFrame, near: DataFrame, far: DataFrame, key: str, r
     )
 
 
-def best_rows(rows: DataFrame, keys: list[str], status: str, score: str, words: str, tie: str) -> DataFrame:
+def best_rows(rows: DataFrame, keys: list[str], status: str, score: str, words: str, tie: str, place: str | None = None) -> DataFrame:
     """The best row of a key: passed before others, then score, then fewer words, then ``tie``; of rows alike in
-    all that, by status, so that what is counted of them does not depend on the layout."""
-    w = Window.partitionBy(*keys).orderBy(F.asc(F.col(status) != "pass"), F.desc(score), F.asc(words), F.asc(tie), F.asc(status))
+    all that, the first by ``place`` if given, then by status, so that what is counted of them does not depend on the layout."""
+    last = [F.asc(place)] if place else []
+    w = Window.partitionBy(*keys).orderBy(F.asc(F.col(status) != "pass"), F.desc(score), F.asc(words), F.asc(tie), *last, F.asc(status))
     return rows.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
 
-def ablation_summary(rows: DataFrame, variant: str, sample: str, active: str, status: str = "final_status", score: str = "weighted_score", words: str = "word_count", tie: str = "candidate_id") -> DataFrame:
+def ablation_summary(rows: DataFrame, variant: str, sample: str, active: str, status: str = "final_status", score: str = "weighted_score", words: str = "word_count", tie: str = "candidate_id", place: str | None = None) -> DataFrame:
     """Per variant, over the best row of each sample: samples, passes, hard fails, mean score."""
-    best = best_rows(rows, [variant, sample], status, score, words, tie)
+    best = best_rows(rows, [variant, sample], status, score, words, tie, place)
     return best.groupBy(variant).agg(
         F.count("*").alias("sample_count"),
         F.count_if(F.col(status) == "pass").alias("pass_count"),

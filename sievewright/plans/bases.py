@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import spread, table
 
@@ -103,10 +104,15 @@ BASES: dict[str, tuple[str, dict[str, str]]] = {"lines": ("lineitem", _ORDERLINE
 SPREAD_BY = {"lines": ("l_orderkey", "l_linenumber"), "heads": ("o_orderkey",), "parts": ("p_partkey",)}
 
 
-def derived(spark: SparkSession, d: str, name: str) -> DataFrame:
+def derived(spark: SparkSession, d: str, name: str, place: str | None = None) -> DataFrame:
+    """A derived relation; ``place`` names a column of where in the input a row stood, its file and its number there."""
     source, columns = BASES[name]
+    rows = table(spark, d, source)
+    if place:
+        path = ["_metadata.file_path"] if len(rows.inputFiles()) > 1 else []
+        rows = rows.withColumn(place, F.struct(*map(F.col, [*path, "_metadata.row_index"])))
     # rules look at each row many times, and the files are small for their rows
-    return spread(table(spark, d, source), *SPREAD_BY[name]).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+    return spread(rows, *SPREAD_BY[name]).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()], *([place] if place else []))
 
 
 def derived_sql(name: str) -> str:

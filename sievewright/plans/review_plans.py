@@ -44,9 +44,10 @@ SELECT row_key, final_status, audit_reason, CASE WHEN audit_reason <> '' THEN '
 
 
 def ablation_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Of rows that the order leaves alike the first of the input is taken, as a stable sort does."""
     scores = {c: F.col(c) for c in ("grounding", "answer", "pedagogy")}
-    rows = _lines(spark, d).withColumn("final_status", gates.status("explanation", _tags(), **scores)).withColumn("weighted_score", F.round(gates.weighted("explanation", **scores), 2))
-    return rounds.ablation_summary(rows, "ablation_variant", "sample_id", "v2")
+    rows = derived(spark, d, "lines", "place").withColumn("final_status", gates.status("explanation", _tags(), **scores)).withColumn("weighted_score", F.round(gates.weighted("explanation", **scores), 2))
+    return rounds.ablation_summary(rows, "ablation_variant", "sample_id", "v2", place="place")
 
 
 ABLATION = f"""{LINES}, s AS (SELECT *, {_STATUS} AS final_status, round((45 * grounding + 35 * answer + 20 * pedagogy) / 100.0, 2) AS w FROM b),

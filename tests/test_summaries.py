@@ -52,3 +52,18 @@ def test_ablation_ties_do_not_follow_the_layout(spark):
     for given in (rows, rows[::-1]):
         df = spark.createDataFrame(given, "v string, s long, final_status string, weighted_score double, word_count long, candidate_id string").coalesce(1)
         assert rounds.ablation_summary(df, "v", "s", "v2").first()["hard_fail_count"] == 1
+
+
+def test_ablation_takes_the_first_of_tied_rows_as_its_sql_does(spark, tmp_path):
+    import duckdb
+
+    from sievewright.plans import review_plans
+
+    # 4 is a soft fail and 1 a hard fail of the same score and words
+    rows = [(order, part, 1, 4, 7.0) for order, parts in ((1, (4, 1)), (2, (1, 4)), (3, (4, 1))) for part in parts]
+    names = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in zip(names, ("long", "long", "long", "int", "double")))).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = [tuple(r) for r in review_plans.ablation_summary(spark, str(tmp_path)).collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    assert got == con.execute(review_plans.ABLATION).fetchall() and got[0][:4] == ("v1", 3, 0, 1)
