@@ -146,3 +146,38 @@ def test_reasons_in_steps_equal_those_of_one_expression(spark):
     doc, q, a = (F.col(c) for c in ("doc_type_name", "question", "answer"))
     got = seeds.noted(rows, "doc_type_name", "question", "answer")
     assert got.where((F.col("base") != seeds.base_reason(doc, q, a)) | (F.col("law_skip") != seeds.law_skip(seeds.law_categories(q, a)))).count() == 0
+
+
+def test_the_classifier_learns_from_all_rows_and_languages(spark, tmp_path, monkeypatch):
+    from sievewright.plans import stem_plans
+
+    spark.range(33_500).selectExpr("id AS doc_id", "'gato' AS text", "'l' || id % 1201 AS lang").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+
+    def fit(train, text, label):
+        seen.append(train.agg(F.count("*"), F.countDistinct(label)).first())
+        raise InterruptedError
+
+    monkeypatch.setattr(vectors, "one_against_rest", fit)
+    with pytest.raises(InterruptedError):
+        stem_plans.classifier_metrics(spark, str(tmp_path))
+    assert tuple(seen[0]) == (20_100, 1201)
+
+
+def test_a_fit_by_shared_passes_is_as_good_as_the_librarys(spark):
+    import numpy as np
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.feature import IDF, HashingTF
+
+    said = ["gato perro casa", "hund katze haus gato", "", None, "casa hund a", "perro katze", "gato gato haus", "x"]
+    rows = spark.createDataFrame([(t, float(i % 3)) for i, t in enumerate(said)], "text string, label double").repartition(3)
+    ours = vectors.one_against_rest(rows, "text", "label", features=1 << 8)
+    counted = HashingTF(inputCol="terms", outputCol="tf", numFeatures=1 << 8).transform(rows.withColumn("terms", vectors.bounded_ngrams("text")))
+    weigher = IDF(inputCol="tf", outputCol="features").fit(counted)
+    assert np.allclose(ours.stages[1].idf.toArray(), weigher.idf.toArray()) and list(ours.stages[1].docFreq) == list(weigher.docFreq)
+    x, y = map(np.array, zip(*[(r["features"].toArray(), r["label"]) for r in weigher.transform(counted).collect()]))
+    for k, of in enumerate(ours.stages[2].models):
+        side = np.where(y == k, 1.0, -1.0)
+        cost = lambda m: np.maximum(0, 1 - side * (x @ m.coefficients.toArray() + m.intercept)).mean() + 0.005 * ((m.coefficients.toArray() * x.std(axis=0, ddof=1)) ** 2).sum()  # noqa: B023, E731
+        other = LinearSVC(regParam=0.01, maxIter=20).fit(weigher.transform(counted).selectExpr("features", f"CAST(label = {k} AS DOUBLE) AS label"))
+        assert cost(of) <= 1.05 * cost(other)
